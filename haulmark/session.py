@@ -82,7 +82,7 @@ class Stages:
 
 def planned_bytes(df: DataFrame) -> int:
     """Size the optimizer expects, from file statistics."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
