@@ -50,10 +50,13 @@ def reference_figures(kpis: DataFrame, figures: Sequence[tuple[str, Column]]) ->
     Each figure is a unit and a text column; percent columns give every percentage in their label,
     others their number. Figures that are not computable are left out.
     """
-    parts = []
-    for unit, c in figures:
-        values = measures.percentages(c) if unit == "%" else F.array(measures.pure_number(c))
-        parts.append(F.transform(values, lambda v, u=unit: F.struct(F.lit(u).alias("unit"), v.alias("value"))))
+
+    def tagged(unit: str, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(unit).alias("unit"), v.alias("value")))
+
+    parts = [
+        tagged(unit, measures.percentages(c) if unit == "%" else F.array(measures.pure_number(c))) for unit, c in figures
+    ]
     rows = kpis.select(F.explode(F.concat(*parts)).alias("f")).select("f.unit", "f.value")
     return rows.filter(F.col("value").isNotNull()).distinct()
 
@@ -66,31 +69,46 @@ def within_tolerance(cited: Column, reference: Column) -> Column:
     )
 
 
+def _figure_map(figures: DataFrame) -> Column:
+    """All reference figures as one scalar map unit -> values. A handful of numbers by construction."""
+    per_unit = figures.groupBy("unit").agg(F.collect_set("value").alias("known"))
+    return per_unit.agg(F.map_from_entries(F.collect_list(F.struct("unit", "known"))).alias("m")).scalar()
+
+
+def _supported(unit: Column, value: Column, known: Column) -> Column:
+    values = F.coalesce(F.try_element_at(known, unit), F.array().cast("array<double>"))
+    return F.coalesce(F.exists(values, lambda k: within_tolerance(value, k)), F.lit(False))
+
+
 def unsupported_claims(claims: DataFrame, figures: DataFrame) -> DataFrame:
-    """Claims that no reference figure of their unit supports.
+    """Claims that no reference figure of their unit supports; a filter, no join."""
+    rows = claims.filter(F.col("unit").isNotNull()).select("*", _figure_map(figures).alias("_known"))
+    return rows.filter(~_supported(F.col("unit"), F.col("value"), F.col("_known"))).drop("_known")
 
-    The figures of a unit travel as one array, a handful of values per unit, so each claim meets
-    its unit once and no claim x figure pairs are built.
-    """
-    per_unit = figures.groupBy("unit").agg(F.collect_set("value").alias("_known"))
-    joined = claims.join(F.broadcast(per_unit), "unit", "left")
-    supported = F.exists(F.coalesce("_known", F.array().cast("array<double>")), lambda k: within_tolerance(F.col("value"), k))
-    return joined.filter(F.col("unit").isNotNull() & ~F.coalesce(supported, F.lit(False))).drop("_known")
+
+# Fixed value: lead-in of the review detail.
+DETAIL_LEAD = "not found among this build's figures: "
 
 
 def check_texts(df: DataFrame, figures: DataFrame, *, key: Sequence[str], text: str) -> DataFrame:
-    """Every text with its status (``ok`` or ``review_needed``) and the unsupported figures in order."""
-    wrong = unsupported_claims(extract_claims(df, key=key, text=text), figures)
-    listed = wrong.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("position", "cited"))).alias("_w"))
-    detail = F.concat(
-        F.lit("not found among the computed figures: "), F.array_join(F.transform("_w", lambda w: w["cited"]), ", ")
+    """Every text with its status (``ok`` or ``review_needed``) and the unsupported figures in order.
+
+    A narrow projection: the figures of a text stay in an array of that row, so nothing is shuffled.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    numbers, words = (F.regexp_extract_all(body, F.lit(CITED), F.lit(g)) for g in (1, 2))
+    units = names.literal_map(UNITS)
+    cited = df.select(*key, F.arrays_zip(numbers.alias("n"), words.alias("u")).alias("_c"), units.alias("_units"), _figure_map(figures).alias("_known"))
+    wrong = F.filter(
+        "_c",
+        lambda c: ~_supported(
+            F.element_at(F.col("_units"), F.lower(c["u"])), F.regexp_replace(c["n"], ",", "").try_cast("double"), F.col("_known")
+        ),
     )
-    return (
-        df.select(*key)
-        .join(listed, list(key), "left")
-        .select(
-            *key,
-            F.when(F.col("_w").isNull(), "ok").otherwise("review_needed").alias("status"),
-            F.coalesce(detail, F.lit("")).alias("detail"),
-        )
+    listed = cited.select(*key, F.transform(wrong, lambda c: F.concat(c["n"], c["u"])).alias("_w"))
+    none = F.size("_w") == 0
+    return listed.select(
+        *key,
+        F.when(none, "ok").otherwise("review_needed").alias("status"),
+        F.when(none, "").otherwise(F.concat(F.lit(DETAIL_LEAD), F.array_join("_w", ", "))).alias("detail"),
     )

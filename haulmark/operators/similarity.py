@@ -30,6 +30,8 @@ WINDOW_DAYS = 3
 MATCH_RATIO = 0.72
 LOOSE_RATIO = 0.3
 LETTER_SLOTS = 64
+TILE = ["bucket", "a", "b"]
+ROW = ["node", "title", "day_no", "settled"]
 
 
 def sequence_ratio(new: str, candidate: str) -> float:
@@ -114,7 +116,7 @@ def _chunks(nodes: DataFrame, tile_rows: int) -> DataFrame:
 def tiles(new: DataFrame, cand: DataFrame, *, threshold: float, window: int, tile_rows: int):
     """Both sides laid out by tile ``(bucket, a, b)``."""
     width = window + 1
-    columns = ["node", "title", "day_no", "settled", "len"]
+    columns = [*ROW, "len"]
     left = new.withColumn("len", F.length("title")).select(*columns, F.floor(F.col("day_no") / width).alias("bucket"))
     home = F.floor(F.col("day_no") / width)
     right = cand.withColumn("len", F.length("title")).select(
@@ -135,12 +137,24 @@ def tiles(new: DataFrame, cand: DataFrame, *, threshold: float, window: int, til
 
     def placed(df: DataFrame, name: str) -> DataFrame:
         rows = df.withColumnRenamed("chunk", name).join(grid, ["bucket", name])
-        # A fixed partition count: the tiles are small in bytes but heavy in work.
-        return rows.select("bucket", "a", "b", "node", "title", "day_no", "settled").repartition(parts, "bucket", "a", "b")
+        # Fresh names per side keep a self join unambiguous. A fixed partition count, because the
+        # tiles are small in bytes but heavy in work.
+        kept = rows.select(*[F.col(c).alias(f"{name}_{c}") for c in [*TILE, *ROW]])
+        return kept.repartition(parts, *[f"{name}_{c}" for c in TILE])
 
     return placed(left, "a"), placed(right, "b")
 
 
+def _by_tile(new: DataFrame, cand: DataFrame, fn, schema: str) -> DataFrame:
+    """Runs ``fn(new rows, candidate rows)`` once per tile."""
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return fn(a.set_axis([*TILE, *ROW], axis=1), b.set_axis([*TILE, *ROW], axis=1))
+
+    left = new.groupBy(*[f"a_{c}" for c in TILE])
+    return left.cogroup(cand.groupBy(*[f"b_{c}" for c in TILE])).applyInPandas(run, schema)
+
+
 def similar_pairs(
     new: DataFrame,
     cand: DataFrame,
@@ -169,10 +183,7 @@ def similar_pairs(
         )
 
     left, right = tiles(new, cand, threshold=threshold, window=window, tile_rows=tile_rows)
-    keys = ["bucket", "a", "b"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        match, "node bigint, cand bigint, cand_day int, settled boolean, ratio double"
-    )
+    return _by_tile(left, right, match, "node bigint, cand bigint, cand_day int, settled boolean, ratio double")
 
 
 def review_candidates(
@@ -216,10 +227,7 @@ def review_candidates(
         return pd.DataFrame(rows, columns=["node", "cand", "cand_day", "loose"])
 
     left, right = tiles(new, settled, threshold=0.0, window=window, tile_rows=tile_rows)
-    keys = ["bucket", "a", "b"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        first, "node bigint, cand bigint, cand_day int, loose boolean"
-    )
+    found = _by_tile(left, right, first, "node bigint, cand bigint, cand_day int, loose boolean")
     per_item = Window.partitionBy("node")
     kept = found.withColumn("_any", F.max("loose").over(per_item)).filter(F.col("loose") | ~F.col("_any"))
     order = per_item.orderBy("cand_day", "cand")
