@@ -12,8 +12,12 @@ from pyspark.sql import types as T
 from ..functions import dates, measures, names
 
 
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "boolean": T.BooleanType()}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Nullable columns from ``name type, ...``; needs no running session."""
+    return T.StructType([T.StructField(n, _TYPES[k], True) for n, k in (part.split() for part in spec.split(","))])
 
 
 # Column names and order of the stored tables.
