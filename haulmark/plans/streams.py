@@ -1 +1,80 @@
+"""Registered queries: incremental jobs over the event and order files; results equal the batch ones."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..session import scratch_root
+from ..streaming import incremental as inc
+from . import tables as t
+from .registry import REGISTRY
+
+add = REGISTRY.add
+
+
+def place(spark, job):
+    root = f"{scratch_root(spark)}/haulmark/{job}-{uuid.uuid4().hex}"
+    return f"{root}/drop", f"{root}/table", f"{root}/progress"
+
+
+def dropped(spark, sf, name, drop, parts):
+    """The table as several files in a drop folder."""
+    t.table(spark, sf, name).repartitionByRange(parts[0], *parts[1:]).write.parquet(drop)
+    return inc.file_stream(spark, drop, t.table(spark, sf, name).schema, files_per_batch=2)
+
+
+@add("streamed_append", "R1 K1", """
+SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice::DOUBLE AS o_totalprice FROM orders""")
+def streamed_append(spark, sf):
+    """Orders dropped twice, as repeated polls would: each is stored once."""
+    drop, table, progress = place(spark, "append")
+    stream = dropped(spark, sf, "orders", drop, (4, "o_orderkey"))
+    pick = lambda df: df.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    inc.append_files(stream, table, keys=["o_orderkey"], checkpoint=progress, transform=pick, prune="o_orderkey")
+    inc.append_files(stream, table, keys=["o_orderkey"], checkpoint=f"{progress}-again", transform=pick, prune="o_orderkey")
+    return spark.read.parquet(table)
+
+
+@add("streamed_first_wins", "R2 K5", """
+SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL""")
+def streamed_first_wins(spark, sf):
+    drop, table, progress = place(spark, "first")
+    e = t.table(spark, sf, "events").select("user_id", "event_type", "event_id")
+    # Later ids arrive in later batches: the key column of the file order is the id.
+    e.repartitionByRange(4, "event_id").sortWithinPartitions("event_id").write.parquet(drop)
+    stream = inc.file_stream(spark, drop, e.schema, files_per_batch=4)
+    inc.first_wins(stream, table, keys=["user_id", "event_type"], order=[F.col("event_id")], checkpoint=progress)
+    return spark.read.parquet(table)
+
+
+@add("streamed_totals", "R3 A1", """
+SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, sum(value::DECIMAL(18,3))::DOUBLE AS value, count(*) AS n FROM events GROUP BY ALL""")
+def streamed_totals(spark, sf):
+    drop, table, progress = place(spark, "totals")
+    stream = dropped(spark, sf, "events", drop, (4, "event_id")).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    keys = ["event_type", "day"]
+    inc.running_totals(stream, table, keys=keys, value=F.col("value").cast("decimal(18,3)"), checkpoint=progress)
+    return inc.current_totals(spark, table, keys=keys).select(*keys, F.col("value").cast("double").alias("value"), "n")
+
+
+@add("streamed_windows", "R3", """
+SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, sum(value::DECIMAL(18,3))::DOUBLE AS value, count(*) AS n FROM events
+WHERE ts::DATE < (SELECT max(ts)::DATE FROM events) GROUP BY ALL""")
+def streamed_windows(spark, sf):
+    """Day windows with a watermark: every day that the last event has closed."""
+    drop, table, progress = place(spark, "windows")
+    # The event files carry zone-free stamps; a watermark needs an instant.
+    e = t.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e.repartitionByRange(4, "ts").write.parquet(drop)
+    stream = inc.file_stream(spark, drop, e.schema, files_per_batch=4)
+    rows = inc.windowed_totals(
+        stream, event_time="ts", size="1 day", delay="0 seconds", keys=["event_type"], value=F.col("value").cast("decimal(18,3)")
+    ).select("event_type", F.date_format("window.start", "yyyy-MM-dd").alias("day"), F.col("value").cast("double").alias("value"), "n")
+    query = (
+        rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", progress)
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(table)
