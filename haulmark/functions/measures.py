@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MEASURE_TYPE = "decimal(18,3)"
 
@@ -26,6 +27,16 @@ def measure(c: Column) -> Column:
     return F.when(s == "", F.lit(0).cast(MEASURE_TYPE)).otherwise(s.try_cast(MEASURE_TYPE))
 
 
+def amount(df: DataFrame, column: str) -> Column:
+    """``measure`` of a column of ``df``; a column that is numeric already skips the text handling."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType) and kind.scale <= 3:
+        return F.coalesce(F.col(column), F.lit(0).cast(kind))
+    if isinstance(kind, T.NumericType):
+        return F.coalesce(F.col(column), F.lit(0).cast(kind)).try_cast(MEASURE_TYPE)
+    return measure(F.col(column))
+
+
 def whole_number(c: Column) -> Column:
     """Truncated integer of a comma-grouped number; NULL when malformed."""
     return strict_number(c).try_cast("bigint")

@@ -119,29 +119,27 @@ def _decide(
     decided: list[DataFrame] = []
     edges = stages.keep("edges", edges.select("node", "cand"))
     nodes = stages.keep("open", nodes.select("node", "day_no"))
-    done, oversized = 0, False
+    done, by_component = 0, False
     while True:
-        waiting = edges.select("node").distinct()
-        canon = stages.keep(f"canon{done}", nodes.join(waiting, "node", "left_anti").select("node"))
-        dups = stages.keep(
-            f"dups{done}", edges.join(canon.withColumnRenamed("node", "cand"), "cand", "left_semi").select("node").distinct()
+        free = nodes.join(edges.select("node").distinct(), "node", "left_anti").select("node")
+        lost = edges.join(free.withColumnRenamed("node", "cand"), "cand", "left_semi").select("node").distinct()
+        closed = stages.keep(
+            f"closed{done}", free.withColumn("canonical", F.lit(True)).union(lost.withColumn("canonical", F.lit(False)))
         )
-        decided += [canon.withColumn("canonical", F.lit(True)), dups.withColumn("canonical", F.lit(False))]
-        closed = canon.union(dups)
+        decided.append(closed)
+        dups = closed.filter(~F.col("canonical")).select("node")
         nodes = stages.keep("open", nodes.join(closed, "node", "left_anti"))
-        edges = stages.keep(
-            "edges",
-            edges.join(dups, "node", "left_anti").join(dups.withColumnRenamed("node", "cand"), "cand", "left_anti").select("node", "cand"),
-        )
         done += 1
         if nodes.isEmpty():
             break
-        if done >= rounds and not oversized:
+        still = edges.join(dups, "node", "left_anti").join(dups.withColumnRenamed("node", "cand"), "cand", "left_anti")
+        edges = stages.keep("edges", still.select("node", "cand"))
+        if done >= rounds and not by_component:
             solved, nodes, edges = _solve_components(nodes, edges, stages, component_limit)
             decided.append(solved)
+            by_component = True
             if nodes.isEmpty():
                 break
-            oversized = True
     out = decided[0]
     for d in decided[1:]:
         out = out.union(d)

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import measures
+from ..session import kept
 from .keyed import pick_per_key
-from .units import dried_equivalent
+from .units import dried_sum
 
 
 def bucket_months(
@@ -20,19 +21,20 @@ def bucket_months(
     *,
     bucket: Column,
     month: str = "month",
-    amount: Column | None = None,
     value: str = "value",
     out: str = "value",
     bucket_name: str = "bucket",
+    dried_form: str | None = None,
 ) -> DataFrame:
-    """Sum per bucket and month; rows without a usable measure still mark their month as present."""
-    v = amount if amount is not None else measures.measure(F.col(value))
-    return (
-        df.filter(F.col(month).isNotNull())
-        .select(bucket.alias(bucket_name), month, v.alias(out))
-        .groupBy(bucket_name, month)
-        .agg(F.coalesce(F.sum(out), F.lit(0)).alias(out))
+    """Sum per bucket and month; rows without a usable measure still mark their month as present.
+
+    ``dried_form`` names the form column when the sum is to be in dried equivalent.
+    """
+    rows = df.filter(F.col(month).isNotNull()).select(
+        bucket.alias(bucket_name), month, measures.amount(df, value).alias(out), *([dried_form] if dried_form else [])
     )
+    total = dried_sum(F.col(out), dried_form) if dried_form else F.sum(out)
+    return rows.groupBy(bucket_name, month).agg(F.coalesce(total, F.lit(0)).alias(out))
 
 
 def full_years(months: DataFrame, *, month: str = "month", min_months: int = 10) -> DataFrame:
@@ -46,7 +48,7 @@ def full_years(months: DataFrame, *, month: str = "month", min_months: int = 10)
 
 
 def _in_full_years(months: DataFrame, month: str, min_months: int) -> DataFrame:
-    """Pre-aggregated rows of full years. One row per year is broadcast; the exchange is reused."""
+    """Pre-aggregated rows of full years; one row per year is broadcast."""
     years = full_years(months, month=month, min_months=min_months).select("year")
     return months.withColumn("year", F.year(month)).join(F.broadcast(years), "year", "left_semi")
 
@@ -67,6 +69,7 @@ def annual_by_bucket(
     last_years: int | None = None,
 ) -> DataFrame:
     """Totals per bucket for every full year, or for the latest ``last_years`` of them."""
+    months = kept(months, "months")
     totals = (
         _in_full_years(months, month, min_months).groupBy("year", bucket).agg(F.sum(value).alias(value))
     )
@@ -88,6 +91,7 @@ def latest_year_by_bucket(
     )
     if not buckets:
         return totals
+    totals = kept(totals, "totals")
     spine = totals.select("year").distinct().select(
         "year", F.explode(F.array(*[F.lit(b) for b in buckets])).alias(bucket)
     )
@@ -140,25 +144,27 @@ def origin_summary(
 
     Fullness is judged on weight rows only; an origin needs weight rows, its value may be missing.
     """
-    v = measures.measure(F.col(value))
+    v = measures.amount(df, value)
     is_weight = F.col(unit) == weight_unit
     months = (
         df.filter(F.col(unit).isin(weight_unit, value_unit) & F.col(month).isNotNull())
         .select(
             origin.alias("origin"),
             month,
+            form,
             is_weight.alias("_w"),
-            F.when(is_weight, dried_equivalent(v, form)).alias("_kg"),
+            F.when(is_weight, v).alias("_kg"),
             F.when(~is_weight, v).alias("_value"),
         )
         .groupBy("origin", month)
         .agg(
             F.max("_w").alias("_has_kg"),
-            F.sum("_kg").alias("_kg"),
+            dried_sum(F.col("_kg"), form).alias("_kg"),
             F.sum("_value").alias("_value"),
         )
         .withColumn("year", F.year(month))
     )
+    months = kept(months, "months")
     full = _latest_years(
         months.join(
             F.broadcast(full_years(months.filter("_has_kg"), month=month, min_months=min_months).select("year")),
@@ -214,11 +220,11 @@ def top_origin_prices(
         F.coalesce(F.col(price).cast("bigint"), F.lit(0)).alias("_price"),
         F.struct(*tie).alias("_tie") if tie else F.lit(0).alias("_tie"),
     )
-    cells = rows.groupBy("_origin", "_year").agg(
+    cells = kept(rows.groupBy("_origin", "_year").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min_by("_price", F.struct("_rank", "_tie")).alias("_best"),
         F.sum("_price").alias("_sum"),
-    )
+    ), "cells")
     leaders = (
         cells.groupBy("_origin")
         .agg(F.sum("_n").alias("_size"))
@@ -260,5 +266,5 @@ def totals_by_name(df: DataFrame, *, candidates: Sequence[str], value: str, unkn
     from ..functions.names import first_filled
 
     return df.groupBy(first_filled(*[F.col(c) for c in candidates], default=unknown).alias("name")).agg(
-        F.sum(measures.measure(F.col(value))).alias("total")
+        F.sum(measures.amount(df, value)).alias("total")
     )

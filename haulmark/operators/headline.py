@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, measures
+from ..session import kept
 from . import series as ts
-from .units import dried_monthly
+from .units import dried_monthly, dried_sum
 
 
 def purpose_split(
@@ -131,22 +132,21 @@ def chart_payload(
     One scan and one aggregate by (series, month) feed all columns. Missing months show 0 in the
     four measures and NULL in the change.
     """
-    from .units import dried_equivalent
-
-    v = measures.measure(F.col(value))
+    v = measures.amount(observations, value)
     is_weight = F.col(unit) == weight_unit
     base = (
         observations.filter(F.col(unit).isin(weight_unit, value_unit) & F.col(month).isNotNull())
         .select(
             series,
             month,
+            form,
             F.when(is_weight, v).alias("kg"),
-            F.when(is_weight, dried_equivalent(v, form)).alias("dried_kg"),
             F.when(~is_weight, v).alias("_value"),
         )
         .groupBy(series, month)
-        .agg(F.sum("kg").alias("kg"), F.sum("dried_kg").alias("dried_kg"), F.sum("_value").alias("_value"))
+        .agg(F.sum("kg").alias("kg"), dried_sum(F.col("kg"), form).alias("dried_kg"), F.sum("_value").alias("_value"))
     )
+    base = kept(base, "chart")
     priced = base.withColumn(
         "price",
         F.when(F.col("dried_kg") > 0, F.round(F.col("_value").cast("double") * multiplier / F.col("dried_kg").cast("double"), 2)),

@@ -30,7 +30,7 @@ def monthly_sum(
     """Sum per key and month. Blank measures count as 0, unparsable ones drop the row."""
     if unit:
         df = df.filter(F.col(unit[0]) == unit[1])
-    amount = value if isinstance(value, Column) else measures.measure(F.col(value))
+    amount = value if isinstance(value, Column) else measures.amount(df, value)
     rows = df.filter(F.col(month).isNotNull()).select(*keys, month, amount.alias(out)).filter(F.col(out).isNotNull())
     return rows.groupBy(*keys, month).agg(F.sum(out).alias(out))
 
@@ -102,6 +102,11 @@ def display_window(df: DataFrame, *, month: str = "month", n: int = 24) -> DataF
     return df.agg(F.max(month).alias("end")).select(F.add_months("end", -(n - 1)).alias("start"), "end")
 
 
+def window_bounds(window: DataFrame) -> Column:
+    """Both bounds of a one-row ``(start, end)`` frame as one scalar struct, evaluated once."""
+    return window.select(F.struct("start", "end").alias("w")).scalar()
+
+
 def densify(
     df: DataFrame,
     *,
@@ -114,14 +119,15 @@ def densify(
     """Every month of every key between the bounds; missing ones filled with zero, null or carry.
 
     ``window`` is a one-row ``(start, end)`` frame shared by all keys; without it each key spans
-    its own first to last month.
+    its own first to last month. ``df`` is read for the keys and for the values: hand over a monthly
+    aggregate that is stored (or ``kept``), not one that is still to be computed from the facts.
     """
     if window is None:
         spine = df.groupBy(*keys).agg(F.min(month).alias("start"), F.max(month).alias("end"))
     else:
-        start, end = window.select("start").scalar(), window.select("end").scalar()
+        w = window_bounds(window)
         spine = df.select(*keys).distinct() if keys else window.select(F.lit(1).alias("_one"))
-        spine = spine.select("*", start.alias("start"), end.alias("end"))
+        spine = spine.select("*", w["start"].alias("start"), w["end"].alias("end"))
     spine = spine.select(*keys, F.explode(F.sequence("start", "end", F.expr("interval 1 month"))).alias(month))
     out = spine.join(df.select(*keys, month, *values), [*keys, month], "left")
     if fill == "zero":
@@ -136,7 +142,8 @@ def densify(
 
 def in_window(df: DataFrame, window: DataFrame, *, month: str = "month") -> DataFrame:
     """Rows whose month lies inside a one-row ``(start, end)`` frame, bounds included."""
-    return df.filter(F.col(month).between(window.select("start").scalar(), window.select("end").scalar()))
+    w = window_bounds(window)
+    return df.filter(F.col(month).between(w["start"], w["end"]))
 
 
 def month_range(df: DataFrame, start: str | None, end: str | None, *, month: str = "month") -> DataFrame:

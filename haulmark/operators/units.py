@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import measures, names
@@ -35,12 +35,24 @@ def backfill_form(
 
 
 def dried_equivalent(value: Column, form: str | Column = "form", factor: str = DRIED_PER_FROZEN) -> Column:
-    """Frozen weight times the factor, every other form unchanged."""
+    """Frozen weight times the factor, every other form unchanged; for single rows."""
     return value * F.when(form_key(form) == "frozen", F.lit(factor).cast("decimal(5,4)")).otherwise(
         F.lit("1").cast("decimal(5,4)")
     )
 
 
+def dried_sum(value: Column, form: str | Column = "form", factor: str = DRIED_PER_FROZEN) -> Column:
+    """Aggregate: dried-equivalent sum, NULL when there is no value.
+
+    The factor is applied to the sum of the frozen rows, not to each of them: same exact decimal,
+    no multiplication per row.
+    """
+    frozen = form_key(form) == "frozen"
+    part = lambda test: F.coalesce(F.sum(F.when(test, value)), F.lit(0))
+    total = part(frozen) * F.lit(factor).cast("decimal(5,4)") + part(~frozen)
+    return F.when(F.count(value) > 0, total)
+
+
 def dried_monthly(
     df: DataFrame,
     *,
@@ -52,10 +64,9 @@ def dried_monthly(
     out: str = "dried_kg",
 ) -> DataFrame:
     """Dried-equivalent sum per key and month."""
-    amount = dried_equivalent(measures.measure(F.col(value)), form)
     rows = df.filter(F.col(unit[0]) == unit[1]).filter(F.col(month).isNotNull())
-    rows = rows.select(*keys, month, amount.alias(out)).filter(F.col(out).isNotNull())
-    return rows.groupBy(*keys, month).agg(F.sum(out).alias(out))
+    rows = rows.select(*keys, month, form, measures.amount(df, value).alias("_v")).filter(F.col("_v").isNotNull())
+    return rows.groupBy(*keys, month).agg(dried_sum(F.col("_v"), form).alias(out))
 
 
 def frozen_equivalent_totals(
@@ -70,7 +81,7 @@ def frozen_equivalent_totals(
 
     The division is applied once to the exact sum.
     """
-    v = measures.measure(F.col(value))
+    v = measures.amount(df, value)
     f = F.coalesce(F.col(form), F.lit(""))
     zero = F.lit(0).cast("decimal(28,3)")
     return (
@@ -107,14 +118,12 @@ def blended_price(
     Only months holding both units, and only where the weight is positive. One aggregate over one
     scan gives both sums.
     """
-    v = measures.measure(F.col(value))
+    is_weight = F.col(unit) == weight_unit
+    v = measures.amount(df, value)
     rows = df.filter(F.col(unit).isin(weight_unit, value_unit) & F.col(month).isNotNull()).select(
-        *keys,
-        month,
-        F.when(F.col(unit) == weight_unit, dried_equivalent(v, form)).alias("_kg"),
-        F.when(F.col(unit) == value_unit, v).alias("_value"),
+        *keys, month, form, F.when(is_weight, v).alias("_w"), F.when(~is_weight, v).alias("_v")
     )
-    sums = rows.groupBy(*keys, month).agg(F.sum("_kg").alias("_kg"), F.sum("_value").alias("_value"))
+    sums = rows.groupBy(*keys, month).agg(dried_sum(F.col("_w"), form).alias("_kg"), F.sum("_v").alias("_value"))
     price = F.round(F.col("_value").cast("double") * multiplier / F.col("_kg").cast("double"), 2)
     return sums.filter((F.col("_kg") > 0) & F.col("_value").isNotNull()).select(*keys, month, price.alias(out))
 
@@ -125,5 +134,5 @@ def origin_price(df: DataFrame, *, origin: tuple[str, str], value_unit: str, mul
     prices = blended_price(
         df.filter(F.trim(F.col(origin[0])) == origin[1]), value_unit=value_unit, multiplier=multiplier, **kw
     )
-    latest = prices.agg(F.max(month).alias("m")).scalar()
-    return prices.withColumn("is_latest", F.col(month) == latest)
+    # One row per month: a bounded window instead of a second pass over the facts.
+    return prices.withColumn("is_latest", F.col(month) == F.max(month).over(Window.partitionBy(F.lit(1))))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..operators import breakdown as bd
 from ..operators import headline, keyed
-from ..operators.units import dried_equivalent
 from . import tables as t
 from .registry import REGISTRY
 
@@ -20,15 +19,11 @@ SPINE_SQL = "(VALUES " + ", ".join(f"('{b}')" for b in BUCKETS) + ") AS s(bucket
 FULL_SQL = "full_y AS (SELECT year(month) AS year FROM obs WHERE unit = 'KG' GROUP BY 1 HAVING count(DISTINCT month(month)) >= 10)"
 
 
-def bucketed(spark, sf, unit="KG", amount=None, series=None):
-    obs = t.observations(spark, sf).filter(F.col("unit") == unit)
+def bucketed(spark, sf, unit="KG", series=None, dried_form=None):
+    obs = t.observations(spark, sf, unit=unit)
     if series:
         obs = obs.filter(F.col("series") == series)
-    return bd.bucket_months(obs, bucket=names.bucket(F.col("country"), t.NAMED), amount=amount)
-
-
-def dried():
-    return dried_equivalent(F.col("value"))
+    return bd.bucket_months(obs, bucket=names.bucket(F.col("country"), t.NAMED), dried_form=dried_form)
 
 
 @add("destination_months", "A4 F15", f"""
@@ -132,7 +127,7 @@ SELECT y.year::INTEGER AS year, s.bucket, round(coalesce(v.v, 0)::DOUBLE, 1) AS
 FROM y, {SPINE_SQL} LEFT JOIN v ON v.bucket = s.bucket)
 SELECT *, format('{{:,.1f}}', dried_kg / 1000) AS tonnes FROM r""")
 def direct_supply(spark, sf):
-    return headline.direct_supply(bd.latest_year_by_bucket(bucketed(spark, sf, amount=dried()), buckets=BUCKETS))
+    return headline.direct_supply(bd.latest_year_by_bucket(bucketed(spark, sf, dried_form="form"), buckets=BUCKETS))
 
 
 @add("region_annual", "A6 J7", """
@@ -144,7 +139,7 @@ WITH v AS (
 SELECT year(month)::INTEGER AS year, bucket, sum(v)::DOUBLE AS value FROM v WHERE year(month) IN (SELECT year FROM f) GROUP BY 1, 2""")
 def region_annual(spark, sf):
     dim = t.table(spark, sf, "nation").join(t.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    obs = t.observations(spark, sf).filter("unit = 'KG'")
+    obs = t.observations(spark, sf, unit="KG")
     rows = obs.join(dim, obs.country == dim.n_name, "left")
     months = bd.bucket_months(rows, bucket=F.coalesce("r_name", F.lit("Other")))
     return bd.annual_by_bucket(months, min_months=12).withColumn("value", F.col("value").cast("double"))
@@ -222,7 +217,7 @@ WITH {t.OBS_SQL}
 SELECT strftime(month, '%Y-%m') AS period, country, form, sum(value)::DOUBLE AS value FROM obs WHERE unit = 'KG'
 GROUP BY ALL ORDER BY period, country, form""")
 def sorted_customs(spark, sf):
-    obs = t.observations(spark, sf).filter("unit = 'KG'")
+    obs = t.observations(spark, sf, unit="KG")
     out = obs.groupBy(F.date_format("month", "yyyy-MM").alias("period"), "country", "form").agg(
         F.sum("value").cast("double").alias("value")
     )

@@ -203,5 +203,5 @@ def utc_stamps(spark, sf):
 @add("slim_rows", "P14 P1", f"""
 WITH {t.OBS_SQL} SELECT strftime(month, '%Y-%m') AS date, country, value::DOUBLE AS value, form FROM obs WHERE unit = 'KG'""")
 def slim_rows(spark, sf):
-    obs = t.observations(spark, sf).filter((F.col("unit") == "KG") & F.col("month").isNotNull())
+    obs = t.observations(spark, sf, unit="KG").filter(F.col("month").isNotNull())
     return obs.select(dates.month_text(F.col("month")).alias("date"), "country", F.col("value").cast("double").alias("value"), "form")

@@ -1,4 +1,8 @@
-"""Registered queries: source layouts. Spark renders each layout from the tables, then it is read back."""
+"""Registered queries: source layouts.
+
+Spark renders each layout from the tables and lands it in the shared folder, as published files would
+be; the operators then read the landed rows.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import keyed
+from ..session import kept
 from ..sources import customs, files, grids, news, wide
 from . import tables as t
 from .registry import REGISTRY
@@ -61,7 +66,7 @@ def wide_lines(spark, sf):
     )
     lines = F.array(*[F.struct(F.lit(p).alias("pos"), F.lit(x).alias("text")) for p, x in fixed])
     rest = data.select("file").distinct().select("file", F.explode(lines).alias("l")).select("file", "l.pos", "l.text")
-    return data.unionByName(rest)
+    return kept(data.unionByName(rest), "wide_lines")
 
 
 @add("wide_to_long", "S1 S2 S3 S4 W3 W7 P12 F2", f"""
@@ -98,7 +103,7 @@ def customs_lines(spark, sf):
     bad = rows.select(F.lit("customs_bad.csv").alias("file"), "pos", "text").unionByName(
         rows.limit(1).select(F.lit("customs_bad.csv").alias("file"), F.lit(0).alias("pos"), F.lit(head.replace("수입 중량", "중량")).alias("text"))
     )
-    return rows.unionByName(good).unionByName(bad)
+    return kept(rows.unionByName(good).unionByName(bad), "customs_lines")
 
 
 @add("customs_csv", "S5 S6 P11 P12 F6", f"""
@@ -211,7 +216,7 @@ def annual_sheet(spark, sf):
             )
         ).alias("l"),
     ).select("file", "l.row_no", "l.cells")
-    lines = data.unionByName(heads)
+    lines = kept(data.unionByName(heads), "annual_sheet")
     return lines.select("file", F.lit(0).alias("table_no"), "row_no", F.posexplode("cells").alias("col_no", "cell")).filter("cell <> ''")
 
 
@@ -239,10 +244,11 @@ def monthly_pages(spark, sf):
     )
     body = blocks.groupBy("month").agg(F.array_join(F.collect_list(block), "").alias("b"))
     head = "\n\n <html><table><tr><td>검역 <table><tr><th>국 가</th><th>품 명</th><th>건 수</th><th>중량(kg/ea)</th></tr>"
-    return body.select(
+    pages = body.select(
         F.concat(F.lit("month_"), F.date_format(F.add_months("month", 12 * SHIFT_YEARS), "yyyy-MM"), F.lit("_IMPORT.xls")).alias("file"),
         F.concat(F.lit(head), F.col("b"), F.lit("<tr><td>총 계</td><td>x</td><td>1</td><td>1</td></tr></table></td></tr></table></html>")).alias("html"),
     )
+    return kept(pages, "monthly_pages")
 
 
 @add("monthly_grid", "S10 S22 W3 P11", f"""
@@ -252,7 +258,8 @@ SELECT m AS date, 'quarantine' AS series, {GRID_LABEL_SQL}, country, 'source: mo
 FROM c CROSS JOIN (VALUES ('KG'), ('shipments')) u(unit)""")
 def monthly_grid(spark, sf):
     series = files.series_of(F.col("file"), "quarantine", "quarantine_export")
-    return grids.monthly_grid(grids.grid_from_html(monthly_pages(spark, sf)), series=series, period=files.period_of(F.col("file")))
+    grid = kept(grids.grid_from_html(monthly_pages(spark, sf)), "grid")
+    return grids.monthly_grid(grid, series=series, period=files.period_of(F.col("file")))
 
 
 @add("html_cells", "S10", """
@@ -265,14 +272,14 @@ def html_cells(spark, sf):
     return grids.grid_from_html(p)
 
 
-def record_sheet(spark, sf, heads, values, *, title_rows, file):
+def record_sheet(spark, sf, heads, values, *, title_rows, file, where="true"):
     """Cell grid of an import list: title rows, headings, one line per record."""
-    rec = t.import_records(spark, sf)
+    rec = t.import_records(spark, sf).filter(where)
     lines = rec.select(
         file.alias("file"), (F.col("record_id") + title_rows + 1).cast("int").alias("row_no"), F.array(*values).alias("cells")
     )
     top = lines.select("file").distinct().select("file", F.lit(title_rows).alias("row_no"), F.array(*[F.lit(h) for h in heads]).alias("cells"))
-    rows = lines.unionByName(top)
+    rows = kept(lines.unionByName(top), "record_sheet")
     return rows.select("file", F.lit(0).alias("table_no"), "row_no", F.posexplode("cells").alias("col_no", "cell")).filter("cell <> ''")
 
 
@@ -305,20 +312,17 @@ SELECT day::VARCHAR AS date, strftime(day, '%Y') AS year, strftime(day, '%m') AS
        '' AS country_export_ko, importer_local AS importer,
        '신고번호=' || record_id || CASE WHEN origin_en <> '' THEN ', 원산지=' || origin_en ELSE '' END AS notes FROM rec""")
 def portal_records(spark, sf):
-    def sheet(heads, name, rows):
-        values = [
-            F.date_format("day", "yyyyMMdd"), F.col("importer_local"), F.col("product_name"), F.col("product_en"), F.col("origin_local"),
-            F.concat(F.lit("type "), F.col("product_name")), F.lit("maker"), F.date_add("day", 365).cast("string"), F.col("record_id").cast("string"), F.col("origin_en"),
-        ]
-        grid = record_sheet(spark, sf, heads, values, title_rows=2, file=F.lit(name))
-        keep = grid.select("file", "row_no").distinct()
-        chosen = rows(t.import_records(spark, sf)).select((F.col("record_id") + 3).cast("int").alias("row_no"))
-        lines = keep.join(chosen, "row_no", "left_semi").unionByName(keep.filter("row_no < 3"))
-        return grid.join(lines, ["file", "row_no"], "left_semi")
-
+    values = [
+        F.date_format("day", "yyyyMMdd"), F.col("importer_local"), F.col("product_name"), F.col("product_en"), F.col("origin_local"),
+        F.concat(F.lit("type "), F.col("product_name")), F.lit("maker"), F.date_add("day", 365).cast("string"), F.col("record_id").cast("string"), F.col("origin_en"),
+    ]
     common = ["처리일자", "수입업체", "제품명(한글)", "제품명(영문)", "제조국"]
-    old = sheet([*common, "품목류", "제조사(영문)", "유통기한", "신고번호", "원산지"], "수입식품조회20240101.xlsx", lambda r: r.filter("day < date'1998-01-01'"))
-    new = sheet([*common, "품목(유형)", "해외제조업소", "소비기한", "신고번호", "원산지"], "수입식품조회20260701.xlsx", lambda r: r.filter("day >= date'1998-01-01'"))
+
+    def sheet(extra, name, where):
+        return record_sheet(spark, sf, [*common, *extra, "신고번호", "원산지"], values, title_rows=2, file=F.lit(name), where=where)
+
+    old = sheet(["품목류", "제조사(영문)", "유통기한"], "수입식품조회20240101.xlsx", "day < date'1998-01-01'")
+    new = sheet(["품목(유형)", "해외제조업소", "소비기한"], "수입식품조회20260701.xlsx", "day >= date'1998-01-01'")
     grid = old.unionByName(new)
     routed = grid.withColumn("layout", files.record_layout(F.col("file"))).filter("layout = 'portal'")
     return grids.portal_records(routed)
@@ -336,7 +340,8 @@ def price_lines(spark, sf):
     file = F.concat(F.lit("prices_"), F.lower("p_type"), F.lit(".csv"))
     rows = p.select(file.alias("file"), (F.col("p_partkey") + 1).alias("pos"), F.concat_ws(",", year, name, rank, price, F.col("p_brand")).alias("text"))
     head = F.when(F.col("file").contains("small"), "﻿연 도,제품명,순위,가격(원),원산지").otherwise("Year,Product Name,RANK,price,country")
-    return rows.unionByName(rows.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("pos"), head.alias("text")))
+    heads = rows.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("pos"), head.alias("text"))
+    return kept(rows.unionByName(heads), "price_lines")
 
 
 @add("ranking_rows", "S14", """

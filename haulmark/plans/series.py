@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, measures
 from ..operators import breakdown, headline, units
 from ..operators import series as ts
+from ..session import kept
 from . import tables as t
 from .registry import REGISTRY
 
@@ -38,7 +39,7 @@ def d(c, out=None):
 
 
 def rolled(spark, sf):
-    dried = units.dried_monthly(t.observations(spark, sf), keys=["series"])
+    dried = units.dried_monthly(t.observations(spark, sf, unit="KG"), keys=["series"])
     return ts.rolling(dried, keys=["series"], value="dried_kg")
 
 
@@ -47,7 +48,7 @@ WITH {t.OBS_SQL}
 SELECT series, strftime(month, '%Y-%m') AS month, sum(value)::DOUBLE AS value
 FROM obs WHERE unit = 'KG' GROUP BY ALL""")
 def monthly_sum(spark, sf):
-    return ts.monthly_sum(t.observations(spark, sf), keys=["series"], unit=("unit", "KG")).select("series", m(), d("value"))
+    return ts.monthly_sum(t.observations(spark, sf, unit="KG"), keys=["series"], unit=("unit", "KG")).select("series", m(), d("value"))
 
 
 @add("dried_monthly", "A2 F16", f"""
@@ -62,7 +63,7 @@ SELECT series, strftime(month, '%Y-%m') AS month,
 FROM filled WHERE unit = 'KG' GROUP BY ALL""")
 def dried_monthly(spark, sf):
     obs = units.backfill_form(
-        t.observations(spark, sf, blank_form=True),
+        t.observations(spark, sf, unit="KG", blank_form=True),
         by_series={"O": ([(["line 1", "line 2"], "frozen")], "dried")},
     )
     return units.dried_monthly(obs, keys=["series"]).select("series", m(), d("dried_kg"))
@@ -86,7 +87,7 @@ FROM k a JOIN k b ON a.series = b.series AND a.country = b.country
 GROUP BY a.series, a.country, a.month""")
 def rolling_calendar(spark, sf):
     keys = ["series", "country"]
-    base = ts.monthly_sum(t.observations(spark, sf), keys=keys, unit=("unit", "KG"))
+    base = ts.monthly_sum(t.observations(spark, sf, unit="KG"), keys=keys, unit=("unit", "KG"))
     return ts.rolling(base, keys=keys, n=3, frame="calendar").select(*keys, m(), d("rolling"))
 
 
@@ -134,9 +135,10 @@ WITH {t.OBS_SQL}, k AS (
 SELECT country, strftime(month, '%Y-%m') AS month, round(coalesce(v, 0), 2)::DOUBLE AS value
 FROM spine LEFT JOIN k USING (country, month)""")
 def densified_window(spark, sf):
-    obs = t.observations(spark, sf)
-    window = ts.display_window(obs.filter("unit = 'KG'"))
-    base = ts.monthly_sum(obs.filter("form = 'frozen' and series = 'F'"), keys=["country"], unit=("unit", "KG"))
+    obs = t.observations(spark, sf, unit="KG")
+    months = kept(ts.monthly_sum(obs, keys=["series", "form", "country"], unit=("unit", "KG")), "months")
+    base = months.filter("form = 'frozen' and series = 'F'")
+    window = ts.display_window(months)
     return ts.densify(base, keys=["country"], window=window).select("country", m(), F.round("value", 2).cast("double").alias("value"))
 
 
@@ -151,7 +153,7 @@ SELECT series, country, strftime(month, '%Y-%m') AS month,
 FROM spine LEFT JOIN k USING (series, country, month)""")
 def densified_carry(spark, sf):
     keys = ["series", "country"]
-    base = ts.monthly_sum(t.observations(spark, sf).filter("form = 'frozen'"), keys=keys, unit=("unit", "KG"))
+    base = kept(ts.monthly_sum(t.observations(spark, sf, unit="KG").filter("form = 'frozen'"), keys=keys, unit=("unit", "KG")), "months")
     return ts.densify(base, keys=keys, fill="carry").select(*keys, m(), d("value"))
 
 
@@ -160,7 +162,7 @@ WITH {t.OBS_SQL}, k AS (SELECT series, month, sum(value) AS v FROM obs WHERE uni
 SELECT series, strftime(month, '%Y-%m') AS month, v::DOUBLE AS value FROM k
 WHERE month BETWEEN ((SELECT max(month) FROM k) - INTERVAL 23 MONTH)::DATE AND (SELECT max(month) FROM k)""")
 def window_months(spark, sf):
-    base = ts.monthly_sum(t.observations(spark, sf), keys=["series"], unit=("unit", "KG"))
+    base = kept(ts.monthly_sum(t.observations(spark, sf, unit="KG"), keys=["series"], unit=("unit", "KG")), "months")
     return ts.in_window(base, ts.display_window(base)).select("series", m(), d("value"))
 
 
@@ -200,7 +202,7 @@ FROZEN = """
 WITH {t.OBS_SQL}
 SELECT series, strftime(month, '%Y-%m') AS month, {FROZEN} FROM obs WHERE unit = 'KG' GROUP BY ALL""")
 def frozen_monthly(spark, sf):
-    obs = t.observations(spark, sf).filter("unit = 'KG'")
+    obs = t.observations(spark, sf, unit="KG")
     return units.frozen_equivalent_totals(obs, keys=["series", "month"]).select("series", m(), "fresh", "dried", "other")
 
 
@@ -208,7 +210,7 @@ def frozen_monthly(spark, sf):
 WITH {t.OBS_SQL}
 SELECT country, year(month)::INTEGER AS year, {FROZEN} FROM obs WHERE unit = 'KG' GROUP BY ALL""")
 def frozen_yearly(spark, sf):
-    obs = t.observations(spark, sf).filter("unit = 'KG'").withColumn("year", F.year("month"))
+    obs = t.observations(spark, sf, unit="KG").withColumn("year", F.year("month"))
     return units.frozen_equivalent_totals(obs, keys=["country", "year"])
 
 
@@ -218,7 +220,7 @@ SELECT strftime(month, '%Y-%m') AS month, {FROZEN} FROM obs
 WHERE unit = 'KG' AND month BETWEEN DATE '1997-03-01' AND DATE '2000-06-01' AND country = 'NATION_4' AND form <> 'other'
 GROUP BY ALL""")
 def filtered_months(spark, sf):
-    obs = t.observations(spark, sf).filter("unit = 'KG'")
+    obs = t.observations(spark, sf, unit="KG")
     rows = headline.interactive_filter(obs, start="1997-03", end="2000-06", country=(F.col("country"), "NATION_4"))
     return units.frozen_equivalent_totals(rows.filter("form <> 'other'"), keys=["month"]).select(m(), "fresh", "dried", "other")
 
@@ -243,7 +245,7 @@ def recent_or_first(spark, sf):
 WITH {t.OBS_SQL}, l AS (SELECT series, max(month) AS month FROM obs WHERE unit = 'KG' GROUP BY ALL)
 SELECT series, strftime((month - INTERVAL 11 MONTH)::DATE, '%b %Y') AS range_start, strftime(month, '%b %Y') AS range_end FROM l""")
 def rolling_ranges(spark, sf):
-    latest = t.observations(spark, sf).filter("unit = 'KG'").groupBy("series").agg(F.max("month").alias("month"))
+    latest = t.observations(spark, sf, unit="KG").groupBy("series").agg(F.max("month").alias("month"))
     return latest.select("series", *ts.rolling_range(F.col("month")))
 
 
@@ -307,7 +309,7 @@ FROM x, i)"""
 @add("headline_kpis", "A26 A15 F24 W2", f"WITH {t.OBS_SQL}, {KPI_SQL} SELECT * FROM kpi")
 def headline_kpis(spark, sf):
     return headline.headline_kpis(
-        t.observations(spark, sf), export_series="F", import_series="O", **kpi_inputs(spark, sf)
+        t.observations(spark, sf, unit="KG"), export_series="F", import_series="O", **kpi_inputs(spark, sf)
     )
 
 
@@ -337,5 +339,5 @@ WITH {t.OBS_SQL}
 SELECT series, strftime(month, '%Y-%m') AS month, country, sum(value)::DOUBLE AS value
 FROM obs WHERE upper(unit) = 'KG' GROUP BY ALL""")
 def adhoc_trade_flow(spark, sf):
-    obs = t.observations(spark, sf).withColumn("unit", F.upper("unit"))
+    obs = t.observations(spark, sf, unit="KG").withColumn("unit", F.upper("unit"))
     return ts.monthly_sum(obs, keys=["series", "country"], unit=("unit", "KG")).select("series", m(), "country", d("value"))

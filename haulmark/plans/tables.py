@@ -15,15 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier key to nation name. Left to the planner's size check: suppliers grow with the data."""
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", F.col("n_name").alias("country"))
+# Measure of each unit in a line item.
+UNITS = {"KG": "l_quantity", "USD": "l_extendedprice"}
 
 
-def observations(spark: SparkSession, sf_dir: str, *, blank_form: bool = False) -> DataFrame:
-    """Long observations: two rows per line item, weight and value.
+def observations(
+    spark: SparkSession, sf_dir: str, *, unit: str | None = None, blank_form: bool = False
+) -> DataFrame:
+    """Long observations: two rows per line item, weight and value, or only the rows of one ``unit``.
 
     Line status is the series, the return flag the product form (R frozen, A dried, N other).
     ``blank_form`` leaves the form of N lines blank, with a note to infer it from.
@@ -31,22 +30,24 @@ def observations(spark: SparkSession, sf_dir: str, *, blank_form: bool = False)
     li = table(spark, sf_dir, "lineitem")
     form = F.when(F.col("l_returnflag") == "R", "frozen").when(F.col("l_returnflag") == "A", "dried")
     form = form.otherwise("" if blank_form else "other")
-    lines = li.select(
+    shared = [
         "l_suppkey",
         F.trunc("l_shipdate", "month").alias("month"),
         F.col("l_linestatus").alias("series"),
         form.alias("form"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("notes"),
-        F.explode(
-            F.array(
-                F.struct(F.lit("KG").alias("unit"), F.col("l_quantity").cast(MEASURE).alias("value")),
-                F.struct(F.lit("USD").alias("unit"), F.col("l_extendedprice").cast(MEASURE).alias("value")),
-            )
-        ).alias("m"),
-    )
-    return lines.join(suppliers(spark, sf_dir), lines.l_suppkey == F.col("s_suppkey")).select(
-        "month", "series", "country", "form", "notes", "m.unit", "m.value"
-    )
+    ]
+    if unit:
+        lines = li.select(*shared, F.lit(unit).alias("unit"), F.col(UNITS[unit]).cast(MEASURE).alias("value"))
+    else:
+        pairs = [x for u, c in UNITS.items() for x in (F.lit(u), F.col(c).cast(MEASURE))]
+        lines = li.select(*shared, F.stack(F.lit(len(UNITS)), *pairs).alias("unit", "value"))
+    # Left-deep, so that every dimension is sized by its own file: the planner multiplies the sizes
+    # of a nested join and would take the fact table for the smaller side.
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    placed = lines.join(s, lines.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    return placed.select("month", "series", "country", "form", "notes", "unit", "value")
 
 
 # The same long table for the reference queries in SQL.

@@ -80,6 +80,14 @@ class Stages:
                 self._delete(path)
 
 
+def kept(df: DataFrame, job: str) -> DataFrame:
+    """A small pre-aggregate written once to the shared folder, for operators that read it several times.
+
+    Without it every consumer would prune the aggregate differently and scan the facts again.
+    """
+    return Stages(df.sparkSession, job).keep(job, df)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Size the optimizer expects, from file statistics."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

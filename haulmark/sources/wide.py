@@ -161,5 +161,5 @@ def _last_months(latest: DataFrame) -> DataFrame:
 def two_units(df: DataFrame, units: Mapping[str, str], *, value: str = "value", unit: str = "unit") -> DataFrame:
     """One row per (unit, measure column) instead of one wide row."""
     keep = [c for c in df.columns if c not in units.values()]
-    melted = F.explode(F.array(*[F.struct(F.lit(u).alias(unit), F.col(c).alias(value)) for u, c in units.items()]))
-    return df.select(*keep, melted.alias("_m")).select(*keep, f"_m.{value}", f"_m.{unit}")
+    pairs = [x for u, c in units.items() for x in (F.lit(u), F.col(c))]
+    return df.select(*keep, F.stack(F.lit(len(units)), *pairs).alias(unit, value))
