@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # English month abbreviations of the mail date format and of month labels.
 MONTH_ABBREVIATIONS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
@@ -53,6 +54,16 @@ def iso_prefix(c: Column) -> Column:
     return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(head, "yyyy-MM-dd"))
 
 
+def day_of(df: DataFrame, column: str) -> Column:
+    """DATE of a column of ``df``; one that is a date already is used as it is, so filters reach the scan."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.col(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(column)
+    return iso_prefix(F.col(column))
+
+
 def mail_date(c: Column) -> Column:
     """Date of an RFC-822 stamp in the zone the stamp was written in (no conversion)."""
     pattern = r"^(?i:mon|tue|wed|thu|fri|sat|sun), (\d{1,2}) ([A-Za-z]{3}) (\d{4}) \d{2}:\d{2}:\d{2} [+-]\d{2}:?\d{2}$"

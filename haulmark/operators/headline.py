@@ -55,7 +55,7 @@ def direct_supply(by_bucket: DataFrame, *, value: str = "value", bucket: str = "
 
 def trailing_count(df: DataFrame, *, day: str, as_of: Column, days: int = 90, keep: Column | None = None) -> Column:
     """Scalar count of rows dated within ``days`` of ``as_of`` that pass ``keep``."""
-    d = dates.iso_prefix(F.col(day))
+    d = dates.day_of(df, day)
     test = (d >= F.date_sub(as_of, days)) & (keep if keep is not None else F.lit(True))
     return df.agg(F.count_if(F.coalesce(test, F.lit(False))).alias("n")).scalar()
 

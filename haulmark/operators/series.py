@@ -189,7 +189,7 @@ def season_chip(
 
 def trailing_days(df: DataFrame, *, day: str | Column, as_of: Column, days: int) -> DataFrame:
     """Rows dated within ``days`` of ``as_of``; rows whose day does not parse are dropped."""
-    d = dates.iso_prefix(F.col(day)) if isinstance(day, str) else day
+    d = dates.day_of(df, day) if isinstance(day, str) else day
     return df.filter(d >= F.date_sub(as_of, days))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import measures, names
-from ..session import small_side
+from ..session import kept, small_side
 from .lines import first_lines, split_cells
 from .wide import two_units
 
@@ -59,7 +59,8 @@ def keyed_cells(lines: DataFrame, *, rename: Mapping[str, Sequence[str]] | None
             F.transform("names", lambda n, i: F.when(F.array_position(F.col("names"), n) == i + 1, n)),
         )
     missing = F.array_except(F.array(*[F.lit(r) for r in required]), F.array_compact("names"))
-    checked = head.withColumn("missing", missing)
+    # One row per file; stored, so that the broadcast decision rests on its real size.
+    checked = kept(head.withColumn("missing", missing), "headers")
     good = checked.filter(F.size("missing") == 0).select("file", "header_pos", "names")
     bad = checked.filter(F.size("missing") > 0).select("file", F.array_join("missing", ", ").alias("missing"))
     cells = F.transform(split_cells(F.col("text")), lambda c: F.trim(c))

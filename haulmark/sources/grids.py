@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, measures, names
-from ..session import small_side
+from ..session import kept, small_side
 from .wide import two_units
 
 # Header words of the quarantine tables.
@@ -213,13 +213,14 @@ def annual_grid(grid: DataFrame, *, series: Column, products: Mapping[str, tuple
         .groupBy("file", "table_no")
         .agg(F.min_by(F.struct("row_no", "at_product", "at_country", "months"), "row_no").alias("h"))
     )
+    head = kept(head, "headers")
     # The line below the headings repeats the sub-headings.
     body = rows.filter(~_blank_row()).join(small_side(head), ["file", "table_no"]).filter(F.col("row_no") > F.col("h.row_no") + 1)
     named = body.withColumn("product", _fill_down(_at(c, F.col("h.at_product")))).withColumn("country", _at(c, F.col("h.at_country")))
-    kept = named.filter(
+    chosen_rows = named.filter(
         F.col("product").isin(list(products)) & (F.col("country") != "") & ~is_subtotal(F.col("country")) & ~is_subtotal(F.col("product"))
     )
-    cells = kept.select("file", "product", "country", "cells", F.explode("h.months").alias("m")).select(
+    cells = chosen_rows.select("file", "product", "country", "cells", F.explode("h.months").alias("m")).select(
         F.col("m.date").alias("date"),
         "country",
         F.concat(F.lit("source: "), F.col("file"), F.lit(" | product: "), F.col("product")).alias("notes"),
@@ -251,13 +252,14 @@ def monthly_grid(grid: DataFrame, *, series: Column, period: Column) -> DataFram
         .agg(F.min_by(F.struct("row_no", "a", "b", "n", "w"), "row_no").alias("h"))
         .filter("h.a is not null and h.b is not null and h.n is not null and h.w is not null")
     )
+    head = kept(head, "headers")
     body = rows.filter(~_blank_row()).join(small_side(head), ["file", "table_no"]).filter(F.col("row_no") > F.col("h.row_no"))
     named = body.withColumn("country", _fill_down(_at(c, F.col("h.a")))).withColumn("product", _at(c, F.col("h.b")))
-    kept = named.filter(
+    chosen_rows = named.filter(
         (F.col("country") != "") & (F.col("product") != "") & ~is_subtotal(F.col("product")) & ~is_subtotal(F.col("country"))
     )
     code, form = PRODUCTS["녹용"]
-    cells = kept.select(
+    cells = chosen_rows.select(
         period.alias("date"),
         "country",
         F.concat(F.lit("source: "), F.col("file")).alias("notes"),
@@ -290,7 +292,9 @@ def header_records(grid: DataFrame, *, required: Sequence[str], header_row: int
         .groupBy("file", "table_no", "at", cell.alias("name"))
         .agg(F.max("col_no").alias("col_no"))
     )
-    head = headings.groupBy("file", "table_no", "at").agg(F.collect_list(F.struct("name", "col_no")).alias("headings"))
+    head = kept(
+        headings.groupBy("file", "table_no", "at").agg(F.collect_list(F.struct("name", "col_no")).alias("headings")), "headers"
+    )
     body = grid_rows(grid).join(small_side(head), ["file", "table_no"]).filter((F.col("row_no") > F.col("at")) & ~_blank_row())
     named = F.map_from_entries(
         F.transform("headings", lambda h: F.struct(h["name"].alias("k"), _at(F.col("cells"), h["col_no"]).alias("v")))

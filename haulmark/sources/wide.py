@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, measures, names
-from ..session import small_side
+from ..session import kept, small_side
 from .lines import cell_at, first_lines, split_cells
 
 # Product rules (substring of the description -> code, ten-digit code, form), in order.
@@ -112,19 +112,20 @@ def wide_to_long(
     Lines with a blank first cell are skipped; the first other line that is not a month ends the
     file. The last three distinct months in file order are provisional.
     """
-    per_file = column_slots(lines, **header)
+    # One row per file; stored, so that the broadcast decision rests on its real size.
+    per_file = kept(column_slots(lines, **header), "headers")
     stripped = lines.withColumn("first", F.trim(cell_at(split_cells(F.regexp_extract("text", r'^("(?:[^"]|"")*"|[^,]*)', 1)), 0)))
     dated = stripped.withColumn("date", dates.compact_period(F.when(F.col("first").contains("M"), F.col("first"))))
     body = dated.join(small_side(per_file.select("file", "header_pos")), "file").filter(
         (F.col("pos") > F.col("header_pos")) & (F.col("first") != "")
     )
     stops = body.filter(F.col("date").isNull()).groupBy("file").agg(F.min("pos").alias("stop_pos"))
-    bounds = per_file.join(stops, "file", "left")
+    bounds = kept(per_file.join(stops, "file", "left"), "bounds")
     rows = dated.filter(F.col("date").isNotNull()).join(small_side(bounds), "file").filter(
         (F.col("pos") > F.col("header_pos")) & (F.col("stop_pos").isNull() | (F.col("pos") < F.col("stop_pos")))
     )
     latest = rows.groupBy("file", "date").agg(F.min("pos").alias("seen"))
-    provisional = _last_months(latest)
+    provisional = kept(_last_months(latest), "provisional")
     split = rows.join(small_side(provisional), "file").select(
         "file",
         "date",
