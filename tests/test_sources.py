@@ -256,3 +256,15 @@ def test_sections(spark):
     status = catalog.section_status({"s": rows}).first()
     assert (status.n_rows, status.last_updated, status.has_data) == (1, "2024-01", True)
     assert [r.series for r in catalog.unassigned_series(df, src, "t").collect()] == ["b"]
+
+
+def test_fixed_values_drive_the_operators(spark):
+    from haulmark.functions import names, text, vocabulary as v
+
+    df = spark.createDataFrame([("최신 뉴스 보여줘",), ("How much was EXPORTED?",), ("hello",)], "q string")
+    assert [r[0] for r in df.select(names.first_rule(F.col("q"), v.QUESTION_ROUTES)).collect()] == ["news_summary", "trade_flow", None]
+    answer = F.lit('{"category": "무역시장", "include_on_site": true}')
+    got = spark.range(1).select(text.parse_judgement(answer, list(v.CATEGORY_LABELS), v.DEFAULT_CATEGORY).alias("j")).select("j.*").first()
+    assert (got.category, got.relevant, got.english_title) == ("무역시장", True, "")
+    rows = customs.annual_statistics(spark, v.YEARLY_TOTALS, v.YEARLY_BY_COUNTRY, series="annual", code="0507.90", label="l", note="n")
+    assert rows.count() == 24 and rows.agg(F.sum("value")).first()[0] == sum(v.YEARLY_TOTALS.values()) + 28026
