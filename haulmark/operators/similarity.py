@@ -113,8 +113,10 @@ def _chunks(nodes: DataFrame, tile_rows: int) -> DataFrame:
     ).drop("start", "n")
 
 
-def tiles(new: DataFrame, cand: DataFrame, *, threshold: float, window: int, tile_rows: int):
-    """Both sides laid out by tile ``(bucket, a, b)``."""
+def tiles(
+    new: DataFrame, cand: DataFrame, *, threshold: float, window: int, tile_rows: int, partitions: int | None = None
+):
+    """Both sides laid out by tile ``(bucket, a, b)``, spread over ``partitions`` tasks."""
     width = window + 1
     columns = [*ROW, "len"]
     left = new.withColumn("len", F.length("title")).select(*columns, F.floor(F.col("day_no") / width).alias("bucket"))
@@ -133,7 +135,7 @@ def tiles(new: DataFrame, cand: DataFrame, *, threshold: float, window: int, til
     grid = spans(left, "a").join(spans(right, "b"), "bucket").filter(
         (F.col("b_hi") >= F.col("a_lo") * reach) & (F.col("a_hi") >= F.col("b_lo") * reach)
     ).select("bucket", "a", "b")
-    parts = int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def placed(df: DataFrame, name: str) -> DataFrame:
         rows = df.withColumnRenamed("chunk", name).join(grid, ["bucket", name])
@@ -162,6 +164,7 @@ def similar_pairs(
     threshold: float = MATCH_RATIO,
     window: int = WINDOW_DAYS,
     tile_rows: int = 512,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Accepted ``(node, cand, ratio)`` pairs.
 
@@ -182,7 +185,9 @@ def similar_pairs(
             }
         )
 
-    left, right = tiles(new, cand, threshold=threshold, window=window, tile_rows=tile_rows)
+    left, right = tiles(
+        new, cand, threshold=threshold, window=window, tile_rows=tile_rows, partitions=partitions
+    )
     return _by_tile(left, right, match, "node bigint, cand bigint, cand_day int, settled boolean, ratio double")
 
 

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import scratch_root
+from ..session import scratch_folder
 from ..streaming import incremental as inc
 from . import tables as t
 from .registry import REGISTRY
@@ -15,7 +15,7 @@ add = REGISTRY.add
 
 
 def place(spark, job):
-    root = f"{scratch_root(spark)}/haulmark/{job}-{uuid.uuid4().hex}"
+    root = f"{scratch_folder(spark)}/{job}-{uuid.uuid4().hex}"
     return f"{root}/drop", f"{root}/table", f"{root}/progress"
 
 
@@ -65,13 +65,14 @@ WHERE ts::DATE < (SELECT max(ts)::DATE FROM events) GROUP BY ALL""")
 def streamed_windows(spark, sf):
     """Day windows with a watermark: every day that the last event has closed."""
     drop, table, progress = place(spark, "windows")
-    # The event files carry zone-free stamps; a watermark needs an instant.
-    e = t.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    # The event files carry zone-free UTC stamps; a watermark needs an instant.
+    instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    e = t.table(spark, sf, "events").withColumn("ts", instant)
     e.repartitionByRange(4, "ts").write.parquet(drop)
     stream = inc.file_stream(spark, drop, e.schema, files_per_batch=4)
     rows = inc.windowed_totals(
         stream, event_time="ts", size="1 day", delay="0 seconds", keys=["event_type"], value=F.col("value").cast("decimal(18,3)")
-    ).select("event_type", F.date_format("window.start", "yyyy-MM-dd").alias("day"), F.col("value").cast("double").alias("value"), "n")
+    ).select("event_type", F.date_format(F.to_utc_timestamp("window.start", F.current_timezone()), "yyyy-MM-dd").alias("day"), F.col("value").cast("double").alias("value"), "n")
     query = (
         rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", progress)
         .outputMode("append").trigger(availableNow=True).start()

@@ -44,6 +44,21 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{scratch_root(spark)}/haulmark/{spark.sparkContext.applicationId}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drops every intermediate table this application wrote. Call it when no result is needed any more."""
+    delete_path(spark, scratch_folder(spark))
+
+
 class Stages:
     """Written intermediate tables of one iterative job.
 
@@ -54,7 +69,7 @@ class Stages:
 
     def __init__(self, spark: SparkSession, job: str):
         self.spark = spark
-        self.base = f"{scratch_root(spark)}/haulmark/{job}-{uuid.uuid4().hex}"
+        self.base = f"{scratch_folder(spark)}/{job}-{uuid.uuid4().hex}"
         self._round = 0
         self._paths: dict[str, str] = {}
 
@@ -69,9 +84,7 @@ class Stages:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        delete_path(self.spark, path)
 
     def release(self, *names: str) -> None:
         for name in names:
