@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.session import Stages
+from haulmark.session import Stages, small_side
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: 256 to 2048 characters, up to the first sentence mark; what is left at the end, or has no mark, as it comes.
@@ -35,13 +35,15 @@ def _fingerprint(chunk: Column, bits: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(chunk), 64 - bits) if bits < 64 else F.xxhash64(chunk)
 
 
-def chunk_ranks(chunks: DataFrame) -> DataFrame:
-    """(fp, chunk, rank) of the contents that share their fingerprint with another; empty when each stands for one."""
-    contents = chunks.groupBy("fp", "chunk").agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    shared = contents.groupBy("fp").agg(F.count(F.lit(1)).alias("_n"), F.min("chunk").alias("_a"), F.max("chunk").alias("_b"))
-    shared = shared.filter("_n > 1 and _a <> _b").select("fp")
-    more = contents.join(shared, "fp", "left_semi")
-    # A rank is the number of smaller contents; pairs only among the contents of one fingerprint.
+def shared_fingerprints(chunks: DataFrame) -> DataFrame:
+    """Fingerprints that stand for more than one content. The chunks move once; their counts follow without them."""
+    contents = chunks.groupBy("fp", "chunk").agg(F.count(F.lit(1)).alias("_n"))
+    return contents.groupBy("fp").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("fp")
+
+
+def chunk_ranks(chunks: DataFrame, shared: DataFrame) -> DataFrame:
+    """(fp, chunk, rank) of the contents under a shared fingerprint; a rank is the number of smaller contents."""
+    more = chunks.join(small_side(shared), "fp", "left_semi").distinct()
     lower = more.select(F.col("fp").alias("_fp"), F.col("chunk").alias("_c"))
     pairs = more.join(lower, (F.col("fp") == F.col("_fp")) & (F.col("_c") < F.col("chunk")), "left")
     return pairs.groupBy("fp", "chunk").agg(F.count("_c").cast("int").alias("rank"))
@@ -68,11 +70,11 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", bits:
         F.transform("chunks", lambda c: _fingerprint(c, bits)).alias("fps"),
     )
     rows = stages.keep("recipes", rows)
-    ranked = stages.keep("ranks", chunk_ranks(
-        rows.select(F.explode("chunks").alias("chunk")).select(_fingerprint(F.col("chunk"), bits).alias("fp"), "chunk")
-    ))
+    chunks = rows.select(F.explode("chunks").alias("chunk")).select(_fingerprint(F.col("chunk"), bits).alias("fp"), "chunk")
+    shared = stages.keep("shared", shared_fingerprints(chunks))
     recipes = rows.drop("chunks").withColumn("ranks", F.array().cast("array<int>"))
-    if not ranked.isEmpty():
+    if not shared.isEmpty():
+        ranked = stages.keep("ranks", chunk_ranks(chunks, shared))
         places = rows.select("row", F.posexplode(F.arrays_zip("fps", "chunks"))).select("row", "pos", "col.fps", "col.chunks")
         known = places.join(ranked, (F.col("fps") == F.col("fp")) & (F.col("chunks") == F.col("chunk")))
         known = known.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("pos", "rank"))).alias("_r"))
