@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from haulmark.session import Stages, small_side
 
@@ -82,3 +83,20 @@ def filter_rows(docs: DataFrame, decided: DataFrame, stages: Stages) -> DataFram
     repeated = small_side(repeated)
     once = docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return left.join(repeated, same, "left_anti").unionByName(once)
+
+
+def add_columns(docs: DataFrame, text: str, ddl: str, compute) -> DataFrame:
+    """All columns of ``docs`` and those of ``ddl``; ``compute`` makes them, as Arrow arrays, from the texts of a slice.
+
+    A column of ``docs`` that has the name of a new one is replaced.
+    """
+    new = StructType.fromDDL(ddl)
+    docs = docs.drop(*new.names)
+    schema = StructType(docs.schema.fields + new.fields)
+
+    def run(batches):
+        for batch in slices(batches, text):
+            arrays = [*batch.columns, *compute(texts_of(batch, text))]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return docs.mapInArrow(run, schema)

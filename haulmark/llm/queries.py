@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from haulmark.plans.registry import Registry
 
-from . import exact
-from .blocks import table
+from . import exact, language
+from .blocks import held_out, table
 
 LLM = Registry()
 
@@ -25,3 +26,12 @@ window by_text as (partition by flat order by n_points desc, doc_id)
 @LLM.add("op1_exact_copies", "1", COPIES_SQL)
 def op1_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.copies(table(spark, sf_dir, "documents")).drop("n_chunks", "text_key")
+
+
+@LLM.add("op9_language", "9")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, ~held_out())
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_rejected"
+    )
