@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from haulmark.plans.registry import Registry
 
-from . import exact, language
+from . import exact, language, near
 from .blocks import held_out, table
 
 LLM = Registry()
@@ -35,3 +35,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_rejected"
     )
+
+
+@LLM.add("op6_near_copies", "6")
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_copies(table(spark, sf_dir, "documents")).drop("text_key")
