@@ -3,7 +3,7 @@
 Letters stay, everything else is one word border. Every run of two to four characters inside a word (borders included) is a
 subword; its hash picks a row of an embedding table. The mean of the rows of a text goes through a linear softmax. Table and
 softmax are trained together by stochastic gradient descent in numpy on windows of a bounded sample of labelled rows:
-``per_language`` documents for each label, three windows of at most ``window`` characters each, taken anywhere in the text.
+about ``per_language`` documents for each label, three windows of at most ``window`` characters each, taken anywhere in the text.
 
 A quarter of the sample is not trained on. On it the logits get a scale that grows with the number of subwords, so that the
 score is the probability of being right for short and long texts alike, and the rejection threshold is set: the score below
@@ -23,7 +23,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from haulmark.session import Stages, small_side
 
 from .blocks import add_columns, categories, code_points, slices, texts_of
 
@@ -123,14 +124,16 @@ def _windows(texts: list[str], langs: list[str], window: int, seed: int) -> tupl
 
 
 def sample(docs: DataFrame, learn: Column, *, lang: str, text: str, doc_id: str, per_language: int, window: int) -> pd.DataFrame:
-    """Windows of ``per_language`` rows of each label, picked by a hash of the id; at most three short texts a row."""
+    """Windows of about ``per_language`` rows of each label, picked by a hash of the id; three windows a row."""
     known = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     mixed = F.xxhash64(F.col(doc_id), F.lit("language sample"))
-    # Ids first, so that the texts of the rows that are not picked are never sorted.
-    ids = known.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), mixed.alias("_mix"))
-    rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_mix", "_id"))
-    ids = ids.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("_id", "_lang").distinct()
-    rows = known.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).join(ids.withColumnRenamed("_lang", "lang"), ["_id", "lang"])
+    # Counts and ids first, so that texts are read only for the rows that are picked.
+    stages = Stages(docs.sparkSession, "language")
+    ids = known.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), (F.pmod(mixed, F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("_u"))
+    counts = stages.keep("counts", ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")))
+    ids = ids.join(small_side(counts), "_lang").filter(F.col("_u") * F.col("_n") < per_language)
+    ids = small_side(stages.keep("ids", ids.select("_id", F.col("_lang").alias("lang")).distinct()))
+    rows = known.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).join(ids, ["_id", "lang"])
 
     def cut(batches):
         for batch in slices(batches, "text"):
