@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.plans.registry import Registry
 
-from . import exact, language, near
+from . import byte_bpe, exact, language, mixing, near
 from .blocks import held_out, table
 
 LLM = Registry()
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: A flatter mix of sources and languages; topics keep their shares.
+MIXTURE = mixing.Mixture(
+    sources=[f"src{i}" for i in range(20)],
+    langs=["de", "en", "es", "fr"],
+    topics=[
+        ("legal", r"[Ll]icen[sc]ed? |[Cc]opyright|[Aa]ll rights reserved"),
+        ("contact", r"[A-Za-z0-9]@[A-Za-z0-9]|\+[0-9]+ "),
+        ("table", r" \| "),
+        ("noise", r"[#$%&*][#$%&*][#$%&*]"),
+    ],
+    powers={"source": 0.7, "lang": 0.8, "topic": 1.0},
+)
+
 COPIES_SQL = r"""
 with flat as (
   select doc_id, length(coalesce(text, '')) as n_points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as flat
@@ -40,3 +55,20 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.add("op6_near_copies", "6")
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_copies(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@LLM.add("op7_byte_bpe", "7")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode(docs, BYTE_RANKS).drop("text")
+    return byte_bpe.decode(coded, BYTE_RANKS).select(
+        "doc_id",
+        F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@LLM.add("op8_mixture", "8", mixing.rake_sql(MIXTURE))
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), MIXTURE).drop("text_key")
