@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from haulmark.plans.registry import Registry
 
-from . import byte_bpe, exact, language, mixing, near
+from . import byte_bpe, exact, language, mixing, near, topk
 from .blocks import held_out, table
 
 LLM = Registry()
@@ -72,3 +72,21 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.add("op8_mixture", "8", mixing.rake_sql(MIXTURE))
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIXTURE).drop("text_key")
+
+
+TOP_K_SQL = """
+with v as (
+  select vec_id, [floor(64 * x::double)::bigint for x in embedding] as vec from embeddings
+  where vec_id is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.vec::double[], c.vec::double[])::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 20
+"""
+
+
+@LLM.add("op3_top_k", "3", TOP_K_SQL)
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=20, is_query=F.col("vec_id") % 20 == 0)
