@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.plans.registry import Registry
+from haulmark.session import scratch_folder
 
-from . import byte_bpe, exact, language, mixing, near, topk
+from . import byte_bpe, exact, language, mixing, near, token_files, topk
 from .blocks import held_out, table
 
 LLM = Registry()
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: A flatter mix of sources and languages; topics keep their shares.
 MIXTURE = mixing.Mixture(
     sources=[f"src{i}" for i in range(20)],
@@ -90,3 +94,10 @@ select query_id, rank::int as rank, vec_id, score from r where rank <= 20
 @LLM.add("op3_top_k", "3", TOP_K_SQL)
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=20, is_query=F.col("vec_id") % 20 == 0)
+
+
+@LLM.add("op2_token_files", "2")
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{scratch_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), folder, WORD_TOKENIZER)
+    return token_files.read(spark, folder, with_ids=False)
