@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from haulmark.plans.registry import Registry
 from haulmark.session import scratch_folder
 
-from . import byte_bpe, exact, language, mixing, near, token_files, topk
+from . import byte_bpe, exact, language, mixing, near, token_files, topk, toxicity
 from .blocks import held_out, table
 
 LLM = Registry()
@@ -101,3 +101,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch_folder(spark)}/tokens-{uuid.uuid4().hex}"
     token_files.write(table(spark, sf_dir, "documents"), folder, WORD_TOKENIZER)
     return token_files.read(spark, folder, with_ids=False)
+
+
+@LLM.add("op10_toxicity", "10")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out())
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted")
+    )
