@@ -1,9 +1,9 @@
 """Near copies by ProbMinHash over weighted word shingles, banding and exact verification.
 
 A document is the weighted set of its runs of five words (lower case, split at white space; a text of fewer words is one
-shingle). The weight of a shingle is ``1 + ln(count)``. The similarity of two documents is the larger of the Jaccard
-similarity of their shingle sets and the probability Jaccard similarity of their weights; 0.8 or more is a link. Classes are
-the connected components of the links. Documents without a word have no links.
+shingle); the weight of a shingle is ``1 + ln(count)``. Registers drawn from the weights find candidates. A candidate pair is a
+link when the Jaccard similarity of the two shingle sets, counted exactly, is 0.8 or more. Classes are the connected
+components of the links. Documents without a word have no links.
 
 * **Signatures.** Every shingle is a Poisson process whose rate is its weight. Its arrivals fall on random registers; a register
   keeps the shingle that arrives first. Registers of two documents agree with the probability Jaccard similarity. All shingles
@@ -11,9 +11,11 @@ the connected components of the links. Documents without a word have no links.
   register take the second, and so on: most stop after one.
 * **Copies** in shingles are one node, found by a 128-bit digest of the weighted set, so a copied text never multiplies.
 * **Bands.** 32 bands of 5 registers: a link at exactly 0.8 is missed with probability 3e-6.
-* **Candidates** of a bucket are not all its pairs. In the first round every member is compared with the smallest member. Rounds
-  go on only in buckets whose members are still in different components, with a random set of leaders that doubles, until each
-  member has led or one component is left. Pairs of one component need no comparison: their link changes nothing.
+* **Candidates** of a bucket are not all its pairs. In the first round every member meets the smallest member. Rounds go on
+  only in buckets whose members are still in different components, with a random set of leaders that grows sixteenfold, until
+  each member has led or one component is left. Pairs of one component need no comparison: their link changes nothing. A pair
+  that meets is a candidate when the sizes of its sets allow 0.8 and one bit of each register differs on at most 40 of the 160
+  registers, where a link is expected to differ on 16 (more than 40 for one link in 1e8).
 * **Verification** reads the shingles of the documents in candidate pairs only, computed again from their texts.
 * **Components** by choosing the smallest neighbour, following the choices to their roots, and contracting.
 
@@ -39,13 +41,16 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 5
-#: Leaders of a bucket in the second round; doubled in every further one.
-LEADERS = 8
+#: Leaders of a bucket in the second round, and the factor by which they grow in every further one.
+LEADERS = 16
+#: Most registers of a candidate pair whose bits differ.
+DIFFERING = 40
 _SPACES = np.array(
     [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
     dtype=np.uint32,
 )
 _BASE = np.uint64(0x100000001B3)
+BITS = ("b0", "b1", "b2")
 _PLACES = mix(np.arange(1, 64, dtype=np.uint64) * GOLD) | np.uint64(1)
 
 
@@ -127,25 +132,14 @@ def _digests(owner: np.ndarray, code: np.ndarray, count: np.ndarray, texts: int)
     return halves[0], halves[1]
 
 
-def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
-    """The larger of set Jaccard and probability Jaccard of two sorted weighted sets."""
-    _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not ia.size:
-        return 0.0
-    plain = ia.size / (len(a) + len(b) - ia.size)
-    # P(element i is first in both) = 1 / sum over j of max(a_j / a_i, b_j / b_i); with r = b/a the maximum switches at r_i.
-    x, y = wa[ia], wb[ib]
-    only_a, only_b = wa.sum() - x.sum(), wb.sum() - y.sum()
-    ratio = y / x
-    order = np.argsort(ratio)
-    x, y, ratio = x[order], y[order], ratio[order]
-    below, above = np.cumsum(x), y.sum() - np.cumsum(y)
-    total = (only_a + below) / x + (only_b + above) / y
-    return max(plain, float((1.0 / total).sum()))
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of distinct hashes."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / max(1, len(a) + len(b) - common)
 
 
 def _profile_rows(docs: DataFrame, text: str, key: list[str]) -> DataFrame:
-    """key, d1, d2, n_shingles and the band keys of each row."""
+    """key, d1, d2, n_shingles, one bit of each register, and the band keys of each row."""
     keep = docs.select(*key, F.col(text).alias("_text"))
 
     def run(batches):
@@ -158,57 +152,51 @@ def _profile_rows(docs: DataFrame, text: str, key: list[str]) -> DataFrame:
             for i in range(ROWS):
                 band = mix(band ^ sig[:, :, i]) + _PLACES[i]
             bands = pa.FixedSizeListArray.from_arrays(pa.array(band.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
+            bits = np.zeros((len(texts), 192), dtype=np.uint8)
+            bits[:, : BANDS * ROWS] = (mix(sig).reshape(len(texts), -1) & np.uint64(1)).astype(np.uint8)
+            bits = np.packbits(bits, axis=1).view(np.int64)
             n = np.bincount(owner, minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(len(key))], pa.array(d1), pa.array(d2), pa.array(n), bands],
-                names=[*key, "d1", "d2", "n_shingles", "bands"],
+                [*[batch.column(i) for i in range(len(key))], *[pa.array(x) for x in (d1, d2, n, *np.ascontiguousarray(bits.T))], bands],
+                names=[*key, "d1", "d2", "n_shingles", *BITS, "bands"],
             )
 
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep.schema.fields[:-1])
-    return keep.mapInArrow(run, f"{types}, d1 bigint, d2 bigint, n_shingles bigint, bands array<bigint>")
+    return keep.mapInArrow(run, f"{types}, d1 bigint, d2 bigint, n_shingles bigint, b0 bigint, b1 bigint, b2 bigint, bands array<bigint>")
 
 
 def _shingle_rows(docs: DataFrame) -> DataFrame:
-    """(node, hashes, counts) of rows (node, _text), as little-endian bytes."""
+    """(node, hashes) of rows (node, _text): the distinct shingles as bytes."""
 
     def run(batches):
         for batch in slices(batches, "_text"):
             texts = texts_of(batch, "_text")
-            owner, code, count = shingles(texts)
+            owner, code, _ = shingles(texts)
             cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-            small = count.astype(np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([code[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                    pa.array([small[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                ],
-                names=["node", "hashes", "counts"],
-            )
+            sets = [code[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
 
-    return docs.select("node", "_text").mapInArrow(run, "node bigint, hashes binary, counts binary")
+    return docs.select("node", "_text").mapInArrow(run, "node bigint, hashes binary")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) that reach the threshold. ``b`` brings its own set; the set of the leader ``a`` is looked up last."""
+    """Roots (ra, rb) of the pairs (a, ra, b, rb) that reach the threshold.
 
-    def side(name: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("hashes").alias(f"h{name}"), F.col("counts").alias(f"c{name}"))
-
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    ``b`` brings its own set first; the set of the leader ``a``, which may be in many pairs, is looked up last.
+    """
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
+    both = both.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
 
     def run(batches):
         for batch in batches:
-            a, b, ha, ca, hb, cb = (batch.column(i) for i in range(6))
-            ok = []
-            for i in range(batch.num_rows):
-                x, y = np.frombuffer(ha[i].as_buffer(), np.uint64), np.frombuffer(hb[i].as_buffer(), np.uint64)
-                wx = weights(np.frombuffer(ca[i].as_buffer(), np.uint32))
-                wy = weights(np.frombuffer(cb[i].as_buffer(), np.uint32))
-                ok.append(similarity(x, wx, y, wy) >= threshold)
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            ra, rb, ha, hb = (batch.column(i) for i in range(4))
+            ok = [
+                similarity(np.frombuffer(ha[i].as_buffer(), np.uint64), np.frombuffer(hb[i].as_buffer(), np.uint64)) >= threshold
+                for i in range(batch.num_rows)
+            ]
+            yield pa.RecordBatch.from_arrays([ra, rb], names=["ra", "rb"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", "ha", "ca", "hb", "cb").mapInArrow(run, "a bigint, b bigint")
+    return both.select("ra", "rb", "ha", "hb").mapInArrow(run, "ra bigint, rb bigint")
 
 
 def components(edges: DataFrame, stages: Stages) -> DataFrame:
@@ -241,21 +229,28 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return labels
 
 
-def _leader_pairs(members: DataFrame, turn: int, stages: Stages) -> DataFrame:
-    """Pairs (a, b) of leaders and members of one bucket. Members are (bucket, node, root) of buckets with several roots."""
-    if turn == 0:
-        lead = members.groupBy("bucket").agg(F.min("node").alias("a"))
-    else:
-        size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
-        share = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        lead = members.join(stages.keep("sizes", size), "bucket").filter(share * F.col("_n") <= LEADERS << turn)
-        lead = lead.select("bucket", F.col("node").alias("a"), F.col("root").alias("_root"))
-    lead = stages.keep("leaders", lead)
-    pairs = members.join(lead, "bucket").filter(F.col("a") != F.col("node"))
-    if turn:
-        pairs = pairs.filter(F.col("root") != F.col("_root"))
-    # The leader stays the smaller node where it is one, so that a pair found in several bands is one pair.
-    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+def _leader_pairs(members: DataFrame, leaders: int, threshold: float, stages: Stages) -> DataFrame:
+    """Candidate pairs (a, ra, b, rb) of leaders and members of one bucket that are in different components.
+
+    Members are (bucket, node, root, size, b0, b1, b2). With one leader it is the smallest node, else a random share.
+    """
+    size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("_first"))
+    named = members.join(stages.keep("sizes", size), "bucket")
+    share = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    lead = named.filter(F.col("node") == F.col("_first") if leaders == 1 else share * F.col("_n") <= leaders)
+    lead = stages.keep("leaders", lead.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("node", "root", "size", *BITS)]))
+    differing = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"_{b}"))) for b in BITS)
+    pairs = members.join(lead, "bucket").filter(
+        (F.col("root") != F.col("_root"))
+        & (F.least("size", "_size") >= threshold * F.greatest("size", "_size"))
+        & (differing <= DIFFERING)
+    )
+    # The smaller node comes first, so that a pair found in several bands is one pair.
+    ends = [F.struct("node", "root"), F.struct(F.col("_node").alias("node"), F.col("_root").alias("root"))]
+    pairs = pairs.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"))
+    return pairs.select(
+        F.col("x.node").alias("a"), F.col("x.root").alias("ra"), F.col("y.node").alias("b"), F.col("y.root").alias("rb")
+    ).distinct()
 
 
 def near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -273,50 +268,47 @@ def near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     slot = [F.col("d1"), F.col("d2"), alone.alias("alone")]
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     nodes = rows.groupBy(*slot).agg(
-        F.min_by(F.struct("row", "doc_id", "text_key", "bands", "n_shingles"), order).alias("first"),
+        F.min_by(F.struct("row", "doc_id", "text_key", "n_shingles", *BITS, "bands"), order).alias("first"),
         F.count(F.lit(1)).alias("n_copies"),
     )
     nodes = stages.keep("nodes", nodes.select(
-        "d1", "d2", "alone", "n_copies", F.col("first.row").alias("node"), "first.doc_id", "first.text_key", "first.bands",
-        "first.n_shingles",
+        "d1", "d2", "alone", "n_copies", F.col("first.row").alias("node"), "first.doc_id", "first.text_key",
+        F.col("first.n_shingles").alias("size"), *[F.col(f"first.{b}").alias(b) for b in BITS], "first.bands",
     ))
-    spread = nodes.filter("n_shingles > 0").select("node", F.explode("bands").alias("bucket"))
+    spread = nodes.filter("size > 0").select("node", "size", *BITS, F.explode("bands").alias("bucket"))
     full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
-    buckets = stages.keep("buckets", spread.join(stages.keep("full", full), "bucket"))
-    edges, sets, tried, labels = None, None, None, None
-    turn, largest = 0, buckets.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-    members = buckets.withColumn("root", F.col("node"))
+    members = spread.join(stages.keep("full", full), "bucket").withColumn("root", F.col("node"))
+    members = stages.keep("members", members)
+    known, moves, leaders = None, [], 1
+    largest = members.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
     while largest:
-        pairs = _leader_pairs(members, turn, stages)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stages.keep(f"pairs{turn}", pairs)
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        pairs = stages.keep("pairs", _leader_pairs(members, leaders, threshold, stages))
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets, "node", "left_anti")
+        if known is not None:
+            wanted = wanted.join(known.select("node"), "node", "left_anti")
         # The texts of these nodes are read again, by id and text hash.
         ids = nodes.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).join(wanted, "node", "left_semi")
-        ids = small_side(stages.keep(f"wanted{turn}", ids))
+        ids = small_side(stages.keep("wanted", ids))
         again = source.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
-        more = _shingle_rows(again.select("node", F.col("_t").alias("_text"))).dropDuplicates(["node"])
-        more = stages.keep(f"sets{turn}", more)
-        sets = more if sets is None else sets.unionByName(more)
-        found = _links(pairs, sets, threshold)
-        edges = stages.keep(f"edges{turn}", found if edges is None else edges.unionByName(found))
-        labels = components(edges, stages)
-        if turn and (LEADERS << turn) >= largest:
+        more = stages.keep(f"sets{leaders}", _shingle_rows(again.select("node", F.col("_t").alias("_text"))).dropDuplicates(["node"]))
+        known = more if known is None else known.unionByName(more)
+        links = stages.keep("links", _links(pairs, known, threshold).distinct())
+        if not links.isEmpty():
+            move = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), stages)
+            move = stages.keep(f"moves{leaders}", move.select(F.col("node").alias("root"), F.col("root").alias("_next")))
+            moves.append(small_side(move))
+            members = members.join(moves[-1], "root", "left").withColumn("root", F.coalesce("_next", "root")).drop("_next")
+            members = stages.keep("members", members)
+        if leaders >= largest:
             break
-        turn += 1
-        named = buckets.join(small_side(labels), "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        named = stages.keep("named", named)
-        active = named.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n"))
-        active = stages.keep("active", active.filter("_a <> _b"))
-        members = stages.keep("members", named.join(small_side(active.select("bucket")), "bucket"))
-        largest = active.agg(F.max("_n")).first()[0] or 0
-    if labels is None:
-        labels = nodes.select("node", F.col("node").alias("root")).limit(0)
-    classed = nodes.join(small_side(labels), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        leaders *= LEADERS
+        split = members.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n"))
+        split = stages.keep("split", split.filter("_a <> _b").select("bucket", "_n"))
+        members = stages.keep("members", members.join(split.select("bucket"), "bucket"))
+        largest = split.agg(F.max("_n")).first()[0] or 0
+    classed = nodes.drop("bands", *BITS).withColumn("root", F.col("node"))
+    for move in moves:
+        classed = classed.join(move, "root", "left").withColumn("root", F.coalesce("_next", "root")).drop("_next")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
     classes = classed.groupBy("root").agg(
         F.min("doc_id").alias("class_id"), F.sum("n_copies").alias("class_size"), F.min_by("node", order).alias("_keeper")
@@ -325,6 +317,6 @@ def near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.col("alone").alias("_alone"), "class_id", "class_size", "_keeper"
     ))
     same = (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & alone.eqNullSafe(F.col("_alone"))
-    return rows.drop("bands").join(classed, same).select(
+    return rows.drop("bands", *BITS).join(classed, same).select(
         "doc_id", "class_id", "class_size", (F.col("row") == F.col("_keeper")).alias("kept"), "n_shingles", "text_key"
     )
