@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from haulmark.plans.registry import Registry
 from haulmark.session import scratch_folder
 
-from . import byte_bpe, exact, language, mixing, near, token_files, topk, toxicity
+from . import byte_bpe, exact, language, licenses, mixing, near, personal, token_files, topk, toxicity
 from .blocks import held_out, table
 
 LLM = Registry()
@@ -111,3 +111,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out().alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@LLM.add("op4_personal_data", "4")
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@LLM.add("op5_licences", "5")
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
