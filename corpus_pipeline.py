@@ -1,26 +1,65 @@
 """From raw documents to token ids: language, exact copies, near copies, mixture, tokens.
 
 ``STAGES`` names the stages in order. Each takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
-read again as the next one's docs.
+read again as the next one's docs. A stage works on all rows that its predecessor kept, and its decisions take effect; all
+but the last return the columns of ``docs``. When a stage begins, the result of the one before is written, so the
+intermediate tables of that one are deleted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from haulmark.llm import exact
-from haulmark.llm.blocks import filter_rows
+from haulmark.llm import byte_bpe, exact, language, mixing, near
+from haulmark.llm.blocks import filter_rows, job, release
+from haulmark.llm.queries import BYTE_RANKS, MIXTURE
 from haulmark.session import Stages
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a recognised language go; a missing label is filled in. The model learns from the labelled rows."""
+    release()
+    return language.keep_identified(docs, language.fit(docs, F.lit(True)))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of equal texts the longest row stays."""
-    return filter_rows(docs, exact.copies(docs).select("doc_id", "text_key", "kept"), Stages(spark, "exact-stage"))
+    release()
+    return filter_rows(docs, exact.copies(docs).select("doc_id", "text_key", "kept"), job(spark, "exact-stage"))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the row of the smallest id stays."""
+    release()
+    return filter_rows(docs, near.near_copies(docs).select("doc_id", "text_key", "kept"), job(spark, "near-stage"))
+
+
+def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled so that token shares follow the target mixture."""
+    release()
+    return mixing.mixed(docs, MIXTURE)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Adds token_ids, n_tokens, and whether decoding the ids gives the text again."""
+    release()
+    coded = byte_bpe.decode(byte_bpe.encode(docs, BYTE_RANKS, ids="token_ids"), BYTE_RANKS, ids="token_ids", decoded="_decoded")
+    return coded.withColumns({
+        "n_tokens": F.size("token_ids").cast("bigint"),
+        "round_trip": F.col("_decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary"),
+    }).drop("_decoded")
 
 
-STAGES = [("exact copies", exact_stage)]
+STAGES = [
+    ("language identification", language_stage),
+    ("exact copies", exact_stage),
+    ("near copies", near_stage),
+    ("mixture", mixture_stage),
+    ("byte-level BPE", token_stage),
+]
 
-#: Language and near-copy decisions have no SQL form.
+#: The decisions on languages and near copies have no SQL form.
 ORACLE_SQL = None
 
 
@@ -29,4 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     stages = Stages(spark, "pipeline")
     for i, (_, stage) in enumerate(STAGES):
         docs = stages.keep(f"stage{i}", stage(spark, docs, sf_dir))
+        stages.release(f"stage{i - 1}")
+    release()
     return docs

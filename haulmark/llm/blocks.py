@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from haulmark.session import Stages, small_side
+from haulmark.session import Stages, delete_path, small_side
 
 SLICE_BYTES = 2 << 20
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -21,6 +21,23 @@ MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
 
 
+_OPEN: list[Stages] = []
+
+
+def job(spark, name: str) -> Stages:
+    """Intermediate tables of one operator, in the shared folder until ``release``."""
+    stages = Stages(spark, name)
+    _OPEN.append(stages)
+    return stages
+
+
+def release() -> None:
+    """Deletes the intermediate tables of all operators. Call it when their results are written."""
+    while _OPEN:
+        stages = _OPEN.pop()
+        delete_path(stages.spark, stages.base)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

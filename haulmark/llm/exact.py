@@ -20,7 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.session import Stages, small_side
+from haulmark.session import small_side
+
+from .blocks import job
 
 WHITE = r"[\x20\x09-\x0D]+"
 #: 256 to 2048 characters, up to the first sentence mark; what is left at the end, or has no mark, as it comes.
@@ -54,7 +56,7 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", bits:
 
     ``bits`` is the width of the chunk fingerprints; small values make them collide, for tests.
     """
-    stages = Stages(docs.sparkSession, "copies")
+    stages = job(docs.sparkSession, "copies")
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),

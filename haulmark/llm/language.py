@@ -21,12 +21,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.session import Stages, small_side
+from haulmark.session import small_side
 
-from .blocks import add_columns, categories, code_points, slices, texts_of
+from .blocks import add_columns, categories, code_points, job, slices, texts_of
 
 BITS = 16
 DIM = 16
@@ -128,7 +129,7 @@ def sample(docs: DataFrame, learn: Column, *, lang: str, text: str, doc_id: str,
     known = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     mixed = F.xxhash64(F.col(doc_id), F.lit("language sample"))
     # Counts and ids first, so that texts are read only for the rows that are picked.
-    stages = Stages(docs.sparkSession, "language")
+    stages = job(docs.sparkSession, "language")
     ids = known.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), (F.pmod(mixed, F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("_u"))
     counts = stages.keep("counts", ids.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")))
     ids = ids.join(small_side(counts), "_lang").filter(F.col("_u") * F.col("_n") < per_language)
@@ -210,3 +211,16 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> Da
         return pa.array(names, pa.string()), pa.array(score), pa.array(rejected)
 
     return add_columns(docs, text, "lang_pred string, lang_score double, lang_rejected boolean", run)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, *, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is not rejected, with their own columns; a null label becomes the predicted one."""
+
+    def run(batches):
+        for batch in slices(batches, text):
+            names, _, rejected = model.predict(texts_of(batch, text))
+            at = batch.schema.get_field_index(lang)
+            label = pc.coalesce(batch.column(at), pa.array(names, batch.schema.field(at).type))
+            yield batch.set_column(at, lang, label).filter(pa.array(~rejected))
+
+    return docs.mapInArrow(run, docs.schema)

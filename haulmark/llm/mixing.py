@@ -24,7 +24,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.session import Stages
+from .blocks import job
+
 
 OTHER = "other"
 MARGINS = ("source", "lang", "topic")
@@ -105,7 +106,7 @@ def mix(docs: DataFrame, mixture: Mixture, *, doc_id: str = "doc_id", **columns:
         F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"),
         *[c.alias(n) for n, c in cells_of(docs, mixture, **columns).items()],
     )
-    rows = Stages(spark, "mixture").keep("cells", rows)
+    rows = job(spark, "mixture").keep("cells", rows)
     sums = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")).orderBy(*MARGINS)
     chance = rake([tuple(r) for r in sums.collect()], mixture)
     known = spark.createDataFrame([(*k, v) for k, v in chance.items()], "source string, lang string, topic string, probability double")

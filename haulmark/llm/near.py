@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from haulmark.session import Stages, small_side
 
-from .blocks import GOLD, code_points, mix, slices, texts_of
+from .blocks import GOLD, code_points, job, mix, slices, texts_of
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -259,7 +259,7 @@ def near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     ``kept`` is true for one row of each class, that of the smallest id.
     """
     spark = docs.sparkSession
-    stages = Stages(spark, "near")
+    stages = job(spark, "near")
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("_t"))
     rows = _profile_rows(source, "_t", ["doc_id", "text_key"]).withColumn("row", F.monotonically_increasing_id())
     rows = stages.keep("profiles", rows)

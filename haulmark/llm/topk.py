@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from haulmark.session import Stages
+from .blocks import job
+
 
 LISTS = 4
 SHARD_ROWS = 8192
@@ -129,7 +130,7 @@ def top_k(
     shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k best vectors of each query but its own; all, if there are fewer."""
-    stages = Stages(vectors.sparkSession, "topk")
+    stages = job(vectors.sparkSession, "topk")
     rows = vectors.filter(F.col(vec_id).isNotNull() & takes_part(F.col(vector))).select(
         F.col(vec_id).cast("bigint").alias("vec_id"), F.transform(vector, _floor64).alias("vec"), is_query.alias("asks")
     )

@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.session import Stages, small_side
+from haulmark.session import small_side
 
-from .blocks import add_columns, slices, texts_of
+from .blocks import add_columns, job, slices, texts_of
 
 #: Digits and signs that stand for letters inside a word.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t", "€": "e"}
@@ -180,7 +180,7 @@ def fit(
 ) -> ToxicityModel:
     """``learn`` is a condition on the id column; labels of one id that disagree are not used."""
     spark = docs.sparkSession
-    stages = Stages(spark, "toxicity")
+    stages = job(spark, "toxicity")
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("doc_id")).agg(F.min(label).alias("y"), F.max(label).alias("_y"))
     known = known.filter((F.col("y") == F.col("_y")) & F.col("doc_id").isNotNull() & learn).select("doc_id", F.col("y").cast("int").alias("y"))
     known = stages.keep("labels", known)
