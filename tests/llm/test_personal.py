@@ -1,0 +1,75 @@
+"""Base spans against the patterns they are defined by; added spans by example."""
+
+import random
+import re
+
+import pytest
+
+from haulmark.llm import personal
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    twice = [int(c) * (2 if i % 2 else 1) for i, c in enumerate(digits[::-1])]
+    return sum(x - 9 if x > 9 else x for x in twice) % 10 == 0
+
+
+def valid(kind, found):
+    digits = re.sub(r"[^0-9]", "", found)
+    return {
+        "email": True,
+        "ip": kind == "ip" and all(int(p) <= 255 for p in found.split(".")),
+        "card": 16 <= len(digits) <= 19 and luhn(digits),
+        "phone": 8 <= len(digits) <= 15,
+    }[kind]
+
+
+def reference(text):
+    return {k: [m.span() for m in re.finditer(p, text) if valid(k, m.group())] for k, p in PATTERNS.items()}
+
+
+@pytest.mark.parametrize("signs", ["a@.-1", "0123456789. ", "+0123 ().-", "4 -0123456789", "ab@.c+1 2-3.\n", "٣1.2@+²"])
+def test_base_spans(signs):
+    rng = random.Random(signs)
+    for _ in range(4000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 45)))
+        found = personal.spans(text)
+        assert {k: found[k] for k in PATTERNS} == reference(text), repr(text)
+
+
+def test_valid_cards():
+    rng = random.Random(2)
+    for _ in range(300):
+        body = "".join(rng.choice("0123456789") for _ in range(rng.choice([15, 16, 18])))
+        number = next(body + c for c in "0123456789" if luhn(body + c))
+        text = f"no {number[:4]} {number[4:8]}-{number[8:]} end"
+        assert personal.spans(text)["card"] == reference(text)["card"] != []
+
+
+def test_added_spans():
+    text = "IBAN DE89 3704 0044 0532 0130 00, see https://a.b/c?d). account no. 1234-5678 www.x.org."
+    found = personal.spans(text)
+    assert [text[a:b] for a, b in found["iban"]] == ["DE89 3704 0044 0532 0130 00"]
+    assert [text[a:b] for a, b in found["url"]] == ["https://a.b/c?d", "www.x.org"]
+    assert [text[a:b] for a, b in found["account"]] == ["1234-5678"]
+
+
+def test_long_text():
+    text = "x" * 200_000 + " a@b.cd " + "1" * 100_000 + " 1.2.3." + "9" * 5000
+    found = personal.spans(text)
+    assert found["email"] == [(200_001, 200_007)] and found["card"] == [] and found["ip"] == []
+
+
+def test_frames(spark):
+    rows = [(1, "mail a@b.cd", 3), (2, None, 4), (3, "", 5), (3, "", 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_email int")
+    got = sorted(map(tuple, personal.find(docs).select("doc_id", "n_email", "n_ip", "spans").collect()))
+    assert got == [(1, 1, 0, "email:5:11"), (2, 0, 0, ""), (3, 0, 0, ""), (3, 0, 0, "")]
+    assert sorted(str(r.text) for r in personal.masked(docs).collect()) == ["", "", "None", "mail <email>"]
+    assert personal.find(docs.limit(0)).count() == 0
