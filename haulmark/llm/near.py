@@ -11,11 +11,14 @@ components of the links. Documents without a word have no links.
   register take the second, and so on: most stop after one.
 * **Copies** in shingles are one node, found by a 128-bit digest of the weighted set, so a copied text never multiplies.
 * **Bands.** 32 bands of 5 registers: a link at exactly 0.8 is missed with probability 3e-6.
-* **Candidates** of a bucket are not all its pairs. In the first round every member meets the smallest member. Rounds go on
-  only in buckets whose members are still in different components, with a random set of leaders that grows sixteenfold, until
-  each member has led or one component is left. Pairs of one component need no comparison: their link changes nothing. A pair
-  that meets is a candidate when the sizes of its sets allow 0.8 and one bit of each register differs on at most 40 of the 160
-  registers, where a link is expected to differ on 16 (more than 40 for one link in 1e8).
+* **Candidates** of a bucket are not all its pairs. First every member meets one leader, the member that shares the most
+  buckets with others: among copies of one text that is the text. The links found make components. Only buckets whose members
+  are then in different components are looked at again, in tiles of bounded size: two members of different components are a
+  candidate pair unless a bound excludes them, and only candidate pairs leave a task. Pairs of one component need no
+  comparison: their link changes nothing.
+* **Bounds.** The sizes of the sets must allow 0.8. One bit of each register differs on at most 40 of the 160 registers, where a
+  link is expected to differ on 16 (more than 40 for one link in 1e8). In tiles also a bitmap of the set, of 4 to 8 bits a
+  shingle: each bit that only one of two sets has is a shingle the other lacks, which bounds their similarity for certain.
 * **Verification** reads the shingles of the documents in candidate pairs only, computed again from their texts.
 * **Components** by choosing the smallest neighbour, following the choices to their roots, and contracting.
 
@@ -30,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +45,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 5
-#: Leaders of a bucket in the second round, and the factor by which they grow in every further one.
-LEADERS = 16
+#: Rows of a bucket in one side of a tile.
+TILE = 512
 #: Most registers of a candidate pair whose bits differ.
 DIFFERING = 40
 _SPACES = np.array(
@@ -51,6 +55,7 @@ _SPACES = np.array(
 )
 _BASE = np.uint64(0x100000001B3)
 BITS = ("b0", "b1", "b2")
+MAP_SALT = np.uint64(0x2545F4914F6CDD1D)
 _PLACES = mix(np.arange(1, 64, dtype=np.uint64) * GOLD) | np.uint64(1)
 
 
@@ -139,7 +144,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _profile_rows(docs: DataFrame, text: str, key: list[str]) -> DataFrame:
-    """key, d1, d2, n_shingles, one bit of each register, and the band keys of each row."""
+    """key, d1, d2, n_shingles, one bit of each register, the band keys and the bitmap of each row."""
     keep = docs.select(*key, F.col(text).alias("_text"))
 
     def run(batches):
@@ -157,12 +162,12 @@ def _profile_rows(docs: DataFrame, text: str, key: list[str]) -> DataFrame:
             bits = np.packbits(bits, axis=1).view(np.int64)
             n = np.bincount(owner, minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(len(key))], *[pa.array(x) for x in (d1, d2, n, *np.ascontiguousarray(bits.T))], bands],
-                names=[*key, "d1", "d2", "n_shingles", *BITS, "bands"],
+                [*[batch.column(i) for i in range(len(key))], *[pa.array(x) for x in (d1, d2, n, *np.ascontiguousarray(bits.T))], bands, pa.array(bitmaps(owner, code, n), pa.binary())],
+                names=[*key, "d1", "d2", "n_shingles", *BITS, "bands", "bitmap"],
             )
 
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep.schema.fields[:-1])
-    return keep.mapInArrow(run, f"{types}, d1 bigint, d2 bigint, n_shingles bigint, b0 bigint, b1 bigint, b2 bigint, bands array<bigint>")
+    return keep.mapInArrow(run, f"{types}, d1 bigint, d2 bigint, n_shingles bigint, b0 bigint, b1 bigint, b2 bigint, bands array<bigint>, bitmap binary")
 
 
 def _shingle_rows(docs: DataFrame) -> DataFrame:
@@ -229,28 +234,129 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
     return labels
 
 
-def _leader_pairs(members: DataFrame, leaders: int, threshold: float, stages: Stages) -> DataFrame:
-    """Candidate pairs (a, ra, b, rb) of leaders and members of one bucket that are in different components.
-
-    Members are (bucket, node, root, size, b0, b1, b2). With one leader it is the smallest node, else a random share.
-    """
-    size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("_first"))
-    named = members.join(stages.keep("sizes", size), "bucket")
-    share = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    lead = named.filter(F.col("node") == F.col("_first") if leaders == 1 else share * F.col("_n") <= leaders)
-    lead = stages.keep("leaders", lead.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("node", "root", "size", *BITS)]))
+def _leader_pairs(members: DataFrame, threshold: float, stages: Stages) -> DataFrame:
+    """Candidate pairs (a, ra, b, rb) of the leader of each bucket and its other members (bucket, node, size, b0, b1, b2)."""
+    sizes = stages.keep("sizes", members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")))
+    own = ("node", "size", *BITS)
+    meets = stages.keep("meets", members.join(sizes, "bucket").groupBy("node").agg(F.sum("_n").alias("_meets")))
+    order = F.struct("_meets", -F.col("node"))
+    lead = members.join(meets, "node").groupBy("bucket").agg(F.max_by(F.struct(*own), order).alias("_l"))
+    lead = stages.keep("leaders", lead.select("bucket", *[F.col(f"_l.{c}").alias(f"_{c}") for c in own]))
     differing = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"_{b}"))) for b in BITS)
     pairs = members.join(lead, "bucket").filter(
-        (F.col("root") != F.col("_root"))
+        (F.col("node") != F.col("_node"))
         & (F.least("size", "_size") >= threshold * F.greatest("size", "_size"))
         & (differing <= DIFFERING)
     )
     # The smaller node comes first, so that a pair found in several bands is one pair.
-    ends = [F.struct("node", "root"), F.struct(F.col("_node").alias("node"), F.col("_root").alias("root"))]
-    pairs = pairs.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"))
-    return pairs.select(
-        F.col("x.node").alias("a"), F.col("x.root").alias("ra"), F.col("y.node").alias("b"), F.col("y.root").alias("rb")
-    ).distinct()
+    pairs = pairs.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+    return pairs.select("a", F.col("a").alias("ra"), "b", F.col("b").alias("rb"))
+
+
+def level(size: np.ndarray) -> np.ndarray:
+    """The bitmap of a set of ``size`` has 2 ** level bits."""
+    return np.ceil(np.log2(np.maximum(64, 4 * size))).astype(np.int64)
+
+
+def bitmaps(owner: np.ndarray, code: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """One bitmap for each text; bit i of the hash of a shingle picks its place, so halves fold into the next smaller one."""
+    bits = np.int64(1) << level(sizes)
+    start = np.cumsum(bits) - bits
+    flags = np.zeros(int(bits.sum()), dtype=np.uint8)
+    flags[start[owner] + (mix(code ^ MAP_SALT) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)] = 1
+    packed = np.packbits(flags, bitorder="little")
+    return [packed[a : a + n].tobytes() for a, n in zip((start // 8).tolist(), (bits // 8).tolist(), strict=True)]
+
+
+def most_similar(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Upper bound of the Jaccard similarity from rows of bitmaps and the sizes of their sets."""
+    common = np.minimum(na - np.bitwise_count(a & ~b).sum(axis=1), nb - np.bitwise_count(b & ~a).sum(axis=1))
+    return common / (na + nb - common)
+
+
+def tile_pairs(chunk, root, size, bits, maps: list[bytes], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the candidate pairs of one tile. A tile of two chunks has the pairs across them, of one chunk its own."""
+    across = chunk[0] != chunk[-1] or bool((chunk != chunk[0]).any())
+    i, j = np.triu_indices(len(root), 1)
+    ok = root[i] != root[j]
+    if across:
+        ok &= chunk[i] != chunk[j]
+    i, j = i[ok], j[ok]
+    ok = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j])
+    i, j = i[ok], j[ok]
+    differing = np.zeros(len(i), dtype=np.int64)
+    for word in bits:
+        differing += np.bitwise_count(word[i] ^ word[j])
+    ok = differing <= DIFFERING
+    i, j = i[ok], j[ok]
+    deep = level(size)
+    low = np.minimum(deep[i], deep[j])
+    good = np.zeros(len(i), dtype=bool)
+    for at in np.unique(low):
+        mine = np.flatnonzero(low == at)
+        rows = np.unique(np.concatenate([i[mine], j[mine]]))
+        width = 1 << (int(at) - 6)
+        stack = np.zeros((len(rows), width), dtype=np.uint64)
+        for k, row in enumerate(rows):
+            # Sets whose sizes allow a link are at most one level apart.
+            halves = np.frombuffer(maps[row], dtype=np.uint64).reshape(-1, width)
+            stack[k] = np.bitwise_or.reduce(halves, axis=0)
+        for part in np.array_split(mine, 1 + len(mine) * width // 500_000):
+            x, y = i[part], j[part]
+            bound = most_similar(stack[np.searchsorted(rows, x)], stack[np.searchsorted(rows, y)], size[x], size[y])
+            good[part] = bound >= threshold
+    return i[good], j[good]
+
+
+def _tiled_pairs(members: DataFrame, maps: DataFrame, threshold: float, stages: Stages) -> DataFrame:
+    """Candidate pairs (a, ra, b, rb) among all members of a bucket in different components."""
+    spark = members.sparkSession
+    sizes = stages.keep("sizes", members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(TILE))).cast("int").alias("_chunks")))
+    rows = members.join(maps, "node").join(sizes, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int"))
+    tile = F.explode(F.transform(F.sequence(F.lit(0), F.col("_chunks") - 1), lambda k: F.struct(F.least("chunk", k), F.greatest("chunk", k))))
+    rows = rows.withColumn("tile", tile).select(
+        "bucket", F.col("tile.col1").alias("i"), F.col("tile.col2").alias("j"), "chunk", "node", "root", "size", *BITS, "bitmap"
+    )
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = rows.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def pairs_of(table: pa.Table) -> list[pa.RecordBatch]:
+        names = ("chunk", "node", "root", "size", *BITS)
+        chunk, node, root, size, *bits = (table[n].to_numpy() for n in names)
+        maps_of = table["bitmap"]
+        keys = [table[n].to_numpy() for n in ("bucket", "i", "j")]
+        new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+        xs, ys = [], []
+        for a, b in zip(new, np.append(new[1:], len(node)), strict=True):
+            if b - a > 1 and (root[a:b] != root[a]).any():
+                x, y = tile_pairs(chunk[a:b], root[a:b], size[a:b], [w[a:b] for w in bits], maps_of[a:b].to_pylist(), threshold)
+                xs.append(x + a)
+                ys.append(y + a)
+        if not xs:
+            return []
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        swap = node[x] > node[y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        _, once = np.unique(np.stack([node[x], node[y]], axis=1), axis=0, return_index=True)
+        x, y = x[once], y[once]
+        return [pa.RecordBatch.from_arrays([pa.array(v) for v in (node[x], root[x], node[y], root[y])], names=["a", "ra", "b", "rb"])]
+
+    def run(batches):
+        # A batch is cut at its last tile, whose rows wait for the next batch.
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            last = [held[n][-1].as_py() for n in ("bucket", "i", "j")]
+            same = pc.and_(pc.equal(held["bucket"], last[0]), pc.and_(pc.equal(held["i"], last[1]), pc.equal(held["j"], last[2])))
+            cut = pc.index(same, True).as_py()
+            if cut:
+                yield from pairs_of(held.slice(0, cut).combine_chunks())
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield from pairs_of(held.combine_chunks())
+
+    return rows.mapInArrow(run, "a bigint, ra bigint, b bigint, rb bigint").distinct()
 
 
 def near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -279,33 +385,37 @@ def near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     full = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
     members = spread.join(stages.keep("full", full), "bucket").withColumn("root", F.col("node"))
     members = stages.keep("members", members)
-    known, moves, leaders = None, [], 1
-    largest = members.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-    while largest:
-        pairs = stages.keep("pairs", _leader_pairs(members, leaders, threshold, stages))
+    moves: list[DataFrame] = []
+
+    def confirm(pairs: DataFrame, name: str) -> bool:
+        """Verifies the pairs and merges the components that they link."""
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        if known is not None:
-            wanted = wanted.join(known.select("node"), "node", "left_anti")
         # The texts of these nodes are read again, by id and text hash.
         ids = nodes.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).join(wanted, "node", "left_semi")
         ids = small_side(stages.keep("wanted", ids))
         again = source.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
-        more = stages.keep(f"sets{leaders}", _shingle_rows(again.select("node", F.col("_t").alias("_text"))).dropDuplicates(["node"]))
-        known = more if known is None else known.unionByName(more)
-        links = stages.keep("links", _links(pairs, known, threshold).distinct())
-        if not links.isEmpty():
-            move = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), stages)
-            move = stages.keep(f"moves{leaders}", move.select(F.col("node").alias("root"), F.col("root").alias("_next")))
-            moves.append(small_side(move))
+        sets = stages.keep("sets", _shingle_rows(again.select("node", F.col("_t").alias("_text"))).dropDuplicates(["node"]))
+        links = stages.keep("links", _links(pairs, sets, threshold).distinct())
+        stages.release("sets")
+        if links.isEmpty():
+            return False
+        move = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), stages)
+        move = stages.keep(name, move.select(F.col("node").alias("root"), F.col("root").alias("_next")))
+        moves.append(small_side(move))
+        return True
+
+    pairs = stages.keep("pairs", _leader_pairs(members, threshold, stages))
+    if not pairs.isEmpty():
+        if confirm(pairs, "moves"):
             members = members.join(moves[-1], "root", "left").withColumn("root", F.coalesce("_next", "root")).drop("_next")
             members = stages.keep("members", members)
-        if leaders >= largest:
-            break
-        leaders *= LEADERS
-        split = members.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n"))
-        split = stages.keep("split", split.filter("_a <> _b").select("bucket", "_n"))
-        members = stages.keep("members", members.join(split.select("bucket"), "bucket"))
-        largest = split.agg(F.max("_n")).first()[0] or 0
+    split = members.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b")
+    members = stages.keep("members", members.join(stages.keep("split", split.select("bucket")), "bucket"))
+    maps = rows.select(F.col("row").alias("node"), "bitmap").join(members.select("node").distinct(), "node", "left_semi")
+    pairs = stages.keep("pairs", _tiled_pairs(members, stages.keep("maps", maps), threshold, stages))
+    stages.release("maps")
+    if not pairs.isEmpty():
+        confirm(pairs, "more")
     classed = nodes.drop("bands", *BITS).withColumn("root", F.col("node"))
     for move in moves:
         classed = classed.join(move, "root", "left").withColumn("root", F.coalesce("_next", "root")).drop("_next")
@@ -317,6 +427,6 @@ def near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.col("alone").alias("_alone"), "class_id", "class_size", "_keeper"
     ))
     same = (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2")) & alone.eqNullSafe(F.col("_alone"))
-    return rows.drop("bands", *BITS).join(classed, same).select(
+    return rows.drop("bands", "bitmap", *BITS).join(classed, same).select(
         "doc_id", "class_id", "class_size", (F.col("row") == F.col("_keeper")).alias("kept"), "n_shingles", "text_key"
     )
