@@ -286,7 +286,8 @@ def tile_pairs(chunk, root, size, bits, maps: list[bytes], threshold: float) ->
     i, j = i[ok], j[ok]
     differing = np.zeros(len(i), dtype=np.int64)
     for word in bits:
-        differing += np.bitwise_count(word[i] ^ word[j])
+        # Unsigned: of a negative number the count is that of its absolute value.
+        differing += np.bitwise_count((word[i] ^ word[j]).view(np.uint64))
     ok = differing <= DIFFERING
     i, j = i[ok], j[ok]
     deep = level(size)
