@@ -25,7 +25,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,46 +36,103 @@ from pyspark.sql import Window
 
 from .blocks import slices, texts_of
 
-CACHE = 150_000
+CACHE = 300_000
 END_ID = 2
+#: A sign that the tokenizer keeps as one id, and the signs that are split from the letters before them.
+MARK = "^"
+ENDINGS = (".", ",")
 
 
 class Words:
-    """Ids of words by the tokenizers library, behind a bounded cache."""
+    """Ids of words by the tokenizers library, behind a bounded cache.
+
+    A word has a code; its ids are a piece of one flat array. Code 0 is the end of a document.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.start = np.zeros(1, np.int64)
+        self.size = np.zeros(1, np.int64)
+
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.flat)
+        self.codes.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
+        self.flat = np.concatenate([self.flat, ids])
+        self.start = np.concatenate([self.start, first + np.cumsum(counts) - counts])
+        self.size = np.concatenate([self.size, counts])
+
+    def _gather(self, codes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the codes one after the other, the number of each, and where each begins."""
+        sizes = size[codes]
+        place = np.cumsum(sizes) - sizes
+        index = np.repeat(self.start[codes] - place, sizes) + np.arange(int(sizes.sum()))
+        return (self.flat[index] if len(self.flat) else np.zeros(len(index), np.uint32)), sizes, place
+
+    def _call(self, words: list[str]) -> None:
+        """One call of the library for many words, with a mark of one id between them; words with the mark go alone."""
+        marked = [w for w in words if MARK in w]
+        for word, coded in zip(marked, self.tokenizer.encode_batch(marked, add_special_tokens=False), strict=True):
+            self._add([word], np.array(coded.ids, np.uint32), np.array([len(coded.ids)], np.int64))
+        words = [w for w in words if MARK not in w] if marked else words
+        if not words:
+            return
+        (mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        ids = np.array(self.tokenizer.encode(f" {MARK} ".join(words), add_special_tokens=False).ids, np.uint32)
+        cuts = np.flatnonzero(ids == mark)
+        self._add(words, ids[ids != mark], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1)
 
     def _learn(self, words: list[str]) -> None:
-        missing = []
+        """Words that differ only by ASCII case or by a full stop or comma after a letter share one call.
+
+        The tokenizer lowers the case and splits there itself.
+        """
+        stems, tails = [], []
         for word in words:
-            ids = self.old.get(word)
-            if ids is None:
-                missing.append(word)
+            stem = word.lower() if word.isascii() else word
+            if stem[-1:] in ENDINGS and stem[-2:-1].isalpha():
+                stems.append(stem[:-1])
+                tails.append(stem[-1])
             else:
-                self.young[word] = ids
-        for word, coded in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            self.young[word] = coded.ids
+                stems.append(stem)
+                tails.append("")
+        self._call([w for w in dict.fromkeys([*stems, ".", ",", ""]) if w not in self.codes])
+        other = [i for i, w in enumerate(words) if w not in self.codes]
+        parts = np.empty((len(other), 2), np.int64)
+        parts[:, 0] = [self.codes[stems[i]] for i in other]
+        parts[:, 1] = [self.codes[tails[i]] for i in other]
+        ids, sizes, _ = self._gather(parts.ravel(), self.size)
+        self._add([words[i] for i in other], ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end``, and the number of each text."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        unknown = set(chain.from_iterable(words)).difference(self.young)
-        if len(self.young) + len(unknown) > CACHE:
-            self.old, self.young = self.young, {}
-            unknown = set(chain.from_iterable(words))
-        if unknown:
-            self._learn(list(unknown))
-        get = self.young.__getitem__
-        tail = [] if end is None else [end]
-        rows = [list(chain(chain.from_iterable(map(get, row)), tail)) for row in words]
-        counts = np.fromiter(map(len, rows), np.int64, len(rows))
-        return np.fromiter(chain.from_iterable(rows), np.uint32, int(counts.sum())), counts
+        words = " ".join(texts).replace("\n", " ").split(" ")
+        per_text = np.array([t.count(" ") + t.count("\n") + 1 for t in texts], np.int64)
+        codes = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
+        if (codes < 0).any():
+            if len(self.codes) > CACHE:
+                self._forget()
+                new = list(dict.fromkeys(words))
+            else:
+                new = list(dict.fromkeys(words[i] for i in np.flatnonzero(codes < 0).tolist()))
+            self._learn(new)
+            codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        last = np.cumsum(per_text)
+        codes = np.insert(codes, last, 0)
+        size = self.size.copy()
+        size[0] = end is not None
+        flat, sizes, place = self._gather(codes, size)
+        ends = last + np.arange(len(texts))
+        if end is not None:
+            flat[place[ends]] = end
+        return flat, np.diff(np.concatenate([[0], place[ends] + sizes[ends]]))
 
 
 @lru_cache(maxsize=2)
