@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,9 +113,9 @@ class Source(NamedTuple):
 def load_tables(
     spark: SparkSession, paths: Mapping[str, str], sources: Sequence[Source], schemas: Mapping[str, T.StructType]
 ) -> dict[str, DataFrame]:
-    """Each distinct enabled table once; one that cannot be read is empty with its declared schema.
+    """Each distinct enabled table once; one whose path does not exist is empty with its declared schema.
 
-    Month texts are normalised on the way in.
+    Any other failure to read is raised. Month texts are normalised on the way in.
     """
     seen: set[str] = set()
     for s in sources:
@@ -127,7 +128,9 @@ def load_tables(
     for name in dict.fromkeys(s.table for s in sources if s.enabled):
         try:
             df = spark.read.parquet(paths[name])
-        except Exception:  # noqa: BLE001 - any unreadable table is an empty one
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             df = spark.createDataFrame([], schemas.get(name, T.StructType([])))
         if "date" in df.columns and df.schema["date"].dataType == T.StringType():
             df = df.withColumn("date", dates.norm_month(F.col("date")))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, names
+from .keyed import pick_per_key
 from .writes import Upserted, upsert
 
 
@@ -17,10 +18,16 @@ class Pulled(NamedTuple):
     counts: DataFrame
 
 
-def push_rows(candidates: DataFrame, curation: DataFrame, *, key: str, blanks: Sequence[str] = ()) -> DataFrame:
-    """Candidates not yet on the curation table, with empty reviewer columns."""
-    known = curation.select(names.blank_to_null(F.col(key)).alias("_known")).filter("_known is not null").distinct()
-    fresh = candidates.withColumn("_known", F.col(key).cast("string")).join(known, "_known", "left_anti")
+def push_rows(
+    candidates: DataFrame, curation: DataFrame, *, key: str, blanks: Sequence[str] = (), numeric: bool = False
+) -> DataFrame:
+    """Candidates not yet on the curation table, with empty reviewer columns.
+
+    With ``numeric`` keys are compared as the pull does, so ``12.0`` is 12.
+    """
+    read = numeric_key if numeric else lambda c: names.blank_to_null(c.cast("string"))
+    known = curation.select(read(F.col(key)).alias("_known")).filter("_known is not null").distinct()
+    fresh = candidates.withColumn("_known", read(F.col(key))).join(known, "_known", "left_anti")
     return fresh.select(*candidates.columns, *[F.lit("").alias(b) for b in blanks])
 
 
@@ -88,21 +95,25 @@ def pull_documents(
     cells = [F.trim(F.col(title)).alias(title), *[names.blank_to_null(F.col(f)).alias(f) for f in fields]]
     return upsert(
         docs,
-        updates.groupBy(ref).agg(F.max_by(F.struct(*cells), F.struct(*order)).alias("_c")).select(ref, "_c.*"),
+        updates.select(ref, *cells, F.struct(*order).alias("_seq")),
         keys=[ref],
         update=[title, *fields],
+        order=[F.col("_seq")],
         on_insert={"curated_at": now, "curated_by": by},
     )
 
 
-def rehydrate(drafts: DataFrame, curation: DataFrame, *, week: str, text: str, status: str, now: Column) -> DataFrame:
-    """Draft rows restored from the curation table for weeks not stored yet; the first row of a week wins."""
+def rehydrate(
+    drafts: DataFrame, curation: DataFrame, *, week: str, text: str, status: str, now: Column, order: Sequence[Column]
+) -> DataFrame:
+    """Draft rows restored from the curation table for weeks not stored yet; the first row of a week by ``order`` wins."""
     rows = curation.select(
         names.cell_text(F.col(week)).alias(week),
         names.cell_text(F.col(text)).alias(text),
         names.first_filled(F.col(status), default="ok").alias(status),
+        F.struct(*order).alias("_seq"),
     ).filter((F.col(week) != "") & (F.col(text) != ""))
-    first = rows.groupBy(week).agg(F.min(F.struct(text, status)).alias("_r")).select(week, f"_r.{text}", f"_r.{status}")
+    first = pick_per_key(rows, [week], [F.col("_seq")]).drop("_seq")
     return first.join(drafts.select(week).distinct(), week, "left_anti").withColumn("generated_at", now)
 
 

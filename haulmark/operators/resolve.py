@@ -138,9 +138,11 @@ def resolve_terms(
     return Resolved(rows, exceptions)
 
 
-def fill_blank(target: DataFrame, values: DataFrame, *, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Only blank cells take the resolved value; nothing is overwritten."""
-    renamed = values.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
+def fill_blank(
+    target: DataFrame, values: DataFrame, *, keys: Sequence[str], columns: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """Only blank cells take the resolved value, the first by ``order`` of a key; nothing is overwritten."""
+    renamed = pick_per_key(values, list(keys), order).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = target.join(renamed, list(keys), "left")
     return joined.select(
         *[

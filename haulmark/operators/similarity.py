@@ -197,7 +197,7 @@ def review_candidates(
     *,
     loose: float = LOOSE_RATIO,
     window: int = WINDOW_DAYS,
-    limit: int = 20,
+    limit: int,
     tile_rows: int = 512,
 ) -> DataFrame:
     """What an outside judge sees per new item: settled items of the window with at least the loose

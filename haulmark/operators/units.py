@@ -129,10 +129,10 @@ def blended_price(
 
 
 def origin_price(df: DataFrame, *, origin: tuple[str, str], value_unit: str, multiplier: float = 1.0, **kw) -> DataFrame:
-    """Blended price series of one origin, with the latest point flagged."""
-    month = kw.get("month", "month")
+    """Blended price series of one origin, with the latest point of each key flagged."""
+    month, keys = kw.get("month", "month"), kw.get("keys") or [F.lit(1)]
     prices = blended_price(
         df.filter(F.trim(F.col(origin[0])) == origin[1]), value_unit=value_unit, multiplier=multiplier, **kw
     )
-    # One row per month: a bounded window instead of a second pass over the facts.
-    return prices.withColumn("is_latest", F.col(month) == F.max(month).over(Window.partitionBy(F.lit(1))))
+    # One row per key and month: a bounded window instead of a second pass over the facts.
+    return prices.withColumn("is_latest", F.col(month) == F.max(month).over(Window.partitionBy(*keys)))

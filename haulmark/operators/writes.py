@@ -73,17 +73,16 @@ def upsert(
     *,
     keys: Sequence[str],
     update: Sequence[str],
+    order: Sequence[Column],
     on_insert: Mapping[str, Column] | None = None,
-    order: Sequence[Column] | None = None,
 ) -> Upserted:
-    """Insert or update by unique key. With ``order``, the last of several updates to a key counts.
+    """Insert or update by unique key. The last of several updates to a key, by ``order``, counts.
 
     ``update`` columns take the new value on a match, every other column keeps the stored one; an
     inserted row takes ``on_insert`` for columns the update does not carry.
     """
     on_insert = on_insert or {}
-    if order:
-        updates = pick_per_key(updates, list(keys), order, last=True)
+    updates = pick_per_key(updates, list(keys), order, last=True)
     new = updates.select(
         *[F.col(k) for k in keys],
         *[F.col(c).alias(f"_new_{c}") for c in updates.columns if c not in keys],
@@ -157,10 +156,10 @@ def stuck_rows(canonical: DataFrame, *, relevant: str = "relevant", classified:
 
 
 def repair_stuck(
-    canonical: DataFrame, answers: DataFrame, *, ref: str, fields: Sequence[str], now: Column
+    canonical: DataFrame, answers: DataFrame, *, ref: str, fields: Sequence[str], now: Column, order: Sequence[Column]
 ) -> DataFrame:
-    """Fills only stuck rows from ``answers``; every other row is unchanged."""
-    new = answers.select(ref, *[F.col(f).alias(f"_new_{f}") for f in fields], F.lit(True).alias("_answered"))
+    """Fills only stuck rows from ``answers``, from the first by ``order`` of each; every other row is unchanged."""
+    new = pick_per_key(answers, [ref], order).select(ref, *[F.col(f).alias(f"_new_{f}") for f in fields], F.lit(True).alias("_answered"))
     joined = canonical.join(new, ref, "left")
     stuck = F.col("relevant") & F.col("classified_at").isNull() & F.col("_answered").isNotNull()
     cols = []

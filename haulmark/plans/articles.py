@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, names, text, urls
+from ..functions import text
 from ..operators import articles as art
 from ..operators import claims, similarity
 from ..sources import news
@@ -110,7 +110,7 @@ def review_candidates(spark, sf):
     """Candidates shown to an outside judge: pages of one site family against all the others."""
     a = t.page_articles(spark, sf)
     fresh = F.col("url").startswith("https://")
-    return similarity.review_candidates(title_nodes(a.filter(fresh)), title_nodes(a.filter(~fresh)))
+    return similarity.review_candidates(title_nodes(a.filter(fresh)), title_nodes(a.filter(~fresh)), limit=20)
 
 
 @add("assigned_duplicates", "D3 F29 J11")
@@ -370,6 +370,3 @@ def news_items(spark, sf):
         F.to_json(F.struct(F.array(F.first(item)).alias("items"))).alias("body")
     )
     return news.news_articles(landed, body="body", keyword="keyword")
-
-
-__all__ = ["REGISTRY", "dates", "names", "urls"]

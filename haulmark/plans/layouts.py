@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates
+
 from ..operators import keyed
 from ..session import kept
 from ..sources import customs, files, grids, news, wide
@@ -404,6 +404,3 @@ def file_names(spark, sf):
 def keyword_list(spark, sf):
     terms = t.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("term")).distinct()
     return news.keywords(terms, ["default"])
-
-
-__all__ = ["REGISTRY", "dates"]

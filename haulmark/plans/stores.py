@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, measures, names, text, urls
+from ..functions import dates, names, text
 from ..operators import catalog, curation, keyed, resolve, writes
 from ..operators import series as ts
 from ..sources import sinks
@@ -126,10 +126,11 @@ def upsert_inputs(spark, sf):
         F.lit("2023").alias("curated_at"),
     )
     updates = c.filter("c_nationkey < 12").select(
-        F.col("c_custkey").alias("ref"), F.concat(F.col("c_name"), F.lit(" v2")).alias("title"), F.lit("REVIEWED").alias("category")
-    )
+        F.col("c_custkey").alias("ref"), F.explode(F.array(F.lit(2), F.lit(1))).alias("version"), "c_name"
+    ).select("ref", F.concat("c_name", F.lit(" v"), "version").alias("title"), F.lit("REVIEWED").alias("category"), "version")
     return writes.upsert(
-        target, updates, keys=["ref"], update=["title", "category"], on_insert={"curated_at": F.lit("2024")}
+        target, updates, keys=["ref"], update=["title", "category"], on_insert={"curated_at": F.lit("2024")},
+        order=[F.col("version")],
     )
 
 
@@ -308,8 +309,9 @@ WITH {t.REC_SQL}, v AS (SELECT record_id, 'filled ' || origin_local AS p FROM re
 SELECT record_id, coalesce(nullif(trim(product_en), ''), v.p) AS product_en, origin_local FROM rec LEFT JOIN v USING (record_id)""")
 def fill_blank(spark, sf):
     rec = t.import_records(spark, sf).select("record_id", "product_en", "origin_local", "quantity")
-    values = rec.filter("quantity > 100000").select("record_id", F.concat(F.lit("filled "), F.col("origin_local")).alias("product_en"))
-    return resolve.fill_blank(rec.drop("quantity"), values, keys=["record_id"], columns=["product_en"])
+    values = rec.filter("quantity > 100000").select("record_id", "origin_local", F.explode(F.array(F.lit("filled "), F.lit("again "))).alias("p"))
+    values = values.select("record_id", F.concat("p", "origin_local").alias("product_en"), (F.col("p") == "again ").alias("later"))
+    return resolve.fill_blank(rec.drop("quantity"), values, keys=["record_id"], columns=["product_en"], order=[F.col("later")])
 
 
 FLAGS = {"importer_en": "importer_en", "product_en": "product_en", "origin_en": "country_origin_en"}
@@ -385,7 +387,8 @@ def stuck_inputs(spark, sf):
         F.when(F.col("source") != "src3", F.col("lang")).alias("category"),
         F.when(F.col("source") != "src3", F.lit("2024-01-01")).alias("classified_at"),
     )
-    answers = a.select("raw_ref", F.concat(F.lit("fixed "), F.col("lang")).alias("category")).filter("category <> 'fixed de'")
+    answers = a.filter("lang <> 'de'").select("raw_ref", "lang", F.explode(F.array(F.lit("later "), F.lit("fixed "))).alias("p"))
+    answers = answers.select("raw_ref", F.concat("p", "lang").alias("category"), (F.col("p") == "later ").alias("later"))
     return canonical, answers
 
 
@@ -402,7 +405,7 @@ SELECT raw_ref, relevant,
 FROM art WHERE judged""")
 def repair_stuck(spark, sf):
     canonical, answers = stuck_inputs(spark, sf)
-    return writes.repair_stuck(canonical, answers, ref="raw_ref", fields=["category"], now=now())
+    return writes.repair_stuck(canonical, answers, ref="raw_ref", fields=["category"], now=now(), order=[F.col("later")])
 
 
 def curation_table(spark, sf):
@@ -432,9 +435,8 @@ can AS (SELECT doc_id AS raw_ref, lang FROM documents WHERE lang <> 'fr')"""
 WITH {CUR_SQL}
 SELECT raw_ref, lang, '' AS hidden, '' AS manual_override FROM can WHERE raw_ref NOT IN (SELECT k FROM cur WHERE k IS NOT NULL)""")
 def curation_pushed(spark, sf):
-    known = curation_table(spark, sf).withColumn("raw_ref", F.regexp_replace("raw_ref", r"\.0$", ""))
     cand = canonical_articles(spark, sf).select("raw_ref", "lang")
-    return curation.push_rows(cand, known, key="raw_ref", blanks=["hidden", "manual_override"])
+    return curation.push_rows(cand, curation_table(spark, sf), key="raw_ref", blanks=["hidden", "manual_override"], numeric=True)
 
 
 @add("curation_flags", "J15 F12", f"""
@@ -545,7 +547,12 @@ def latest_approved(spark, sf):
 WITH {DAYS_SQL} SELECT day::VARCHAR AS week, 'draft ' || n AS draft_text, 'ok' AS fact_check_status, '{STAMP}' AS generated_at FROM days WHERE n <= 3""")
 def drafts_rehydrated(spark, sf):
     drafts, _, cur = weekly(spark, sf)
-    return curation.rehydrate(drafts, cur, week="week", text="draft_text", status="fact_check_status", now=now())
+    # Every week twice; the later row comes first by its text.
+    cur = cur.withColumn("line", F.explode(F.array(F.lit(2), F.lit(1))))
+    cur = cur.withColumn("draft_text", F.when(F.col("line") == 2, F.lit("another")).otherwise(F.col("draft_text")))
+    return curation.rehydrate(
+        drafts, cur, week="week", text="draft_text", status="fact_check_status", now=now(), order=[F.col("line")]
+    )
 
 
 @add("drafts_pushed", "K19", f"WITH {DAYS_SQL} SELECT day::VARCHAR AS week, 'draft ' || n AS draft_text, '' AS approved FROM days WHERE n > 3 AND NOT (n % 2 = 0)")
@@ -689,6 +696,3 @@ SELECT source, count(*) FILTER (WHERE quality = 1) > 0 AS available FROM documen
 def availability(spark, sf):
     a = t.document_articles(spark, sf)
     return a.groupBy("source").agg(F.coalesce(F.bool_or("relevant"), F.lit(False)).alias("available"))
-
-
-__all__ = ["REGISTRY", "measures", "urls"]

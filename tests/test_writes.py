@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from haulmark.operators import catalog, curation, resolve, writes
+from haulmark.operators import catalog, curation, resolve, units, writes
 from haulmark.functions import dates, names, text, urls
 
 OBS = "date string, series string, hs_code string, unit string, country string, value int"
@@ -166,3 +166,41 @@ def test_mail_date_keeps_own_zone(spark):
 def test_broken_answer_is_safe(spark):
     got = spark.range(1).select(text.parse_judgement(F.lit("not json"), ["a"], "d").alias("j")).select("j.*").first()
     assert (got.category, got.relevant, got.error) == ("d", False, True)
+
+
+def test_repeated_keys_never_multiply_rows(spark):
+    target = spark.createDataFrame([(1, " "), (2, "kept")], "k int, v string")
+    values = spark.createDataFrame([(1, "second", 2), (1, "first", 1), (2, "other", 1)], "k int, v string, seq int")
+    got = resolve.fill_blank(target, values, keys=["k"], columns=["v"], order=[F.col("seq")])
+    assert sorted(map(tuple, got.collect())) == [(1, "first"), (2, "kept")]
+
+    stuck = spark.createDataFrame([(1, True, None, None)], "ref int, relevant boolean, category string, classified_at string")
+    answers = spark.createDataFrame([(1, "later", 2), (1, "first", 1)], "ref int, category string, seq int")
+    got = writes.repair_stuck(stuck, answers, ref="ref", fields=["category"], now=F.lit("now"), order=[F.col("seq")])
+    assert [tuple(r) for r in got.collect()] == [(1, True, "first", "now")]
+
+    drafts = spark.createDataFrame([], "week string")
+    rows = spark.createDataFrame([("w1", "zulu first", "", 1), ("w1", "alpha second", "", 2)], "week string, text string, status string, seq int")
+    got = curation.rehydrate(drafts, rows, week="week", text="text", status="status", now=F.lit("n"), order=[F.col("seq")])
+    assert [(r.week, r.text, r.status) for r in got.collect()] == [("w1", "zulu first", "ok")]
+
+
+def test_push_reads_keys_as_the_pull_does(spark):
+    have = spark.createDataFrame([("12.0",), ("text",), ("",)], "ref string")
+    items = spark.createDataFrame([(12,), (13,)], "ref bigint")
+    assert [r.ref for r in curation.push_rows(items, have, key="ref", numeric=True).collect()] == [13]
+
+
+def test_a_corrupt_table_is_an_error(spark, tmp_path):
+    bad = tmp_path / "bad.parquet"
+    bad.write_bytes(b"PAR1 not a table PAR1")
+    src = [catalog.Source("a", "t", "s")]
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        catalog.load_tables(spark, {"t": str(bad)}, src, {"t": catalog.OBSERVATIONS})["t"].count()
+
+
+def test_latest_point_of_each_key(spark):
+    rows = [(k, "X", m, "frozen", u, v) for k, m in (("a", "2024-01"), ("a", "2024-02"), ("b", "2023-05")) for u, v in (("KG", 10.0), ("USD", 5.0))]
+    obs = spark.createDataFrame(rows, "series string, country string, month string, form string, unit string, value double")
+    got = units.origin_price(obs, origin=("country", "X"), value_unit="USD", keys=["series"])
+    assert sorted((r.series, r.month, r.is_latest) for r in got.collect()) == [("a", "2024-01", False), ("a", "2024-02", True), ("b", "2023-05", True)]
