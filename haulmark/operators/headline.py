@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +53,25 @@ def direct_supply(by_bucket: DataFrame, *, value: str = "value", bucket: str = "
     return by_bucket.select("year", bucket, v.alias("dried_kg"), measures.grouped(v / 1000, 1).alias("tonnes"))
 
 
+def triangulation(parts: Mapping[str, tuple[DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """The derived analyses as one table (part, label, measure, value).
+
+    ``parts`` names each analysis with its rows, the column that labels a row and its measures. They are computed by their
+    own operators; nothing is derived again.
+    """
+    out = None
+    for part, (rows, label, measures_of) in parts.items():
+        long = rows.select(
+            F.lit(part).alias("part"),
+            F.col(label).cast("string").alias("label"),
+            F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures_of])).alias("_m"),
+        ).select("part", "label", "_m.measure", "_m.value")
+        out = long if out is None else out.unionByName(long)
+    if out is None:
+        raise ValueError("no analyses given")
+    return out
+
+
 def trailing_count(df: DataFrame, *, day: str, as_of: Column, days: int = 90, keep: Column | None = None) -> Column:
     """Scalar count of rows dated within ``days`` of ``as_of`` that pass ``keep``."""
     d = dates.day_of(df, day)

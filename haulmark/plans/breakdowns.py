@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..operators import breakdown as bd
 from ..operators import headline, keyed
+from . import series as _series  # noqa: F401  registers purpose_split and origin_price
 from . import tables as t
 from .registry import REGISTRY
 
@@ -130,6 +131,24 @@ def direct_supply(spark, sf):
     return headline.direct_supply(bd.latest_year_by_bucket(bucketed(spark, sf, dried_form="form"), buckets=BUCKETS))
 
 
+#: Registered analysis, its label and its measures.
+BUNDLE = {
+    "origin_summary": ("origin", ["dried_kg", "value", "unit_price"]),
+    "purpose_split": ("as_of", ["total_t", "estimate_t", "rest_t", "estimate_pct", "rest_pct"]),
+    "direct_supply": ("bucket", ["dried_kg"]),
+    "origin_price": ("month", ["price"]),
+}
+
+
+@add("triangulation", "A28", "\nUNION ALL\n".join(
+    f"SELECT '{part}' AS part, {label}::VARCHAR AS label, '{m}' AS measure, {m}::DOUBLE AS value FROM ({REGISTRY.sql[part]})"
+    for part, (label, measures) in BUNDLE.items() for m in measures))
+def triangulation(spark, sf):
+    return headline.triangulation(
+        {part: (REGISTRY.queries[part](spark, sf), label, measures) for part, (label, measures) in BUNDLE.items()}
+    )
+
+
 @add("region_annual", "A6 J7", """
 WITH v AS (
   SELECT r_name AS bucket, date_trunc('month', l_shipdate)::DATE AS month, sum(l_quantity::DECIMAL(18,3)) AS v

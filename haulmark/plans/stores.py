@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import dates, names, text
 from ..operators import catalog, curation, keyed, resolve, writes
 from ..operators import series as ts
+from ..session import scratch_folder
 from ..sources import sinks
 from . import tables as t
 from .registry import REGISTRY
@@ -696,3 +699,37 @@ SELECT source, count(*) FILTER (WHERE quality = 1) > 0 AS available FROM documen
 def availability(spark, sf):
     a = t.document_articles(spark, sf)
     return a.groupBy("source").agg(F.coalesce(F.bool_or("relevant"), F.lit(False)).alias("available"))
+
+
+# --- whole exports and seeds ---------------------------------------------------------------------
+
+EXPORTED = ["region", "nation", "supplier", "orders"]
+
+
+@add("export_all_tables", "K14", " UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", count(*) AS n_rows, count(*) AS n_read FROM {n}" for n in EXPORTED))
+def export_all_tables(spark, sf):
+    """Every table written as CSV with its count, and counted again from what was written."""
+    root = f"{scratch_folder(spark)}/export-{uuid.uuid4().hex}"
+    written = sinks.export_all({n: t.table(spark, sf, n) for n in EXPORTED}, root)
+    again = None
+    for n in EXPORTED:
+        one = spark.read.csv(f"{root}/{n}", header=True, multiLine=True, escape='"').agg(F.count(F.lit(1)).alias("n_read")).withColumn("table", F.lit(n))
+        again = one if again is None else again.unionByName(one)
+    return written.join(again, "table")
+
+
+@add("seeded", "K10", """
+SELECT 'empty' AS target, n_nationkey AS k FROM nation UNION ALL SELECT 'filled', s_nationkey FROM supplier WHERE s_acctbal > 0""")
+def seeded(spark, sf):
+    """Seeds go onto an empty target only."""
+    def seed():
+        return t.table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"))
+
+    filled = t.table(spark, sf, "supplier").filter("s_acctbal > 0").select(F.col("s_nationkey").alias("k"))
+    out = None
+    for name, target in (("empty", filled.limit(0)), ("filled", filled)):
+        rows = writes.seed_if_empty(target, seed)
+        rows = (target if rows is None else target.unionByName(rows)).withColumn("target", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("target", "k")
