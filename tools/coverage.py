@@ -14,10 +14,7 @@ from haulmark.plans import registry  # noqa: E402
 # Inventory rows without a query of their own: what implements them, and why there is no query.
 OTHER = {
     "S15": "`sources.customs.annual_statistics`; literal figures only, so tested and not registered",
-    "K10": "`operators.writes.seed_if_empty`; a guard, tested",
-    "K14": "`sources.sinks.export_all`; a sink, tested",
     "P18": "`sources.sinks.has_content`",
-    "A28": "`operators.headline` composition: `purpose_split`, `direct_supply`, `origin_price`, `origin_summary`",
     "D8": "`operators.catalog.schema_drift`; works on schemas, tested",
     "F29": "`operators.similarity.sequence_ratio` inside the tiles",
     "S20": "`sources.news.keywords`",
