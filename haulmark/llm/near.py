@@ -17,7 +17,7 @@ components of the links. Documents without a word have no links.
   candidate pair unless a bound excludes them, and only candidate pairs leave a task. Pairs of one component need no
   comparison: their link changes nothing.
 * **Bounds.** The sizes of the sets must allow 0.8. One bit of each register differs on at most 40 of the 160 registers, where a
-  link is expected to differ on 16 (more than 40 for one link in 1e8). In tiles also a bitmap of the set, of 4 to 8 bits a
+  link is expected to differ on 16 (more than 40 for one link in 1e8). In tiles also a bitmap of the set, of 2 to 4 bits a
   shingle: each bit that only one of two sets has is a shingle the other lacks, which bounds their similarity for certain.
 * **Verification** reads the shingles of the documents in candidate pairs only, computed again from their texts.
 * **Components** by choosing the smallest neighbour, following the choices to their roots, and contracting.
@@ -255,7 +255,7 @@ def _leader_pairs(members: DataFrame, threshold: float, stages: Stages) -> DataF
 
 def level(size: np.ndarray) -> np.ndarray:
     """The bitmap of a set of ``size`` has 2 ** level bits."""
-    return np.ceil(np.log2(np.maximum(64, 4 * size))).astype(np.int64)
+    return np.ceil(np.log2(np.maximum(64, 2 * size))).astype(np.int64)
 
 
 def bitmaps(owner: np.ndarray, code: np.ndarray, sizes: np.ndarray) -> list[bytes]:
