@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from haulmark.session import Stages, delete_path, small_side
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)

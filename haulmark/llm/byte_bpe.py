@@ -30,7 +30,7 @@ from .blocks import add_columns, categories, code_points
 LETTER, DIGIT, SIGN, SHORT, LONG, WHITE, SPACE, BREAK, END = range(9)
 START, IN_LETTERS, IN_DIGITS, IN_SIGNS, AFTER_SPACE, IN_WHITE, AFTER_BREAK, ONE_MORE, TWO_MORE, CLOSED = range(10)
 COLUMNS = 32
-CACHE = 150_000
+CACHE = 80_000
 #: Pieces longer than this are merged with a heap.
 HEAP_FROM = 64
 WHITE_POINTS = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
