@@ -6,6 +6,11 @@ the cell masses, margin by margin, until the token shares of sources, languages
 of a cell divided by the largest factor is the probability with which its documents stay, so that no probability exceeds
 one and the expected shares of what stays are the targets.
 
+Factors fall with the mass, so the rarest name would decide how much of everything else stays. ``least`` bounds that: where
+fewer of the tokens would stay, the scale is lowered until that share does, and cells whose factor exceeds it stay whole. Their
+names then have less than their target (nothing is repeated); the shares among all other cells stay as raked. The registered
+query has no such bound, as its reference SQL divides by the largest factor; the pipeline has one.
+
 Target shares are given, or are the observed shares raised to a power below one and scaled to a sum of one (a flatter mix).
 A margin lists its names; everything else, null included, is ``other``. So the number of cells is at most the product of the
 lengths of the lists, whatever the input holds: 21 x 5 x 5 for the registered query. Only these sums come to the driver.
@@ -31,6 +36,7 @@ OTHER = "other"
 MARGINS = ("source", "lang", "topic")
 TOKEN = r"[^\x09-\x0D\x20]+"
 SWEEPS = 20
+MOST_SWEEPS = 2000
 
 
 @dataclass(frozen=True)
@@ -44,6 +50,10 @@ class Mixture:
     shares: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     sweeps: int = SWEEPS
     salt: str = "mixture"
+    #: Share of the tokens that stays at least; 0 for no bound.
+    least: float = 0.0
+    #: Sweeps go on, up to ``MOST_SWEEPS``, until no name is off its target by a larger share of it; 0 for ``sweeps`` as given.
+    tolerance: float = 0.0
 
 
 def _named(column: Column, names: Sequence[str]) -> Column:
@@ -71,6 +81,21 @@ def targets(mass: np.ndarray, codes: np.ndarray, names: Sequence[str], power: fl
     return mass.sum() * wanted / wanted.sum() if wanted.sum() else seen
 
 
+def scale_of(factor: np.ndarray, mass: np.ndarray, least: float) -> float:
+    """The largest factor, or the lower scale at which the share ``least`` of the mass stays when no cell stays more than whole."""
+    order = np.argsort(-factor, kind="stable")
+    factor, mass = factor[order], mass[order]
+    top = float(factor[0])
+    if top <= 0 or (factor * mass).sum() / top >= least * mass.sum():
+        return top
+    # The first cells stay whole, the others in proportion to their factors.
+    whole = np.cumsum(mass) - mass
+    rest = np.cumsum((factor * mass)[::-1])[::-1]
+    lacking = least * mass.sum() - whole
+    scale = np.divide(rest, lacking, out=np.full_like(rest, np.inf), where=lacking > 0)
+    return float(scale[np.flatnonzero(scale >= factor)[0]])
+
+
 def rake(cells: list[tuple[str, str, str, int]], mixture: Mixture) -> dict[tuple[str, str, str], float]:
     """Probability of each cell."""
     if not cells:
@@ -82,13 +107,18 @@ def rake(cells: list[tuple[str, str, str, int]], mixture: Mixture) -> dict[tuple
         codes = np.array([names.index(c[i]) for c in cells])
         margins.append((codes, targets(mass, codes, names, mixture.powers.get(name, 1.0), mixture.shares.get(name))))
     weight = mass.copy()
-    for _ in range(mixture.sweeps):
+    for sweep in range(max(mixture.sweeps, MOST_SWEEPS if mixture.tolerance else 0)):
+        if mixture.tolerance and sweep >= mixture.sweeps:
+            gaps = [(np.abs(np.bincount(codes, weight, len(wanted)) - wanted), wanted) for codes, wanted in margins]
+            off = max(np.divide(gap, wanted, out=np.zeros_like(gap), where=wanted > 0).max() for gap, wanted in gaps)
+            if off <= mixture.tolerance:
+                break
         for codes, wanted in margins:
             have = np.bincount(codes, weight, len(wanted))
             weight *= np.divide(wanted, have, out=np.ones_like(have), where=have > 0)[codes]
     factor = np.divide(weight, mass, out=np.zeros_like(mass), where=mass > 0)
-    top = factor.max()
-    p = np.where(mass > 0, factor / top if top > 0 else 1.0, 1.0)
+    top = scale_of(factor, mass, mixture.least)
+    p = np.where(mass > 0, np.minimum(factor / top, 1.0) if top > 0 else 1.0, 1.0)
     return {c[:3]: float(x) for c, x in zip(cells, p, strict=True)}
 
 
