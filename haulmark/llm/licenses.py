@@ -1,8 +1,9 @@
 """Licence notices by conditional compression, confirmed word by word.
 
 A text is cut into sentences and lines. Those that hold a cue word (licence, copyright, permission, warranty, ...) and at most
-``GAP`` others between two of them, with the one after the last, form a candidate block. Each block is compressed with each template as a raw zstandard
-dictionary; the share of its bytes that the template saves ranks the templates. In that order a template wins if its wording
+``GAP`` others between two of them, with the one after the last, form a candidate block. The words of each block, in lower case, are compressed with
+those of each template as a raw zstandard dictionary; the share of the bytes that the template saves ranks the templates, of equal ones the longest first.
+Ranking only orders: no template is left out. In that order a template wins if its wording
 is in the block: template and block are aligned by words, and the missing and the added words are counted. Short notices must
 be complete; a text of ``LONG`` words or more may miss one word in ten and have one in ten added between its words, but never
 a word that tells licences apart. Templates whose wording lies inside a winner's, at the same place, are not named besides it.
@@ -86,7 +87,7 @@ def words_of(text: str) -> list[str]:
 def templates() -> list[Template]:
     out = []
     for name, wording, telling in TEMPLATES:
-        raw = zstandard.ZstdCompressionDict(wording.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw = zstandard.ZstdCompressionDict(" ".join(words_of(wording)).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False)
         out.append(Template(name, tuple(words_of(wording)), frozenset(telling.split()), coder))
     return out
@@ -120,12 +121,12 @@ def blocks(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def ranking(block: str) -> list[tuple[float, Template]]:
-    """Templates by the share of the block's bytes that they save, best first."""
-    data = block.encode()
+def ranking(words: list[str]) -> list[tuple[float, Template]]:
+    """All templates by the share of the bytes of these words that they save, best first."""
+    data = " ".join(words).encode()
     size = len(_plain().compress(data))
-    saved = [((size - len(t.coder.compress(data))) / size, i, t) for i, t in enumerate(templates())]
-    return [(share, t) for share, _, t in sorted(saved, key=lambda x: (-x[0], x[1])) if share > 0]
+    saved = [((size - len(t.coder.compress(data))) / size, -len(t.words), i, t) for i, t in enumerate(templates())]
+    return [(share, t) for share, _, _, t in sorted(saved, key=lambda x: (-x[0], x[1], x[2]))]
 
 
 def wording(template: Template, words: list[str]) -> list[tuple[int, int, int, int]]:
@@ -153,7 +154,7 @@ def scan(text: str) -> list[tuple[str, int, int, float, int, int]]:
         places = [m.span() for m in WORD.finditer(block)]
         words = [block[x:y].lower() for x, y in places]
         won: list[tuple[int, int]] = []
-        for share, template in ranking(block):
+        for share, template in ranking(words):
             for hit in wording(template, words):
                 if not any(x < hit[1] and hit[0] < y for x, y in won):
                     won.append(hit[:2])

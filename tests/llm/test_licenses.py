@@ -17,6 +17,16 @@ def test_every_template_finds_itself():
         assert name in names(f"Some words before.\n{wording}.\nSome words after."), wording
 
 
+def test_every_template_in_any_case():
+    for name, wording, _ in licenses.TEMPLATES:
+        for form in (wording.upper(), wording.title(), wording.lower()):
+            assert names(f"Some words before.\n{form}.\nSome words after.") == [name], form
+    assert names("Copyright 2020 Foo Inc. All Rights Reserved.") == ["All-rights-reserved"]
+    assert names("COPYRIGHT 2020 FOO INC. ALL RIGHTS RESERVED.") == ["All-rights-reserved"]
+    assert names("RELEASED UNDER THE MIT LICENSE") == ["MIT"]
+    assert names("LICENSED UNDER THE APACHE LICENSE, VERSION 2.0") == ["Apache-2.0"]
+
+
 def test_relatives_are_told_apart():
     assert names(LONG["BSD-2-Clause"]) == ["BSD-2-Clause"]
     assert names(LONG["BSD-3-Clause"]) == ["BSD-3-Clause"]
