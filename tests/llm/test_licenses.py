@@ -1,6 +1,8 @@
 """Licence notices by example, and against plain search for the short ones."""
 
 import random
+import re
+import textwrap
 
 from haulmark.llm import licenses
 
@@ -27,6 +29,24 @@ def test_every_template_in_any_case():
     assert names("LICENSED UNDER THE APACHE LICENSE, VERSION 2.0") == ["Apache-2.0"]
 
 
+def test_long_templates_wrapped_with_numbered_clauses():
+    for name, wording, _ in licenses.TEMPLATES:
+        if len(licenses.words_of(wording)) < licenses.LONG:
+            continue
+        clauses = re.split(r"(?<=:) (?=Redis|The above)|(?<=[.]) (?=Redis|Neither)", wording)
+        head, rest = clauses[0], [f"{i}. {c}" for i, c in enumerate(clauses[1:], 1)]
+        for mark in ("", "# ", " * "):
+            lines = [x for c in [head, *rest] for x in [*textwrap.wrap(c, 72, subsequent_indent="   "), ""]]
+            notice = "\n".join(mark + x for x in lines).strip()
+            text = f"Some text before.\nAnd more\n\n{notice}\n\nint main;\n"
+            assert names(text) == [name], text
+            # The whole wording is covered.
+            (_, a, b, _, missing, _), = licenses.scan(text)
+            assert missing == 0 and licenses.words_of(text[a:b])[-1] == licenses.words_of(wording)[-1]
+            assert names(text + "And some more words.\n" * 200 + text) == [name, name]
+    assert names("All rights\nreserved.") == ["All-rights-reserved"]
+
+
 def test_relatives_are_told_apart():
     assert names(LONG["BSD-2-Clause"]) == ["BSD-2-Clause"]
     assert names(LONG["BSD-3-Clause"]) == ["BSD-3-Clause"]
