@@ -1,12 +1,14 @@
-"""Near copies by ProbMinHash over weighted word shingles, banding and exact verification.
+"""Near copies by ProbMinHash over word shingles, banding and exact verification.
 
-A document is the weighted set of its runs of five words (lower case, split at white space; a text of fewer words is one
-shingle); the weight of a shingle is ``1 + ln(count)``. Registers drawn from the weights find candidates. A candidate pair is a
-link when the Jaccard similarity of the two shingle sets, counted exactly, is 0.8 or more. Classes are the connected
+A document is the set of its runs of five words (lower case, split at white space; a text of fewer words is one shingle).
+Registers drawn from the set find candidates. A candidate pair is a link when the Jaccard similarity of the two shingle sets,
+counted exactly, is 0.8 or more. Every shingle weighs the same, however often it is repeated, so that the registers estimate
+the similarity that decides: weights by count would hide a copy with a repeated passage from the bands and the bounds. Classes are the connected
 components of the links. Documents without a word have no links.
 
 * **Signatures.** Every shingle is a Poisson process whose rate is its weight. Its arrivals fall on random registers; a register
-  keeps the shingle that arrives first. Registers of two documents agree with the probability Jaccard similarity. All shingles
+  keeps the shingle that arrives first. Registers of two documents agree with the probability Jaccard similarity, which for
+  equal weights is the Jaccard similarity. All shingles
   of a slice of documents take their first arrival together, then those whose next arrival can still come before the latest
   register take the second, and so on: most stop after one.
 * **Copies** in shingles are one node, found by a 128-bit digest of the weighted set, so a copied text never multiplies.
@@ -101,10 +103,6 @@ def shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarr
     return own[at], code[at], np.diff(np.append(at, len(code)))
 
 
-def weights(count: np.ndarray) -> np.ndarray:
-    return 1.0 + np.log(count)
-
-
 def signatures(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: int, registers: int) -> np.ndarray:
     """(texts, registers) of the shingle that arrives first on each register; 0 where a text has no shingle."""
     best = np.full(texts * registers, np.inf)
@@ -152,7 +150,7 @@ def _profile_rows(docs: DataFrame, text: str, key: list[str]) -> DataFrame:
             texts = texts_of(batch, "_text")
             owner, code, count = shingles(texts)
             d1, d2 = _digests(owner, code, count, len(texts))
-            sig = signatures(owner, code, weights(count), len(texts), BANDS * ROWS).reshape(len(texts), BANDS, ROWS)
+            sig = signatures(owner, code, np.ones(len(code)), len(texts), BANDS * ROWS).reshape(len(texts), BANDS, ROWS)
             band = np.arange(BANDS, dtype=np.uint64)[None, :] * GOLD
             for i in range(ROWS):
                 band = mix(band ^ sig[:, :, i]) + _PLACES[i]

@@ -63,6 +63,20 @@ def test_equals_all_pairs(spark):
     assert sorted(kept) == sorted({r.class_id for r in got})
 
 
+def test_repeated_passages_inside_documents(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(440)]
+        # Of the second the end is other text and a passage stands there many times; the third only repeats it.
+        rows += [(10 * i, " ".join(text)), (10 * i + 1, " ".join(text[:100] * 100 + text[100:405] + [f"e{i}_{k}" for k in range(35)]))]
+        rows.append((10 * i + 2, " ".join(text[:300] * 100 + text[300:])))
+    got = near.near_copies(spark.createDataFrame([(i, t, 0) for i, t in rows], SCHEMA)).collect()
+    want = brute(rows)
+    assert {size for *_, size in want} == {3}
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == want
+
+
 def test_hot_group_of_near_copies(spark):
     rng = random.Random(1)
     base = [rng.choice("abcdefghijklmnopqrstuvwxyz") * 3 + str(i) for i in range(120)]
