@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from haulmark.plans.registry import Registry
 from haulmark.session import scratch_folder
 
-from . import byte_bpe, exact, language, licenses, mixing, near, personal, token_files, topk, toxicity
+from . import byte_bpe, centroids, codes, exact, language, licenses, mixing, near, personal, token_files, topk, toxicity, vector_links
 from .blocks import held_out, table
 
 LLM = Registry()
@@ -121,3 +121,38 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.add("op5_licences", "5")
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@LLM.add("op11_centroids", "11", centroids.cluster_sql())
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@LLM.add("op12_vector_codes", "12", codes.compress_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+VECTOR_LINKS_SQL = """
+with recursive v as (
+  select vec_id, label, [x::double for x in embedding] as vec from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x <> 0]) > 0),
+link as materialized (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.vec, b.vec) >= 0.93),
+reach as (
+  select a, b from link
+  union
+  select r.a, l.b from reach r join link l on r.b = l.a),
+n as (select a, count(*) as n_links from link group by a),
+c as (select a, min(b) as low from reach group by a)
+select e.vec_id, coalesce(n.n_links, 0) as n_links, least(e.vec_id, coalesce(c.low, e.vec_id)) as component_id,
+  e.vec_id <= coalesce(c.low, e.vec_id) as kept
+from embeddings e left join n on n.a = e.vec_id left join c on c.a = e.vec_id
+"""
+
+
+@LLM.add("op13_near_vectors", "13", VECTOR_LINKS_SQL)
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.near_vectors(table(spark, sf_dir, "embeddings"))
