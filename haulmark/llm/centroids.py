@@ -100,10 +100,13 @@ def cluster(
         r["cluster"]: int(r["total"])
         for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("total")).collect()
     }
-    facts = spark.createDataFrame(
-        [(j, min(within[j], LONG_MAX), min(sum(within.values()), LONG_MAX), sha256(",".join(map(str, new[j].tolist())).encode()).hexdigest()) for j in sorted(within)],
-        "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string",
-    )
+    used, whole_sum = sorted(within), min(sum(within.values()), LONG_MAX)
+    facts = spark.createDataFrame(pa.table({
+        "cluster": pa.array(used, pa.int32()),
+        "cluster_inertia": pa.array([min(within[j], LONG_MAX) for j in used], pa.int64()),
+        "inertia": pa.array([whole_sum] * len(used), pa.int64()),
+        "centroid_sha256": pa.array([sha256(",".join(map(str, new[j].tolist())).encode()).hexdigest() for j in used], pa.string()),
+    }))
     # At most k rows.
     return found.join(F.broadcast(facts), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
