@@ -13,8 +13,13 @@ order. A part is encoded while it is written and knows only its own counts; the
 Offsets are written once the bases are known. Files have names of their own for each attempt of a task and the manifest names
 those of the attempt that succeeded, so a lost executor or a second attempt leaves at most files that nothing refers to.
 
-The tokenizer's library sees every distinct word once a cache: its normaliser and splitter never look across a space or line
-end, so a text may be cut there and the ids of its words joined. Special strings in a text are ordinary text.
+The tokenizer's library sees every distinct piece of a word once a cache. Its normaliser and splitter never look across a space
+or line end, so a text may be cut there and the ids of its words joined; a word of Latin letters is cut further by the splitter's
+own pattern, so that ``word``, ``Word,`` and ``word***`` share the call for ``word``. Both cuts hold for a normaliser and splitter
+of this kind only, which is read from the file; with any other the library encodes whole texts. Special strings in a text are
+ordinary text.
+
+There are as many parts as shuffle partitions, and more where a part would pass ``PART_BYTES`` of the planned input.
 
 Null text counts as empty: the document has the end id only. Rows that repeat a doc_id are all written, ordered by their text
 hash; a null doc_id comes first. An empty table gives a manifest without rows.
@@ -22,6 +27,7 @@ hash; a null doc_id comes first. An empty table gives a manifest without rows.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from functools import lru_cache
@@ -30,23 +36,36 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from haulmark.session import planned_bytes
+
 from .blocks import slices, texts_of
 
 CACHE = 300_000
 END_ID = 2
-#: A sign that the tokenizer keeps as one id, and the signs that are split from the letters before them.
+PART_BYTES = 512 << 20
+#: A sign that the tokenizer keeps as one id.
 MARK = "^"
-ENDINGS = (".", ",")
+# Normaliser and splitter for which words and their pieces may be encoded apart.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLITTER = [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: From here on a letter may change its class in lower case or combine with its neighbour.
+NOT_LATIN = "\u0130"
 
 
 class Words:
-    """Ids of words by the tokenizers library, behind a bounded cache.
+    """Ids of words by the tokenizers library, behind a bounded cache of two generations.
 
-    A word has a code; its ids are a piece of one flat array. Code 0 is the end of a document.
+    A word has a code; its ids are a piece of one flat array. Code 0 is the end of a document. When the cache is full it
+    becomes the past one, from which words in use move over without another call.
     """
 
     def __init__(self, path: str):
@@ -54,13 +73,24 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self._forget()
+        file = json.loads(self.tokenizer.to_str())
+        steps = [(file[k] or {}).get(n) for k, n in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.by_words = steps == [NORMALIZERS, SPLITTER] and file["model"]["type"] == "BPE"
+        self.pieces = regex.compile(SPLIT).findall
+        self._clear()
 
-    def _forget(self) -> None:
+    def _clear(self) -> None:
         self.codes: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.start = np.zeros(1, np.int64)
         self.size = np.zeros(1, np.int64)
+        self.old = ({}, self.flat, self.start, self.size)
+
+    def _turn(self) -> None:
+        """The present cache becomes the past one."""
+        old = (self.codes, self.flat, self.start, self.size)
+        self._clear()
+        self.old = old
 
     def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         first = len(self.flat)
@@ -69,12 +99,23 @@ class Words:
         self.start = np.concatenate([self.start, first + np.cumsum(counts) - counts])
         self.size = np.concatenate([self.size, counts])
 
-    def _gather(self, codes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    @staticmethod
+    def _gather(codes: np.ndarray, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the codes one after the other, the number of each, and where each begins."""
         sizes = size[codes]
         place = np.cumsum(sizes) - sizes
-        index = np.repeat(self.start[codes] - place, sizes) + np.arange(int(sizes.sum()))
-        return (self.flat[index] if len(self.flat) else np.zeros(len(index), np.uint32)), sizes, place
+        index = np.repeat(start[codes] - place, sizes) + np.arange(int(sizes.sum()))
+        return (flat[index] if len(flat) else np.zeros(len(index), np.uint32)), sizes, place
+
+    def _remember(self, words: list[str]) -> list[str]:
+        """Moves words of the past cache into the present one; the others are returned."""
+        codes, *arrays = self.old
+        known = [w for w in words if w in codes]
+        if known:
+            ids, sizes, _ = self._gather(np.array([codes[w] for w in known], np.int64), *arrays)
+            self._add(known, ids, sizes)
+            words = [w for w in words if w not in codes]
+        return words
 
     def _call(self, words: list[str]) -> None:
         """One call of the library for many words, with a mark of one id between them; words with the mark go alone."""
@@ -89,36 +130,39 @@ class Words:
         cuts = np.flatnonzero(ids == mark)
         self._add(words, ids[ids != mark], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1)
 
+    def _cut(self, word: str) -> list[str]:
+        """Pieces that the tokenizer's splitter would make of the word, in lower case; a word of other letters as it is."""
+        if word.isascii() and word.isalpha():
+            return [word.lower()]
+        return self.pieces(word.lower()) if word.isascii() or max(word) < NOT_LATIN else [word]
+
     def _learn(self, words: list[str]) -> None:
-        """Words that differ only by ASCII case or by a full stop or comma after a letter share one call.
-
-        The tokenizer lowers the case and splits there itself.
-        """
-        stems, tails = [], []
-        for word in words:
-            stem = word.lower() if word.isascii() else word
-            if stem[-1:] in ENDINGS and stem[-2:-1].isalpha():
-                stems.append(stem[:-1])
-                tails.append(stem[-1])
-            else:
-                stems.append(stem)
-                tails.append("")
-        self._call([w for w in dict.fromkeys([*stems, ".", ",", ""]) if w not in self.codes])
+        words = self._remember(words)
+        cuts = [self._cut(w) for w in words]
+        need = [w for w in dict.fromkeys(p for c in cuts for p in c) if w not in self.codes]
+        self._call(self._remember(need))
         other = [i for i, w in enumerate(words) if w not in self.codes]
-        parts = np.empty((len(other), 2), np.int64)
-        parts[:, 0] = [self.codes[stems[i]] for i in other]
-        parts[:, 1] = [self.codes[tails[i]] for i in other]
-        ids, sizes, _ = self._gather(parts.ravel(), self.size)
-        self._add([words[i] for i in other], ids, sizes.reshape(-1, 2).sum(axis=1))
+        counts = np.array([len(cuts[i]) for i in other], np.int64)
+        codes = np.array([self.codes[p] for i in other for p in cuts[i]], np.int64)
+        ids, sizes, _ = self._gather(codes, self.flat, self.start, self.size)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+        self._add([words[i] for i in other], ids, np.diff(np.concatenate([[0], ends])))
+
+    def _whole(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        coded = [c.ids + [end] * (end is not None) for c in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        counts = np.array([len(c) for c in coded], np.int64)
+        return np.fromiter((i for c in coded for i in c), np.uint32, int(counts.sum())), counts
 
     def encode(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end``, and the number of each text."""
+        if not self.by_words:
+            return self._whole(texts, end)
         words = " ".join(texts).replace("\n", " ").split(" ")
         per_text = np.array([t.count(" ") + t.count("\n") + 1 for t in texts], np.int64)
         codes = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
         if (codes < 0).any():
             if len(self.codes) > CACHE:
-                self._forget()
+                self._turn()
                 new = list(dict.fromkeys(words))
             else:
                 new = list(dict.fromkeys(words[i] for i in np.flatnonzero(codes < 0).tolist()))
@@ -128,7 +172,7 @@ class Words:
         codes = np.insert(codes, last, 0)
         size = self.size.copy()
         size[0] = end is not None
-        flat, sizes, place = self._gather(codes, size)
+        flat, sizes, place = self._gather(codes, self.flat, self.start, size)
         ends = last + np.arange(len(texts))
         if end is not None:
             flat[place[ends]] = end
@@ -159,7 +203,7 @@ def write(docs: DataFrame, folder: str, path: str, *, end: int = END_ID, parts:
     spark = docs.sparkSession
     width = id_width(path)
     kind = f"<u{width}"
-    parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-planned_bytes(docs.select(doc_id, text)) // PART_BYTES))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("_hash"), F.col(text).alias("_text"))
     rows = rows.repartitionByRange(parts, "doc_id", "_hash").sortWithinPartitions("doc_id", "_hash")
 

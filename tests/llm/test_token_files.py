@@ -59,3 +59,28 @@ def test_words_cache_that_overflows(monkeypatch):
     for at in range(0, 60, 4):
         ids, counts = words.encode(texts[at : at + 4], None)
         assert ids.tolist() == [x for t in texts[at : at + 4] for x in lib.encode(t, add_special_tokens=False).ids]
+
+
+def test_words_equal_the_library_through_cache_turns(monkeypatch):
+    """Signs, digits, contractions, case and letters beyond Latin, with a cache that turns all the time."""
+    monkeypatch.setattr(token_files, "CACHE", 40)
+    words = token_files.Words(queries.WORD_TOKENIZER)
+    assert words.by_words
+    signs = ["", "%%%", "***", ".", ",", "^", "'s", "'LL", "'", "42", "a1b2", "\u0130", "\u0307", "ß", "É", "ñ", "Σ", "ſ", "K", "\u00aa", "²"]
+    texts = [" ".join(f"{a}{stem}{b}" for b in signs) for stem in ("word", "Été", "ÑANDÚ", "x'y", "дом", "e\u0301") for a in signs]
+    lib = tokenizers.Tokenizer.from_file(queries.WORD_TOKENIZER)
+    for start in range(0, len(texts), 7):
+        flat, counts = words.encode(texts[start : start + 7], None)
+        cuts = np.split(flat, np.cumsum(counts)[:-1])
+        for text, ids in zip(texts[start : start + 7], cuts, strict=True):
+            assert ids.tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
+def test_another_tokenizer_encodes_whole_texts(tmp_path):
+    lib = tokenizers.Tokenizer.from_file(queries.WORD_TOKENIZER)
+    lib.normalizer = tokenizers.normalizers.NFC()
+    lib.save(str(tmp_path / "cased.json"))
+    words = token_files.Words(str(tmp_path / "cased.json"))
+    assert not words.by_words
+    flat, counts = words.encode(["Hello World", ""], 2)
+    assert flat.tolist() == [*lib.encode("Hello World", add_special_tokens=False).ids, 2, 2] and counts.sum() == len(flat)
