@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType
 from haulmark.session import Stages, delete_path, small_side
 
 SLICE_BYTES = 1 << 20
+#: For work that needs a hundred bytes and more for each character of a text.
+SMALL_SLICE = 1 << 18
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
@@ -83,6 +85,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Column names that none of ``taken`` clashes with, whatever the case."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def filter_rows(docs: DataFrame, decided: DataFrame, stages: Stages) -> DataFrame:
     """Rows of ``docs`` that ``decided`` keeps, whole and unchanged.
 
@@ -91,9 +104,11 @@ def filter_rows(docs: DataFrame, decided: DataFrame, stages: Stages) -> DataFram
     """
     keys = decided.groupBy("doc_id", "text_key").agg(F.max("kept").alias("_keep"), F.count(F.lit(1)).alias("_n"))
     keys = stages.keep("decided", keys.filter(~F.col("_keep") | (F.col("_n") > 1)))
-    drop = small_side(keys.filter(~F.col("_keep")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
-    repeated = keys.filter("_keep").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key"))
+    own_id, own_key = fresh(docs.columns, "_id", "_key")
+    named = (F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
+    drop = small_side(keys.filter(~F.col("_keep")).select(*named))
+    repeated = keys.filter("_keep").select(*named)
+    same = docs["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_key))
     left = docs.join(drop, same, "left_anti")
     if repeated.isEmpty():
         return left
@@ -102,7 +117,7 @@ def filter_rows(docs: DataFrame, decided: DataFrame, stages: Stages) -> DataFram
     return left.join(repeated, same, "left_anti").unionByName(once)
 
 
-def add_columns(docs: DataFrame, text: str, ddl: str, compute) -> DataFrame:
+def add_columns(docs: DataFrame, text: str, ddl: str, compute, limit: int = SLICE_BYTES) -> DataFrame:
     """All columns of ``docs`` and those of ``ddl``; ``compute`` makes them, as Arrow arrays, from the texts of a slice.
 
     A column of ``docs`` that has the name of a new one is replaced.
@@ -112,7 +127,7 @@ def add_columns(docs: DataFrame, text: str, ddl: str, compute) -> DataFrame:
     schema = StructType(docs.schema.fields + new.fields)
 
     def run(batches):
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, limit):
             arrays = [*batch.columns, *compute(texts_of(batch, text))]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 

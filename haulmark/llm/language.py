@@ -11,7 +11,9 @@ which ``reject`` of its rightly predicted windows lie, at most one half.
 
 Prediction folds table and softmax into one row of logits per bucket, so a text costs a gather and a sum a character. It is a
 map over whole texts: nothing is shuffled. Null text and text without letters are ``und`` with score 0 and rejected. A language
-that only unlabelled rows have cannot be predicted; with no labelled row at all everything is ``und``.
+that only unlabelled rows have cannot be predicted; with no labelled row at all everything is ``und``. Of equal scores the first
+label in alphabetical order is predicted. Repeated rows get the same prediction each. ``identify`` replaces columns that have
+the names of its own; ``keep_identified`` changes no column but null labels. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,13 +23,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.session import small_side
 
-from .blocks import add_columns, categories, code_points, job, slices, texts_of
+from .blocks import SMALL_SLICE, add_columns, categories, code_points, fresh, job, slices, texts_of
 
 BITS = 16
 DIM = 16
@@ -46,7 +47,7 @@ def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kept[1:] |= letter[:-1]
     kept |= new_text
     symbols = np.where(letter, points, 0)[kept]
-    owner = (np.cumsum(new_text) - 1)[kept]
+    owner = (np.cumsum(new_text, dtype=np.int32) - 1)[kept]
     has_letter = np.zeros(len(texts) + 1, dtype=bool)
     has_letter[owner[symbols != 0]] = True
     buckets, owners = [], []
@@ -210,17 +211,29 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> Da
         names, score, rejected = model.predict(texts)
         return pa.array(names, pa.string()), pa.array(score), pa.array(rejected)
 
-    return add_columns(docs, text, "lang_pred string, lang_score double, lang_rejected boolean", run)
+    return add_columns(docs, text, "lang_pred string, lang_score double, lang_rejected boolean", run, SMALL_SLICE)
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, *, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language is not rejected, with their own columns; a null label becomes the predicted one."""
+def keep_identified(docs: DataFrame, model: LanguageModel, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is not rejected, with their own columns; a null label becomes the predicted one.
 
-    def run(batches):
-        for batch in slices(batches, text):
-            names, _, rejected = model.predict(texts_of(batch, text))
-            at = batch.schema.get_field_index(lang)
-            label = pc.coalesce(batch.column(at), pa.array(names, batch.schema.field(at).type))
-            yield batch.set_column(at, lang, label).filter(pa.array(~rejected))
+    Texts go to Python once and do not come back: it names the rows that are rejected or have no label, by id and text hash,
+    and the rows themselves are filtered and labelled by a join with these few.
+    """
+    own_id, own_key, own_lang, own_bad = fresh(docs.columns, "_id", "_key", "_lang", "_bad")
+    asked = docs.select(F.col(doc_id).alias(own_id), F.xxhash64(F.col(text)).alias(own_key), F.col(lang).isNull().alias(own_lang), F.col(text).alias("text"))
+    kind = docs.schema[doc_id].dataType.simpleString()
 
-    return docs.mapInArrow(run, docs.schema)
+    def run(batches):
+        for batch in slices(batches, "text", SMALL_SLICE):
+            names, _, rejected = model.predict(texts_of(batch, "text"))
+            said = rejected | batch.column(2).to_numpy(zero_copy_only=False)
+            out = [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(rejected)]
+            yield pa.RecordBatch.from_arrays(out, names=[own_id, own_key, own_lang, own_bad]).filter(pa.array(said))
+
+    stages = job(docs.sparkSession, "identified")
+    said = asked.mapInArrow(run, f"`{own_id}` {kind}, `{own_key}` bigint, `{own_lang}` string, `{own_bad}` boolean")
+    said = small_side(stages.keep("said", said.dropDuplicates([own_id, own_key])))
+    joined = docs.join(said, docs[doc_id].eqNullSafe(said[own_id]) & (F.xxhash64(docs[text]) == said[own_key]), "left")
+    label = F.coalesce(docs[lang], said[own_lang].cast(docs.schema[lang].dataType)).alias(lang)
+    return joined.filter(~F.coalesce(said[own_bad], F.lit(False))).select(*[label if c == lang else docs[c] for c in docs.columns])

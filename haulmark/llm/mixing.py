@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import job
+from .blocks import fresh, job
 
 
 OTHER = "other"
@@ -188,6 +188,7 @@ def mixed(docs: DataFrame, mixture: Mixture, *, doc_id: str = "doc_id", **column
     sums = docs.select(*[c.alias(n) for n, c in own.items()]).groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     chance = rake(sorted(tuple(r) for r in sums.collect()), mixture)
     cell = F.concat_ws("\x1f", *[own[n] for n in MARGINS])
-    known = spark.createDataFrame([("\x1f".join(k), v) for k, v in chance.items()], "`_cell` string, `_chance` double")
-    rows = docs.withColumn("_cell", cell).join(F.broadcast(known), "_cell")
-    return rows.filter(draw(F.col(doc_id), mixture.salt) < F.col("_chance")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own_cell, own_chance = fresh(docs.columns, "_cell", "_chance")
+    known = spark.createDataFrame([("\x1f".join(k), v) for k, v in chance.items()], f"`{own_cell}` string, `{own_chance}` double")
+    rows = docs.withColumn(own_cell, cell).join(F.broadcast(known), own_cell)
+    return rows.filter(draw(F.col(doc_id), mixture.salt) < F.col(own_chance)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from haulmark.session import Stages, small_side
 
-from .blocks import GOLD, code_points, job, mix, slices, texts_of
+from .blocks import GOLD, SMALL_SLICE, code_points, job, mix, slices, texts_of
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -124,6 +124,12 @@ def signatures(owner: np.ndarray, code: np.ndarray, weight: np.ndarray, texts: i
     return found.reshape(texts, registers)
 
 
+def register_bits(sig: np.ndarray) -> np.ndarray:
+    """One bit of each register. The register's number takes part: a shingle that wins several registers has a bit of its own on each."""
+    place = np.arange(sig.shape[1], dtype=np.uint64) * GOLD
+    return (mix(sig ^ place[None, :]) & np.uint64(1)).astype(np.uint8)
+
+
 def _digests(owner: np.ndarray, code: np.ndarray, count: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit sums over the weighted set of each text; 0 for a text without shingles."""
     halves = []
@@ -146,7 +152,7 @@ def _profile_rows(docs: DataFrame, text: str, key: list[str]) -> DataFrame:
     keep = docs.select(*key, F.col(text).alias("_text"))
 
     def run(batches):
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SMALL_SLICE):
             texts = texts_of(batch, "_text")
             owner, code, count = shingles(texts)
             d1, d2 = _digests(owner, code, count, len(texts))
@@ -156,7 +162,7 @@ def _profile_rows(docs: DataFrame, text: str, key: list[str]) -> DataFrame:
                 band = mix(band ^ sig[:, :, i]) + _PLACES[i]
             bands = pa.FixedSizeListArray.from_arrays(pa.array(band.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
             bits = np.zeros((len(texts), 192), dtype=np.uint8)
-            bits[:, : BANDS * ROWS] = (mix(sig).reshape(len(texts), -1) & np.uint64(1)).astype(np.uint8)
+            bits[:, : BANDS * ROWS] = register_bits(sig.reshape(len(texts), -1))
             bits = np.packbits(bits, axis=1).view(np.int64)
             n = np.bincount(owner, minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
@@ -172,7 +178,7 @@ def _shingle_rows(docs: DataFrame) -> DataFrame:
     """(node, hashes) of rows (node, _text): the distinct shingles as bytes."""
 
     def run(batches):
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SMALL_SLICE):
             texts = texts_of(batch, "_text")
             owner, code, _ = shingles(texts)
             cuts = np.searchsorted(owner, np.arange(len(texts) + 1))

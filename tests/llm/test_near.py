@@ -122,3 +122,18 @@ def test_components(spark, edges):
 
     got = near.components(spark.createDataFrame(edges, "a bigint, b bigint"), job(spark, "test")).collect()
     assert {r.root for r in got} == ({1} if any(a != b for a, b in edges) else set())
+
+
+@pytest.mark.parametrize("common,each", [(4, (0, 1)), (8, (1, 1)), (12, (1, 2)), (16, (2, 2))])
+def test_register_bits_of_links_at_the_threshold(common, each):
+    """Pairs at exactly 0.8 of few shingles stay below the bound on differing bits."""
+    n = 5000
+    rng = np.random.default_rng(common)
+    code = rng.integers(0, 2**63, (n, common + sum(each))).astype(np.uint64)
+    sides = np.arange(common + each[0]), np.r_[np.arange(common), np.arange(common + each[0], common + sum(each))]
+    bits = []
+    for side in sides:
+        own = code[:, side]
+        owner = np.repeat(np.arange(n), own.shape[1])
+        bits.append(near.register_bits(near.signatures(owner, own.ravel(), np.ones(own.size), n, near.BANDS * near.ROWS)))
+    assert ((bits[0] ^ bits[1]).sum(axis=1) <= near.DIFFERING).all()

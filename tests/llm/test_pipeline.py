@@ -51,3 +51,18 @@ def test_empty_table(spark, tmp_path):
     folder = tmp_path / "none"
     spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{folder}/documents.parquet")
     assert corpus_pipeline.run(spark, str(folder)).count() == 0
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_clashing_names_pass_through(spark, stage):
+    """Columns with the names that the stages use themselves."""
+    names = ["_id", "_key", "_lang", "_bad", "_cell", "_chance", "_decoded", "_Keep", "kept", "class_id"]
+    rows = [(i, t, "en", "src1", *[f"{n}{i}" for n in names]) for i, t in enumerate([
+        "the and of with that is in a text", "the and of  with that is in a text", "another text of the kind that is with the others",
+        "another text of the kind that is with the others", "the end",
+    ])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    got = corpus_pipeline.STAGES[stage][1](spark, docs, SF)
+    assert got.columns[: len(docs.columns)] == docs.columns
+    out = got.collect()
+    assert out and all(r[n] == f"{n}{r.doc_id}" for r in out for n in names)
