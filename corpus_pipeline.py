@@ -4,6 +4,11 @@
 read again as the next one's docs. A stage works on all rows that its predecessor kept, and its decisions take effect; all
 but the last return the columns of ``docs``. When a stage begins, the result of the one before is written, so the
 intermediate tables of that one are deleted.
+
+Null text counts as empty and goes with the first stage, as does any text without letters. A null doc_id takes part; where a
+class picks one row, a row with an id comes before it. Rows repeated as a whole become one row, rows that repeat an id with
+other texts are documents each; ties go to the smaller id. Other columns, whatever their names, pass through unchanged, except
+that the last stage replaces token_ids, n_tokens and round_trip where they exist. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.llm import byte_bpe, exact, language, mixing, near
-from haulmark.llm.blocks import filter_rows, job, release
+from haulmark.llm.blocks import filter_rows, fresh, job, release
 from haulmark.llm.queries import BYTE_RANKS, MIXTURE
 from haulmark.session import Stages
 
@@ -49,11 +54,12 @@ def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token_ids, n_tokens, and whether decoding the ids gives the text again."""
     release()
-    coded = byte_bpe.decode(byte_bpe.encode(docs, BYTE_RANKS, ids="token_ids"), BYTE_RANKS, ids="token_ids", decoded="_decoded")
+    (decoded,) = fresh(docs.columns, "_decoded")
+    coded = byte_bpe.decode(byte_bpe.encode(docs, BYTE_RANKS, ids="token_ids"), BYTE_RANKS, ids="token_ids", decoded=decoded)
     return coded.withColumns({
         "n_tokens": F.size("token_ids").cast("bigint"),
-        "round_trip": F.col("_decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary"),
-    }).drop("_decoded")
+        "round_trip": F.col(decoded) == F.coalesce(F.col("text"), F.lit("")).cast("binary"),
+    }).drop(decoded)
 
 
 STAGES = [
