@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,75 +89,68 @@ def _components(edges: DataFrame, stages: Stages) -> DataFrame:
             return state.select("id", F.col("parent").alias("root"))
 
 
-def _solve_component(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sequential rule inside one component: an item is canonical when no earlier neighbour is."""
-    earlier: dict[int, list[int]] = defaultdict(list)
-    order: dict[int, int] = {}
-    for node, day, cand in zip(pdf["node"], pdf["day_no"], pdf["cand"]):
-        order[node] = day
-        if cand >= 0:
-            earlier[node].append(cand)
-    canonical: set[int] = set()
-    for node in sorted(order, key=lambda n: (order[n], n)):
-        if not any(c in canonical for c in earlier[node]):
-            canonical.add(node)
-    ids = list(order)
-    return pd.DataFrame({"node": ids, "canonical": [n in canonical for n in ids]})
-
-
-def _decide(
-    nodes: DataFrame, edges: DataFrame, stages: Stages, *, rounds: int, component_limit: int
-) -> DataFrame:
+def _walk(window: int):
+    """The sequential rule along rows (root, day_no, node, cand) in that order; ``cand`` -1 where a node has no neighbour.
+
+    What is kept while it walks are the canonical items of one component in the last ``window`` days.
+    """
+
+    def run(batches):
+        root = node = day = None
+        taken = False
+        live: dict[int, int] = {}
+        for batch in batches:
+            nodes, verdicts = [], []
+
+            def close() -> None:
+                nodes.append(node)
+                verdicts.append(not taken)
+                if not taken:
+                    live[node] = day
+
+            for r, d, n, c in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                if n != node or r != root:
+                    if node is not None:
+                        close()
+                    if r != root:
+                        live = {}
+                    elif d != day:
+                        live = {k: v for k, v in live.items() if v >= d - window}
+                    root, node, day, taken = r, n, d, False
+                taken = taken or c in live
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(verdicts, pa.bool_())], names=["node", "canonical"])
+        if node is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([not taken])], names=["node", "canonical"])
+
+    return run
+
+
+def _decide(nodes: DataFrame, edges: DataFrame, stages: Stages, window: int) -> DataFrame:
     """``(node, canonical)`` for every node; ``edges`` lead from a node to its earlier neighbours.
 
-    Rounds decide every node whose earlier neighbours are known: canonical when none is left, a
-    duplicate as soon as one is canonical. Only what is still open goes into the next round. Long
-    chains that outlast ``rounds`` are solved per connected component; a component above
-    ``component_limit`` edges stays with the rounds, so no task ever takes an unbounded group.
+    An item is canonical when no earlier neighbour is. Nodes without an earlier neighbour are
+    canonical, and what they reach is a duplicate: that settles the bulk of a crowded story at once.
+    What is left is split into connected components, and each is walked once in order of (day, id).
+    A component is streamed through its task; only its canonical items of the last days are held.
     """
-    decided: list[DataFrame] = []
     edges = stages.keep("edges", edges.select("node", "cand"))
     nodes = stages.keep("open", nodes.select("node", "day_no"))
-    done, by_component = 0, False
-    while True:
-        free = nodes.join(edges.select("node").distinct(), "node", "left_anti").select("node")
-        lost = edges.join(free.withColumnRenamed("node", "cand"), "cand", "left_semi").select("node").distinct()
-        closed = stages.keep(
-            f"closed{done}", free.withColumn("canonical", F.lit(True)).union(lost.withColumn("canonical", F.lit(False)))
-        )
-        decided.append(closed)
-        dups = closed.filter(~F.col("canonical")).select("node")
-        nodes = stages.keep("open", nodes.join(closed, "node", "left_anti"))
-        done += 1
-        if nodes.isEmpty():
-            break
-        still = edges.join(dups, "node", "left_anti").join(dups.withColumnRenamed("node", "cand"), "cand", "left_anti")
-        edges = stages.keep("edges", still.select("node", "cand"))
-        if done >= rounds and not by_component:
-            solved, nodes, edges = _solve_components(nodes, edges, stages, component_limit)
-            decided.append(solved)
-            by_component = True
-            if nodes.isEmpty():
-                break
-    out = decided[0]
-    for d in decided[1:]:
-        out = out.union(d)
-    return stages.keep("decided", out)
-
-
-def _solve_components(nodes: DataFrame, edges: DataFrame, stages: Stages, limit: int):
-    roots = stages.keep("roots", _components(edges.select(F.col("node").alias("u"), F.col("cand").alias("v")), stages))
-    of_node = roots.select(F.col("id").alias("node"), "root")
-    sizes = edges.join(of_node, "node").groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    small = stages.keep("small", sizes.filter(F.col("n") <= limit).select("root"))
-    placed = nodes.join(of_node, "node").join(small, "root", "left_semi")
-    rows = placed.join(edges, "node", "left").select("root", "node", "day_no", F.coalesce("cand", F.lit(-1)).alias("cand"))
-    solved = stages.keep(
-        "solved",
-        rows.groupBy("root").applyInPandas(lambda pdf: _solve_component(pdf), "node bigint, canonical boolean"),
+    free = nodes.join(edges.select("node").distinct(), "node", "left_anti").select("node")
+    lost = edges.join(free.withColumnRenamed("node", "cand"), "cand", "left_semi").select("node").distinct()
+    first = stages.keep("first", free.withColumn("canonical", F.lit(True)).union(lost.withColumn("canonical", F.lit(False))))
+    nodes = stages.keep("open", nodes.join(first, "node", "left_anti"))
+    if nodes.isEmpty():
+        return first
+    dups = first.filter(~F.col("canonical")).select("node")
+    edges = edges.join(dups, "node", "left_anti").join(dups.withColumnRenamed("node", "cand"), "cand", "left_anti")
+    edges = stages.keep("edges", edges.select("node", "cand"))
+    roots = _components(edges.select(F.col("node").alias("u"), F.col("cand").alias("v")), stages).withColumnRenamed("id", "node")
+    rows = nodes.join(roots, "node", "left").join(edges, "node", "left").select(
+        F.coalesce("root", "node").alias("root"), "day_no", "node", F.coalesce("cand", F.lit(-1)).alias("cand")
     )
-    left = stages.keep("open", nodes.join(solved, "node", "left_anti"))
-    return solved, left, stages.keep("edges", edges.join(left.select("node"), "node", "left_semi"))
+    rows = rows.repartition("root").sortWithinPartitions("root", "day_no", "node")
+    walked = rows.mapInArrow(_walk(window), "node bigint, canonical boolean")
+    return stages.keep("decided", first.unionByName(walked))
 
 
 def assign_canonical(
@@ -173,9 +165,7 @@ def assign_canonical(
     window: int = WINDOW_DAYS,
     force: bool = False,
     pairs: DataFrame | None = None,
-    rounds: int = 4,
-    component_limit: int = 2_000_000,
-    tile_rows: int = 512,
+    tile_rows: int | None = None,
 ) -> DataFrame:
     """Duplicate pointers in the order (day, id), as if items were judged one after the other.
 
@@ -225,7 +215,7 @@ def assign_canonical(
     open_nodes = new.join(old_hits, "node", "left_anti")
     inner = found.filter(~F.col("settled")).join(old_hits, "node", "left_anti")
     inner = stages.keep("inner", inner.join(old_hits.select(F.col("node").alias("cand")), "cand", "left_anti"))
-    decided = _decide(open_nodes, inner, stages, rounds=rounds, component_limit=component_limit)
+    decided = _decide(open_nodes, inner, stages, window)
     canon = decided.filter("canonical").select("node")
     new_hits = (
         inner.join(canon.withColumnRenamed("node", "cand"), "cand", "left_semi")

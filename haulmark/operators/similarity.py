@@ -1,4 +1,4 @@
-"""Similar titles within a day window, as a tiled join.
+"""Similar titles within a day window, as a tiled join, and candidates in order with a quota.
 
 A title pair is wanted when the days differ by at most ``window`` and the sequence ratio
 (2 x matched characters / total length, longest blocks first) reaches a threshold. The ratio is
@@ -7,29 +7,41 @@ not symmetric: the new title always comes first.
 No built-in join expresses that, so the work is laid out in bounded tiles:
 
 * equal (title, day) rows are one node, so copies never multiply;
-* a new node lives in one day bucket, candidates reach the neighbouring buckets too;
-* inside a bucket nodes are ordered by length and cut into chunks of about ``tile_rows``; a crowded
-  bucket simply has more chunks. Chunk pairs whose lengths cannot reach the threshold are dropped;
-* each chunk pair is one Python group. Inside it, length, letter-count and common-subsequence
-  bounds (all upper bounds of the ratio) discard pairs before the ratio itself is computed.
-  Only accepted pairs leave the task.
+* a new node lives in one day bucket, candidates reach the buckets that their window touches;
+* inside a bucket nodes are ordered by length and cut into chunks; a crowded bucket has more and
+  larger chunks, up to ``MOST_ROWS``, so that a title is sent to few tiles. Chunk pairs whose
+  lengths cannot reach the threshold are dropped;
+* each chunk pair is one Python group. Inside it, all pairs are bounded at once: a title is a set
+  of (character, occurrence) tokens, and the product of the two token matrices counts the shared
+  ones. Pairs that stay get the length of their longest common subsequence, one machine word a
+  title and all pairs in step. Both are upper bounds of the ratio, which is computed for the few
+  that are left. Only accepted pairs leave the task.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import Stages, small_side
+from .ordering import positions
+
 WINDOW_DAYS = 3
 MATCH_RATIO = 0.72
 LOOSE_RATIO = 0.3
-LETTER_SLOTS = 64
+LEAST_ROWS = 256
+MOST_ROWS = 4096
+TILES_PER_PARTITION = 8
+#: Occurrences of a character that are told apart; what a title has beyond them counts as shareable.
+OCCURRENCES = 16
+BLOCK = 256
+WORD = 64
 TILE = ["bucket", "a", "b"]
 ROW = ["node", "title", "day_no", "settled"]
 
@@ -38,29 +50,83 @@ def sequence_ratio(new: str, candidate: str) -> float:
     return SequenceMatcher(None, new, candidate).ratio()
 
 
-def _letter_counts(titles: list[str]) -> np.ndarray:
-    out = np.zeros((len(titles), LETTER_SLOTS), dtype=np.int32)
-    for i, title in enumerate(titles):
-        codes = np.frombuffer(title.encode("utf-32-le"), dtype=np.uint32) % LETTER_SLOTS
-        out[i] = np.bincount(codes, minlength=LETTER_SLOTS)
-    return out
-
-
-def _letter_masks(title: str) -> dict[str, int]:
-    masks: dict[str, int] = defaultdict(int)
-    for i, ch in enumerate(title):
-        masks[ch] |= 1 << i
-    return masks
-
-
-def _common_subsequence(masks: dict[str, int], size: int, other: str) -> int:
-    """Longest common subsequence length, one bit per character of the masked title."""
-    full = (1 << size) - 1
+class Coded:
+    """Titles of one side of a tile as arrays over an alphabet shared by both sides."""
+
+    def __init__(self, titles: list[str], alphabet: np.ndarray):
+        self.titles = titles
+        self.lens = np.array([len(s) for s in titles], dtype=np.int64)
+        points = np.frombuffer("".join(titles).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        self.letters = np.searchsorted(alphabet, points)
+        self.owner = np.repeat(np.arange(len(titles)), self.lens)
+        self.place = np.arange(len(points)) - np.repeat(np.cumsum(self.lens) - self.lens, self.lens)
+        self.size = len(alphabet)
+
+    def tokens(self) -> tuple[np.ndarray, np.ndarray]:
+        """Presence of each (character, occurrence), and the number of characters beyond ``OCCURRENCES``."""
+        key = self.owner * self.size + self.letters
+        order = np.argsort(key, kind="stable")
+        first = np.concatenate([[True], key[order][1:] != key[order][:-1]]) if len(key) else np.zeros(0, bool)
+        start = np.flatnonzero(first)
+        nth = np.arange(len(key)) - np.repeat(start, np.diff(np.append(start, len(key))))
+        told = nth < OCCURRENCES
+        out = np.zeros((len(self.titles), self.size * OCCURRENCES), dtype=np.float32)
+        out[self.owner[order][told], self.letters[order][told] * OCCURRENCES + nth[told]] = 1
+        return out, self.lens - np.bincount(self.owner[order][told], minlength=len(self.titles))
+
+    def matrix(self, rows: np.ndarray) -> np.ndarray:
+        """Letters of some titles by place; ``size`` beyond the end."""
+        out = np.full((len(self.titles), int(self.lens[rows].max(initial=0))), self.size, dtype=np.int64)
+        inside = self.place < out.shape[1]
+        out[self.owner[inside], self.place[inside]] = self.letters[inside]
+        return out[rows]
+
+    def masks(self) -> np.ndarray:
+        """For each title and letter, where the letter stands; titles of up to ``WORD`` characters."""
+        out = np.zeros((len(self.titles), self.size + 1), dtype=np.uint64)
+        short = self.lens[self.owner] <= WORD
+        np.bitwise_or.at(out, (self.owner[short], self.letters[short]), np.uint64(1) << self.place[short].astype(np.uint64))
+        return out
+
+
+def alphabet_of(*sides: list[str]) -> np.ndarray:
+    return np.unique(np.frombuffer("".join(t for side in sides for t in side).encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+
+
+def common_subsequence(scanned: Coded, i: np.ndarray, held: Coded, j: np.ndarray) -> np.ndarray:
+    """Longest common subsequence lengths of pairs of titles, those of ``held`` within ``WORD`` characters; all pairs in step."""
+    masks, rows = held.masks(), np.full(len(j), ~np.uint64(0))
+    letters = scanned.matrix(i)
+    for step in range(letters.shape[1]):
+        hit = rows & masks[j, letters[:, step]]
+        rows = (rows + hit) | (rows - hit)
+    keep = np.where(held.lens[j] < WORD, (np.uint64(1) << (held.lens[j] % WORD).astype(np.uint64)) - np.uint64(1), ~np.uint64(0))
+    return held.lens[j] - np.bitwise_count(rows & keep).astype(np.int64)
+
+
+def _long_subsequence(a: str, b: str) -> int:
+    """The same for two long titles, on whole numbers of any size."""
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(b):
+        masks[ch] = masks.get(ch, 0) | 1 << i
+    full = (1 << len(b)) - 1
     row = full
-    for ch in other:
+    for ch in a:
         hit = row & masks.get(ch, 0)
         row = ((row + hit) | (row - hit)) & full
-    return size - row.bit_count()
+    return len(b) - row.bit_count()
+
+
+def subsequences(left: Coded, i: np.ndarray, right: Coded, j: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(i), dtype=np.int64)
+    in_right = right.lens[j] <= WORD
+    in_left = ~in_right & (left.lens[i] <= WORD)
+    for rows, scanned, at, held, to in ((in_right, left, i, right, j), (in_left, right, j, left, i)):
+        if rows.any():
+            out[rows] = common_subsequence(scanned, at[rows], held, to[rows])
+    for k in np.flatnonzero(~in_right & ~in_left):
+        out[k] = _long_subsequence(left.titles[i[k]], right.titles[j[k]])
+    return out
 
 
 def _accepted(new: pd.DataFrame, cand: pd.DataFrame, threshold: float, window: int):
@@ -68,35 +134,32 @@ def _accepted(new: pd.DataFrame, cand: pd.DataFrame, threshold: float, window: i
     if not len(new) or not len(cand):
         return
     titles, others = new["title"].tolist(), cand["title"].tolist()
-    lens = np.array([len(s) for s in titles])
-    counts = _letter_counts(titles)
-    days, ids, settled = new["day_no"].to_numpy(), new["node"].to_numpy(), cand["settled"].to_numpy()
+    alphabet = alphabet_of(titles, others)
+    left, right = Coded(titles, alphabet), Coded(others, alphabet)
+    (a, a_rest), (b, b_rest) = left.tokens(), right.tokens()
+    days, ids = new["day_no"].to_numpy().astype(np.int64), new["node"].to_numpy()
+    c_days, c_ids, settled = cand["day_no"].to_numpy().astype(np.int64), cand["node"].to_numpy(), cand["settled"].to_numpy().astype(bool)
     matcher = SequenceMatcher(None)
-    for j, other in enumerate(others):
-        day, node = cand["day_no"].iat[j], cand["node"].iat[j]
-        ok = np.abs(days - day) <= window
-        if not settled[j]:
-            ok &= (days > day) | ((days == day) & (ids > node))
-        total = lens + len(other)
-        ok &= 2.0 * np.minimum(lens, len(other)) >= threshold * total
-        rows = np.flatnonzero(ok)
-        if not rows.size:
-            continue
-        own = _letter_counts([other])[0]
-        shared = np.minimum(counts[rows], own).sum(axis=1)
-        rows = rows[2.0 * shared >= threshold * total[rows]]
-        if not rows.size:
-            continue
-        masks = _letter_masks(other)
-        matcher.set_seq2(other)
-        for i in rows:
-            common = _common_subsequence(masks, len(other), titles[i])
-            if 2.0 * common < threshold * total[i]:
-                continue
-            matcher.set_seq1(titles[i])
+    for start in range(0, len(titles), BLOCK):
+        at = slice(start, start + BLOCK)
+        total = left.lens[at][:, None] + right.lens[None, :]
+        ok = 2.0 * (a[at] @ b.T + np.minimum(a_rest[at][:, None], b_rest[None, :])) >= threshold * total
+        gap = days[at][:, None] - c_days[None, :]
+        ok &= (np.abs(gap) <= window) & (settled[None, :] | (gap > 0) | ((gap == 0) & (ids[at][:, None] > c_ids[None, :])))
+        i, j = np.nonzero(ok)
+        i += start
+        good = 2.0 * subsequences(left, i, right, j) >= threshold * (left.lens[i] + right.lens[j])
+        i, j = i[good], j[good]
+        # The matcher keeps what it knows of the second title.
+        order, held = np.argsort(j, kind="stable"), -1
+        for k, m in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            if m != held:
+                matcher.set_seq2(others[m])
+                held = m
+            matcher.set_seq1(titles[k])
             ratio = matcher.ratio()
             if ratio >= threshold:
-                yield i, j, ratio
+                yield k, m, ratio
 
 
 def _chunks(nodes: DataFrame, tile_rows: int) -> DataFrame:
@@ -113,17 +176,24 @@ def _chunks(nodes: DataFrame, tile_rows: int) -> DataFrame:
     ).drop("start", "n")
 
 
+def _rows_of_a_tile(new: DataFrame, cand: DataFrame, width: int, parts: int) -> int:
+    """Chunk size for which the pairs of all buckets make several tiles for each partition."""
+    n_new, n_buckets = new.agg(F.count(F.lit(1)), F.count_distinct(F.floor(F.col("day_no") / width))).first()
+    pairs = n_new * 3 * cand.count() / max(1, n_buckets)
+    return int(min(MOST_ROWS, max(LEAST_ROWS, (pairs / (TILES_PER_PARTITION * parts)) ** 0.5)))
+
+
 def tiles(
-    new: DataFrame, cand: DataFrame, *, threshold: float, window: int, tile_rows: int, partitions: int | None = None
+    new: DataFrame, cand: DataFrame, *, threshold: float, window: int, tile_rows: int | None = None, partitions: int | None = None
 ):
     """Both sides laid out by tile ``(bucket, a, b)``, spread over ``partitions`` tasks."""
     width = window + 1
     columns = [*ROW, "len"]
+    parts = partitions or int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tile_rows = tile_rows or _rows_of_a_tile(new, cand, width, parts)
     left = new.withColumn("len", F.length("title")).select(*columns, F.floor(F.col("day_no") / width).alias("bucket"))
-    home = F.floor(F.col("day_no") / width)
-    right = cand.withColumn("len", F.length("title")).select(
-        *columns, F.explode(F.array(home - 1, home, home + 1)).alias("bucket")
-    )
+    ends = [F.floor((F.col("day_no") + gap) / width) for gap in (-window, window)]
+    right = cand.withColumn("len", F.length("title")).select(*columns, F.explode(F.sequence(*ends)).alias("bucket"))
     left, right = _chunks(left, tile_rows), _chunks(right, tile_rows)
 
     def spans(df: DataFrame, name: str) -> DataFrame:
@@ -135,7 +205,6 @@ def tiles(
     grid = spans(left, "a").join(spans(right, "b"), "bucket").filter(
         (F.col("b_hi") >= F.col("a_lo") * reach) & (F.col("a_hi") >= F.col("b_lo") * reach)
     ).select("bucket", "a", "b")
-    parts = partitions or int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def placed(df: DataFrame, name: str) -> DataFrame:
         rows = df.withColumnRenamed("chunk", name).join(grid, ["bucket", name])
@@ -163,7 +232,7 @@ def similar_pairs(
     *,
     threshold: float = MATCH_RATIO,
     window: int = WINDOW_DAYS,
-    tile_rows: int = 512,
+    tile_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Accepted ``(node, cand, ratio)`` pairs.
@@ -191,6 +260,53 @@ def similar_pairs(
     return _by_tile(left, right, match, "node bigint, cand bigint, cand_day int, settled boolean, ratio double")
 
 
+def _day_positions(days: DataFrame, settled: DataFrame, window: int) -> DataFrame:
+    """Positions ``lo`` up to ``hi`` that the window of each day has in the order of the settled items."""
+    counts = (
+        settled.groupBy("day_no").agg(F.count(F.lit(1)).alias("n"), F.lit(False).alias("asked"))
+        .unionByName(days.select("day_no", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("asked")))
+        .groupBy("day_no").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    )
+    # One row per calendar day: a bounded single-partition window.
+    ordered = Window.partitionBy(F.lit(1)).orderBy("day_no")
+    before = ordered.rangeBetween(Window.unboundedPreceding, -window - 1)
+    upto = ordered.rangeBetween(Window.unboundedPreceding, window)
+    out = counts.withColumns({"lo": F.coalesce(F.sum("n").over(before), F.lit(0)), "hi": F.sum("n").over(upto)})
+    return out.filter("asked").select("day_no", "lo", "hi")
+
+
+def _first_loose(loose: float):
+    """Up to ``need`` loosely similar candidates of each item of a tile, in order of position."""
+
+    def run(items: pa.Table, cands: pa.Table) -> pa.Table:
+        nodes, found, places = [], [], []
+        if items.num_rows and cands.num_rows:
+            cands = cands.sort_by("position")
+            titles, others = items["title"].to_pylist(), cands["title"].to_pylist()
+            alphabet = alphabet_of(titles, others)
+            left, right = Coded(titles, alphabet), Coded(others, alphabet)
+            (a, a_rest), (b, b_rest) = left.tokens(), right.tokens()
+            ids, spots = cands["cand"].to_numpy(), cands["position"].to_numpy()
+            need, own = items["need"].to_numpy(), items["node"].to_numpy()
+            for start in range(0, len(titles), BLOCK):
+                at = slice(start, start + BLOCK)
+                total = left.lens[at][:, None] + right.lens[None, :]
+                near = 2.0 * (a[at] @ b.T + np.minimum(a_rest[at][:, None], b_rest[None, :])) >= loose * total
+                for k, row in enumerate(near, start):
+                    left_over = need[k]
+                    for j in np.flatnonzero(row).tolist():
+                        if not left_over:
+                            break
+                        if sequence_ratio(titles[k], others[j]) >= loose:
+                            left_over -= 1
+                            nodes.append(own[k])
+                            found.append(ids[j])
+                            places.append(spots[j])
+        return pa.table({n: pa.array(v, pa.int64()) for n, v in (("node", nodes), ("cand", found), ("position", places))})
+
+    return run
+
+
 def review_candidates(
     new: DataFrame,
     settled: DataFrame,
@@ -198,49 +314,72 @@ def review_candidates(
     loose: float = LOOSE_RATIO,
     window: int = WINDOW_DAYS,
     limit: int,
+    slice_rows: int | None = None,
     tile_rows: int = 512,
 ) -> DataFrame:
     """What an outside judge sees per new item: settled items of the window with at least the loose
     ratio, or the whole window when none has it; the first ``limit`` by (day, id).
 
-    Each tile already keeps only the first ``limit`` of either kind per item, so what is shuffled
-    again stays bounded per item and tile and the result is exact.
+    The settled items get positions in order of (day, id), so a window is a range of positions. All
+    items look at the first slice of their window, those that lack candidates at the next one, twice
+    as long, and so on: items that have their ``limit`` leave, so most are compared with a few times
+    ``limit`` others however crowded the window is. Items without any loose candidate share one list
+    for each day.
     """
-
-    def first(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple] = []
-        if len(a) and len(b):
-            b = b.sort_values(["day_no", "node"], kind="stable").reset_index(drop=True)
-            near: dict[int, list[int]] = defaultdict(list)
-            days = b["day_no"].to_numpy()
-            for i, day in enumerate(a["day_no"].to_numpy()):
-                lo, hi = np.searchsorted(days, day - window, "left"), np.searchsorted(days, day + window, "right")
-                kept = 0
-                for j in range(lo, hi):
-                    if j - lo < limit:
-                        near[i].append(j)
-                    if kept < limit and sequence_ratio(a["title"].iat[i], b["title"].iat[j]) >= loose:
-                        kept += 1
-                        rows.append((a["node"].iat[i], b["node"].iat[j], int(days[j]), True))
-                    if kept >= limit and j - lo >= limit:
-                        break
-            taken = {(r[0], r[1]) for r in rows}
-            for i, js in near.items():
-                for j in js:
-                    if (a["node"].iat[i], b["node"].iat[j]) not in taken:
-                        rows.append((a["node"].iat[i], b["node"].iat[j], int(days[j]), False))
-        return pd.DataFrame(rows, columns=["node", "cand", "cand_day", "loose"])
-
-    left, right = tiles(new, settled, threshold=0.0, window=window, tile_rows=tile_rows)
-    found = _by_tile(left, right, first, "node bigint, cand bigint, cand_day int, loose boolean")
-    per_item = Window.partitionBy("node")
-    kept = found.withColumn("_any", F.max("loose").over(per_item)).filter(F.col("loose") | ~F.col("_any"))
-    order = per_item.orderBy("cand_day", "cand")
-    return (
-        kept.withColumn("position", F.row_number().over(order))
-        .filter(F.col("position") <= limit)
-        .select("node", "cand", "loose", "position")
-    )
+    spark = new.sparkSession
+    stages = Stages(spark, "review")
+    slice_rows = slice_rows or 4 * limit
+    order = ["day_no", "node"]
+    old = positions(settled.select(*order, "title"), order, stages)
+    items = stages.keep("items", new.select("node", "title", "day_no"))
+    days = stages.keep("days", _day_positions(items.select("day_no").distinct(), old, window))
+    near_days = F.explode(F.sequence(F.col("day_no") - window, F.col("day_no") + window)).alias("c_day")
+
+    def part_of_window(spans: DataFrame) -> DataFrame:
+        """(day_no, cand, title, position) of the settled items whose position lies in ``start`` up to ``stop`` of a day."""
+        spans = small_side(spans.select("day_no", "start", "stop", near_days))
+        rows = old.select(F.col("day_no").alias("c_day"), F.col("node").alias("cand"), "title", "position")
+        return rows.join(spans, "c_day").filter("position >= start and position < stop").drop("c_day", "stop")
+
+    waiting = stages.keep("waiting0", items.join(small_side(days), "day_no").filter("hi > lo").withColumn("need", F.lit(limit)))
+    found, turn, begin, length = [], 0, 0, slice_rows
+    while not waiting.isEmpty():
+        blocks = waiting.groupBy("day_no", "lo", "hi").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(tile_rows))).cast("int").alias("blocks"))
+        spans = stages.keep(f"spans{turn}", blocks.select(
+            "day_no", "blocks", (F.col("lo") + begin).alias("start"), F.least(F.col("lo") + begin + length, "hi").alias("stop")
+        ))
+        facts = small_side(spans.select(
+            "day_no", "blocks", F.ceil((F.col("stop") - F.col("start")) / F.lit(float(MOST_ROWS))).cast("int").alias("chunks")
+        ))
+        left = waiting.join(facts, "day_no").select(
+            "day_no", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+            F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "node", "title", "need",
+        )
+        right = part_of_window(spans).join(facts, "day_no").select(
+            F.col("day_no").alias("r_day"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("r_block"),
+            F.floor((F.col("position") - F.col("start")) / F.lit(float(MOST_ROWS))).cast("int").alias("r_chunk"), "cand", "title", "position",
+        )
+        seen = left.groupBy("day_no", "block", "chunk").cogroup(right.groupBy("r_day", "r_block", "r_chunk")).applyInArrow(
+            _first_loose(loose), "node bigint, cand bigint, position bigint"
+        )
+        first = F.row_number().over(Window.partitionBy("node").orderBy("position"))
+        seen = seen.join(waiting.select("node", "need"), "node").withColumn("_n", first).filter("_n <= need").drop("_n", "need")
+        found.append(stages.keep(f"found{turn}", seen))
+        begin, length, turn = begin + length, 2 * length, turn + 1
+        got = found[-1].groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("got"))
+        still = waiting.join(got, "node", "left").withColumn("need", F.col("need") - F.coalesce("got", F.lit(0))).drop("got")
+        waiting = stages.keep(f"waiting{turn}", still.filter((F.col("need") > 0) & (F.col("lo") + begin < F.col("hi"))))
+    first_of_day = part_of_window(days.select("day_no", F.col("lo").alias("start"), F.least(F.col("lo") + limit, "hi").alias("stop"))).drop("title", "start")
+    if not found:
+        return items.join(first_of_day, "day_no").select("node", "cand", F.lit(False).alias("loose"), F.lit(1).alias("position")).limit(0)
+    loosely = found[0]
+    for more in found[1:]:
+        loosely = loosely.unionByName(more)
+    none = items.join(loosely.select("node").distinct(), "node", "left_anti").select("node", "day_no")
+    rest = none.join(small_side(first_of_day), "day_no").select("node", "cand", "position")
+    both = loosely.withColumn("loose", F.lit(True)).unionByName(rest.withColumn("loose", F.lit(False)))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("position"))
+    return both.select("node", "cand", "loose", place.alias("position"))
 
 
 def window_sizes(new: DataFrame, settled: DataFrame, *, day: str = "day", window: int = WINDOW_DAYS) -> DataFrame:

@@ -97,15 +97,54 @@ def title_nodes(df):
     ).filter("title <> ''")
 
 
-@add("similar_titles", "J11 D2 F29")
+PAGE_SQL = r"""
+pg AS MATERIALIZED (
+  SELECT page_id AS raw_ref, (DATE '2024-01-01' + (page_id % 30)::INTEGER)::DATE AS day, url,
+    regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1),
+      '<[^>]+>', '', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '^\s+|\s+$', '', 'g') AS title
+  FROM pages)"""
+
+#: ``ratio(a, b, r)`` of the title pairs of ``need(a, b)``: the longest block first, then left and right of it, and so on.
+#: Titles of 200 characters and more would also need the library's rule for popular characters.
+RATIO_SQL = """
+pair AS MATERIALIZED (SELECT row_number() OVER () AS p, a, b FROM (SELECT DISTINCT a, b FROM need)),
+ca AS (SELECT p, i, substring(a, i, 1) AS ch FROM (SELECT p, a, unnest(range(1, length(a) + 1)) AS i FROM pair)),
+cb AS (SELECT p, j, substring(b, j, 1) AS ch FROM (SELECT p, b, unnest(range(1, length(b) + 1)) AS j FROM pair)),
+eq AS MATERIALIZED (SELECT p, i, j FROM ca JOIN cb USING (p, ch)),
+seg AS (
+  SELECT p, 1::BIGINT AS alo, length(a) + 1 AS ahi, 1::BIGINT AS blo, length(b) + 1 AS bhi, 0::BIGINT AS m FROM pair
+  UNION ALL
+  SELECT p, unnest([alo, i + m]), unnest([i, ahi]), unnest([blo, j + m]), unnest([j, bhi]), unnest([m, 0]) FROM (
+    SELECT p, alo, ahi, blo, bhi, max(k) AS m, arg_max(i, (k, -i, -j)) AS i, arg_max(j, (k, -i, -j)) AS j FROM (
+      SELECT p, alo, ahi, blo, bhi, min(i) AS i, min(j) AS j, count(*) AS k FROM (
+        SELECT seg.p, alo, ahi, blo, bhi, i, j, i - row_number() OVER (PARTITION BY seg.p, alo, ahi, blo, bhi, i - j ORDER BY i) AS run
+        FROM seg JOIN eq ON eq.p = seg.p AND i >= alo AND i < ahi AND j >= blo AND j < bhi)
+      GROUP BY p, alo, ahi, blo, bhi, i - j, run)
+    GROUP BY p, alo, ahi, blo, bhi)),
+ratio AS MATERIALIZED (SELECT a, b, 2.0 * sum(m) / (length(a) + length(b)) AS r FROM seg JOIN pair USING (p) GROUP BY p, a, b)"""
+
+
+@add("similar_titles", "J11 D2 F29", f"""
+WITH RECURSIVE {PAGE_SQL},
+w AS MATERIALIZED (SELECT n.raw_ref AS node, c.raw_ref AS cand, n.title AS a, c.title AS b FROM pg n JOIN pg c ON abs(n.day - c.day) <= 3 AND (c.day, c.raw_ref) < (n.day, n.raw_ref)
+  WHERE n.title <> '' AND c.title <> '' AND 2 * least(length(n.title), length(c.title)) >= 0.72 * (length(n.title) + length(c.title))),
+need AS (SELECT a, b FROM w), {RATIO_SQL}
+SELECT node, cand, round(r, 6) AS ratio FROM w JOIN ratio USING (a, b) WHERE r >= 0.72""")
 def similar_titles(spark, sf):
-    """Page titles within three days whose ratio reaches the threshold. No SQL form; brute force in the tests."""
+    """Page titles within three days whose ratio reaches the threshold."""
     nodes = title_nodes(t.page_articles(spark, sf))
     pairs = similarity.similar_pairs(nodes, nodes)
     return pairs.select("node", "cand", F.round("ratio", 6).alias("ratio"))
 
 
-@add("review_candidates", "D2 T9")
+@add("review_candidates", "D2 T9", f"""
+WITH RECURSIVE {PAGE_SQL},
+w AS MATERIALIZED (SELECT n.raw_ref AS node, c.raw_ref AS cand, c.day, n.title AS a, c.title AS b FROM pg n JOIN pg c ON abs(n.day - c.day) <= 3
+  WHERE n.url LIKE 'https://%' AND c.url NOT LIKE 'https://%' AND n.title <> '' AND c.title <> ''),
+need AS (SELECT a, b FROM w), {RATIO_SQL},
+x AS (SELECT node, cand, day, r >= 0.3 AS loose, max(r) OVER (PARTITION BY node) >= 0.3 AS found FROM w JOIN ratio USING (a, b)),
+o AS (SELECT node, cand, loose, row_number() OVER (PARTITION BY node ORDER BY day, cand)::INTEGER AS position FROM x WHERE loose OR NOT found)
+SELECT * FROM o WHERE position <= 20""")
 def review_candidates(spark, sf):
     """Candidates shown to an outside judge: pages of one site family against all the others."""
     a = t.page_articles(spark, sf)
@@ -113,7 +152,26 @@ def review_candidates(spark, sf):
     return similarity.review_candidates(title_nodes(a.filter(fresh)), title_nodes(a.filter(~fresh)), limit=20)
 
 
-@add("assigned_duplicates", "D3 F29 J11")
+@add("assigned_duplicates", "D3 F29 J11", f"""
+WITH RECURSIVE {PAGE_SQL},
+nd AS MATERIALIZED (SELECT trim(title) AS title, day, url NOT LIKE 'https://%' AS settled, min(raw_ref) AS node FROM pg WHERE trim(title) <> '' GROUP BY ALL),
+w AS MATERIALIZED (SELECT n.node, c.node AS cand, c.day, c.settled, n.title AS a, c.title AS b FROM nd n JOIN nd c ON abs(n.day - c.day) <= 3 AND (c.settled OR (c.day, c.node) < (n.day, n.node))
+  WHERE NOT n.settled AND 2 * least(length(n.title), length(c.title)) >= 0.72 * (length(n.title) + length(c.title))),
+need AS (SELECT a, b FROM w), {RATIO_SQL},
+hit AS MATERIALIZED (SELECT node, cand, day, settled FROM w JOIN ratio USING (a, b) WHERE r >= 0.72),
+old AS MATERIALIZED (SELECT node, arg_min(cand, (day, cand)) AS target FROM hit WHERE settled GROUP BY node),
+nb AS MATERIALIZED (SELECT * FROM hit WHERE NOT settled AND node NOT IN (SELECT node FROM old) AND cand NOT IN (SELECT node FROM old)),
+todo AS MATERIALIZED (SELECT node, row_number() OVER (ORDER BY day, node) AS rn, coalesce((SELECT list(cand) FROM nb WHERE nb.node = nd.node), []) AS near
+  FROM nd WHERE NOT settled AND node NOT IN (SELECT node FROM old)),
+walk AS (
+  SELECT 0::BIGINT AS rn, []::BIGINT[] AS canon
+  UNION ALL
+  SELECT todo.rn, CASE WHEN list_has_any(near, canon) THEN canon ELSE list_append(canon, node) END FROM walk JOIN todo ON todo.rn = walk.rn + 1),
+canon AS MATERIALIZED (SELECT unnest(canon) AS node FROM (SELECT canon FROM walk ORDER BY rn DESC LIMIT 1)),
+target AS (SELECT node, target FROM old UNION ALL SELECT node, arg_min(cand, (day, cand)) FROM nb WHERE cand IN (SELECT node FROM canon) GROUP BY node),
+mine AS (SELECT title, day, node FROM nd WHERE NOT settled)
+SELECT raw_ref, coalesce(target, CASE WHEN raw_ref <> node THEN node END) AS duplicate_of, node IS NOT NULL OR url NOT LIKE 'https://%' AS judged, node IS NOT NULL AS judged_now
+FROM pg LEFT JOIN mine ON mine.title = trim(pg.title) AND mine.day = pg.day AND url LIKE 'https://%' LEFT JOIN target USING (node)""")
 def assigned_duplicates(spark, sf):
     """Pages judged in order of day and id, those over plain http settled before."""
     a = t.page_articles(spark, sf).select(

@@ -45,14 +45,14 @@ def noisy_titles(rng, n, days, settled=0.2):
     return items
 
 
-@pytest.mark.parametrize("seed, options", [(1, {}), (2, {"rounds": 1}), (3, {"rounds": 1, "component_limit": 0}), (4, {"tile_rows": 7})])
+@pytest.mark.parametrize("seed, options", [(1, {}), (2, {"window": 1}), (3, {"window": 5}), (4, {"tile_rows": 7})])
 def test_assignment_equals_sequential_rule(spark, seed, options):
     items = noisy_titles(random.Random(seed), 90, 12)
     got = art.assign_canonical(spark.createDataFrame(items, SCHEMA), **options)
-    assert {r.raw_ref: r.duplicate_of for r in got.collect()} == sequential(items)
+    assert {r.raw_ref: r.duplicate_of for r in got.collect()} == sequential(items, window=options.get("window", 3))
 
 
-def test_long_chain_goes_through_components(spark):
+def test_long_chain_is_walked_in_one_pass(spark):
     """Copies on every day for months: each fourth day opens a new canonical item."""
     items = [(i + 1, BASE + dt.timedelta(days=i), "same old story", False, None) for i in range(120)]
     got = {r.raw_ref: r.duplicate_of for r in art.assign_canonical(spark.createDataFrame(items, SCHEMA)).collect()}
