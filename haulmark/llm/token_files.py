@@ -28,6 +28,8 @@ hash; a null doc_id comes first. An empty table gives a manifest without rows.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 import uuid
 import zlib
 from functools import lru_cache
@@ -36,7 +38,6 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -45,7 +46,7 @@ from haulmark.session import planned_bytes
 
 from .blocks import slices, texts_of
 
-CACHE = 300_000
+CACHE = 500_000
 END_ID = 2
 PART_BYTES = 512 << 20
 #: A sign that the tokenizer keeps as one id.
@@ -59,13 +60,26 @@ SPLITTER = [
 ]
 #: From here on a letter may change its class in lower case or combine with its neighbour.
 NOT_LATIN = "\u0130"
+#: Codes of the end of a document and of a gap between words.
+END, GAP = 0, 1
+
+
+def _latin_splitter() -> re.Pattern:
+    """The splitter's pattern on lower-case text below ``NOT_LATIN``, with a space as a piece of its own."""
+    of = {"L": "", "N": ""}
+    for c in map(chr, range(ord(NOT_LATIN))):
+        kind = unicodedata.category(c)[0]
+        if kind in of:
+            of[kind] += re.escape(c)
+    letter, digit, space = of["L"], of["N"], r"\t-\r \x85\xa0"
+    return re.compile(rf" |'(?:s|t|re|ve|m|ll|d)|[{letter}]+|[{digit}]|[^{space}{letter}{digit}]+")
 
 
 class Words:
     """Ids of words by the tokenizers library, behind a bounded cache of two generations.
 
-    A word has a code; its ids are a piece of one flat array. Code 0 is the end of a document. When the cache is full it
-    becomes the past one, from which words in use move over without another call.
+    A word has a code; its ids are a piece of one flat array. When the cache is full it becomes the past one, from which words
+    in use move over without another call.
     """
 
     def __init__(self, path: str):
@@ -76,14 +90,18 @@ class Words:
         file = json.loads(self.tokenizer.to_str())
         steps = [(file[k] or {}).get(n) for k, n in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         self.by_words = steps == [NORMALIZERS, SPLITTER] and file["model"]["type"] == "BPE"
-        self.pieces = regex.compile(SPLIT).findall
+        self.pieces = _latin_splitter().findall
+        suffix = file["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[number] = bool(suffix) and token.endswith(suffix)
         self._clear()
 
     def _clear(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes: dict[str, int] = {" ": GAP}
         self.flat = np.zeros(0, np.uint32)
-        self.start = np.zeros(1, np.int64)
-        self.size = np.zeros(1, np.int64)
+        self.start = np.zeros(2, np.int64)
+        self.size = np.zeros(2, np.int64)
         self.old = ({}, self.flat, self.start, self.size)
 
     def _turn(self) -> None:
@@ -130,23 +148,37 @@ class Words:
         cuts = np.flatnonzero(ids == mark)
         self._add(words, ids[ids != mark], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1)
 
-    def _cut(self, word: str) -> list[str]:
-        """Pieces that the tokenizer's splitter would make of the word, in lower case; a word of other letters as it is."""
-        if word.isascii() and word.isalpha():
-            return [word.lower()]
-        return self.pieces(word.lower()) if word.isascii() or max(word) < NOT_LATIN else [word]
+    def _call_pieces(self, pieces: list[str]) -> None:
+        """One call for many pieces that are one word each to the tokenizer: the last id of a word says so."""
+        if pieces:
+            (coded,) = self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)
+            ids = np.array(coded.ids, np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(pieces):
+                self._add(pieces, ids, np.diff(np.concatenate([[-1], last])))
+            else:
+                self._call(pieces)
 
     def _learn(self, words: list[str]) -> None:
+        """Adds words: of Latin letters by the pieces that the splitter makes of them, others by a call for the word."""
         words = self._remember(words)
-        cuts = [self._cut(w) for w in words]
-        need = [w for w in dict.fromkeys(p for c in cuts for p in c) if w not in self.codes]
-        self._call(self._remember(need))
-        other = [i for i, w in enumerate(words) if w not in self.codes]
-        counts = np.array([len(cuts[i]) for i in other], np.int64)
-        codes = np.array([self.codes[p] for i in other for p in cuts[i]], np.int64)
+        latin = [w for w in words if w.isascii() or max(w) < NOT_LATIN]
+        if len(latin) < len(words):
+            self._call([w for w in words if not (w.isascii() or max(w) < NOT_LATIN)])
+        if not latin:
+            return
+        pieces = self.pieces(" ".join(latin).lower())
+        codes = np.fromiter(map(self.codes.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(codes < 0).tolist()
+        self._call_pieces(self._remember(list(dict.fromkeys([pieces[i] for i in missing]))))
+        codes[missing] = [self.codes[pieces[i]] for i in missing]
         ids, sizes, _ = self._gather(codes, self.flat, self.start, self.size)
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
-        self._add([words[i] for i in other], ids, np.diff(np.concatenate([[0], ends])))
+        gaps = np.flatnonzero(codes == GAP)
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        counts = np.diff(np.concatenate([[0], before[gaps], [before[-1]]]))
+        # A piece of the same batch may be one of the words.
+        new = np.fromiter((w not in self.codes for w in latin), bool, len(latin))
+        self._add([w for w, n in zip(latin, new.tolist(), strict=True) if n], ids[np.repeat(new, counts)], counts[new])
 
     def _whole(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         coded = [c.ids + [end] * (end is not None) for c in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -163,15 +195,15 @@ class Words:
         if (codes < 0).any():
             if len(self.codes) > CACHE:
                 self._turn()
-                new = list(dict.fromkeys(words))
-            else:
-                new = list(dict.fromkeys(words[i] for i in np.flatnonzero(codes < 0).tolist()))
-            self._learn(new)
-            codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+                codes[:] = -1
+            missing = np.flatnonzero(codes < 0).tolist()
+            lacking = [words[i] for i in missing]
+            self._learn(list(dict.fromkeys(lacking)))
+            codes[missing] = [self.codes[w] for w in lacking]
         last = np.cumsum(per_text)
-        codes = np.insert(codes, last, 0)
+        codes = np.insert(codes, last, END)
         size = self.size.copy()
-        size[0] = end is not None
+        size[END] = end is not None
         flat, sizes, place = self._gather(codes, self.flat, self.start, size)
         ends = last + np.arange(len(texts))
         if end is not None:
