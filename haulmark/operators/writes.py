@@ -81,8 +81,16 @@ def upsert(
     ``update`` columns take the new value on a match, every other column keeps the stored one; an
     inserted row takes ``on_insert`` for columns the update does not carry.
     """
+    joined = merged(target, pick_per_key(updates, list(keys), order, last=True), keys=keys, update=update, on_insert=on_insert)
+    counts = joined.groupBy(F.col("_action").alias("action")).agg(F.count(F.lit(1)).alias("n"))
+    return Upserted(joined.drop("_action"), counts)
+
+
+def merged(
+    target: DataFrame, updates: DataFrame, *, keys: Sequence[str], update: Sequence[str], on_insert: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``target`` with one update per key merged in, and ``_action``: inserted, updated or kept."""
     on_insert = on_insert or {}
-    updates = pick_per_key(updates, list(keys), order, last=True)
     new = updates.select(
         *[F.col(k) for k in keys],
         *[F.col(c).alias(f"_new_{c}") for c in updates.columns if c not in keys],
@@ -101,8 +109,7 @@ def upsert(
         updated = F.col(f"_new_{c}") if carried and c in update else F.col(c)
         cols.append(F.when(known & touched, updated).when(known, F.col(c)).otherwise(inserted).alias(c))
     action = F.when(known & touched, "updated").when(touched, "inserted").otherwise("kept")
-    counts = joined.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
-    return Upserted(joined.select(*cols), counts)
+    return joined.select(*cols, action.alias("_action"))
 
 
 def promotion_conflicts(batch: DataFrame, target: DataFrame, *, key: str, target_id: str) -> DataFrame:

@@ -6,12 +6,13 @@ be; the operators then read the landed rows.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
 
+from pyspark.sql import functions as F
 
 from ..operators import keyed
-from ..session import kept
-from ..sources import customs, files, grids, news, wide
+from ..session import kept, scratch_folder
+from ..sources import customs, files, grids, lines, news, wide
 from . import tables as t
 from .registry import REGISTRY
 
@@ -19,7 +20,6 @@ add = REGISTRY.add
 
 FORMS = ["frozen", "dried", "other"]
 DESCRIPTIONS = {"frozen": "Antlers; frozen", "dried": "Antlers; dried", "other": "Antlers, other than frozen or dried"}
-NATIONS = [f"NATION_{i}" for i in range(25)]
 # Codes of the three forms in the rendered files.
 CODES = {"frozen": "0507901110", "dried": "0507901190", "other": "0510001000"}
 
@@ -39,6 +39,14 @@ CELLS_SQL = f"""
 CODE_SQL = "CASE form WHEN 'frozen' THEN '0507901110' WHEN 'dried' THEN '0507901190' ELSE '0510001000' END"
 
 
+def landed(rows, name, path=None):
+    """Writes lines (file, pos, text) as text files below one folder, a large file in several parts; the path."""
+    path = path or f"{scratch_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    ordered = rows.repartitionByRange("file", "pos").sortWithinPartitions("file", "pos")
+    ordered.select("file", "text").write.partitionBy("file").text(path)
+    return path
+
+
 def quoted(number):
     return F.concat(F.lit('"'), F.format_number(number.cast("double"), 3), F.lit('"'))
 
@@ -46,10 +54,16 @@ def quoted(number):
 # --- wide files -----------------------------------------------------------------------------------
 
 
+def nation_names(spark, sf):
+    """Names of the nation dimension, the columns of a wide file."""
+    return [r.n_name for r in t.table(spark, sf, "nation").select("n_name").distinct().orderBy("n_name").collect()]
+
+
 def wide_lines(spark, sf):
     """One file per year: three header rows, a month per line, a footer and a line behind it."""
-    slots = [(c, f) for c in NATIONS for f in FORMS]
-    head2 = ",".join(f'"{c}, Republic of"' + "," * (2 * len(FORMS) - 1) for c in NATIONS)
+    nations = nation_names(spark, sf)
+    slots = [(c, f) for c in nations for f in FORMS]
+    head2 = ",".join(f'"{c}, Republic of"' + "," * (2 * len(FORMS) - 1) for c in nations)
     head3 = ",".join(f'"{DESCRIPTIONS[f]}",' for _, f in slots)
     head4 = ",".join("Quantity,Free on board" for _ in slots)
     fixed = [(1, "Exports" + "," * (2 * len(slots))), (2, '"",' + head2), (3, '" ",' + head3), (4, '" ",' + head4), (30, ",,,"), (31, "Source: office"), (32, "1990M01,5,5")]
@@ -64,9 +78,9 @@ def wide_lines(spark, sf):
     data = months.select(
         file.alias("file"), (F.month("month") + 4).alias("pos"), F.concat(F.date_format("month", "yyyy'M'MM"), F.lit(","), F.array_join(texts, ",")).alias("text")
     )
-    lines = F.array(*[F.struct(F.lit(p).alias("pos"), F.lit(x).alias("text")) for p, x in fixed])
-    rest = data.select("file").distinct().select("file", F.explode(lines).alias("l")).select("file", "l.pos", "l.text")
-    return kept(data.unionByName(rest), "wide_lines")
+    others = F.array(*[F.struct(F.lit(p).alias("pos"), F.lit(x).alias("text")) for p, x in fixed])
+    rest = data.select("file").distinct().select("file", F.explode(others).alias("l")).select("file", "l.pos", "l.text")
+    return data.unionByName(rest)
 
 
 @add("wide_to_long", "S1 S2 S3 S4 W3 W7 P12 F2", f"""
@@ -79,8 +93,10 @@ SELECT strftime(p.month, '%Y-%m') AS date, 'wide' AS series, '0507.90' AS hs_cod
 FROM p CROSS JOIN nation CROSS JOIN (VALUES ('frozen'), ('dried'), ('other')) f(form) CROSS JOIN (VALUES ('KG'), ('NZD')) u(unit)
 LEFT JOIN cell c ON c.month = p.month AND c.country = n_name AND c.form = f.form""")
 def wide_to_long(spark, sf):
-    destinations = {f"{c}, Republic of": c for c in NATIONS}
-    return wide.wide_to_long(wide_lines(spark, sf), series="wide", value_unit="NZD", destinations=destinations)
+    destinations = {f"{c}, Republic of": c for c in nation_names(spark, sf)}
+    path = landed(wide_lines(spark, sf), "wide")
+    heads = lines.read_heads(spark, path, wide.HEADER_LINES)
+    return wide.wide_to_long(lines.read_lines(spark, path), heads=heads, series="wide", value_unit="NZD", destinations=destinations)
 
 
 # --- customs --------------------------------------------------------------------------------------
@@ -103,7 +119,12 @@ def customs_lines(spark, sf):
     bad = rows.select(F.lit("customs_bad.csv").alias("file"), "pos", "text").unionByName(
         rows.limit(1).select(F.lit("customs_bad.csv").alias("file"), F.lit(0).alias("pos"), F.lit(head.replace("수입 중량", "중량")).alias("text"))
     )
-    return kept(rows.unionByName(good).unionByName(bad), "customs_lines")
+    return rows.unionByName(good).unionByName(bad)
+
+
+def parsed_customs(spark, sf):
+    path = landed(customs_lines(spark, sf), "customs")
+    return customs.customs_csv(lines.read_lines(spark, path), heads=lines.read_heads(spark, path, 1), series="customs")
 
 
 @add("customs_csv", "S5 S6 P11 P12 F6", f"""
@@ -114,12 +135,12 @@ SELECT strftime(month, '%Y-%m') AS date, 'customs' AS series, substr({CODE_SQL},
        trunc(CASE u.unit WHEN 'KG' THEN q ELSE v END)::DOUBLE AS value, u.unit
 FROM c CROSS JOIN (VALUES ('KG'), ('USD_thousands')) u(unit) WHERE country NOT IN ('NATION_7', 'NATION_8', 'NATION_9')""")
 def customs_csv(spark, sf):
-    return customs.customs_csv(customs_lines(spark, sf), series="customs").rows
+    return parsed_customs(spark, sf).rows
 
 
 @add("customs_csv_rejects", "S6", "SELECT 'customs_bad.csv' AS file, '수입 중량' AS missing FROM region WHERE r_regionkey = 0")
 def customs_csv_rejects(spark, sf):
-    return customs.customs_csv(customs_lines(spark, sf), series="customs").rejects
+    return parsed_customs(spark, sf).rejects
 
 
 LABELS = {"0507901110": "frozen goods", "0507901190": "dried goods"}
@@ -216,8 +237,8 @@ def annual_sheet(spark, sf):
             )
         ).alias("l"),
     ).select("file", "l.row_no", "l.cells")
-    lines = kept(data.unionByName(heads), "annual_sheet")
-    return lines.select("file", F.lit(0).alias("table_no"), "row_no", F.posexplode("cells").alias("col_no", "cell")).filter("cell <> ''")
+    sheet = kept(data.unionByName(heads), "annual_sheet")
+    return sheet.select("file", F.lit(0).alias("table_no"), F.col("row_no").cast("bigint").alias("row_no"), "cells")
 
 
 @add("annual_grid", "S9 W3 P10 P11 F3", f"""
@@ -258,8 +279,8 @@ SELECT m AS date, 'quarantine' AS series, {GRID_LABEL_SQL}, country, 'source: mo
 FROM c CROSS JOIN (VALUES ('KG'), ('shipments')) u(unit)""")
 def monthly_grid(spark, sf):
     series = files.series_of(F.col("file"), "quarantine", "quarantine_export")
-    grid = kept(grids.grid_from_html(monthly_pages(spark, sf)), "grid")
-    return grids.monthly_grid(grid, series=series, period=files.period_of(F.col("file")))
+    rows = kept(grids.rows_from_html(monthly_pages(spark, sf)), "tables")
+    return grids.monthly_grid(rows, series=series, period=files.period_of(F.col("file")))
 
 
 @add("html_cells", "S10", """
@@ -269,18 +290,16 @@ def html_cells(spark, sf):
     """Every page with a one-row table put behind its own markup."""
     row = F.concat(F.lit("<table><tr><td> "), F.regexp_replace("url", "&", "&amp;"), F.lit(" </td><td>"), F.length("html").cast("string"), F.lit("</td></tr></table>"))
     p = t.table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("file"), F.concat("html", row).alias("html"))
-    return grids.grid_from_html(p)
+    return grids.rows_from_html(p).select("file", "table_no", F.col("row_no").cast("int").alias("row_no"), F.posexplode("cells").alias("col_no", "cell"))
 
 
 def record_sheet(spark, sf, heads, values, *, title_rows, file, where="true"):
-    """Cell grid of an import list: title rows, headings, one line per record."""
+    """Lines of an import list: title rows, headings, one line per record."""
     rec = t.import_records(spark, sf).filter(where)
-    lines = rec.select(
-        file.alias("file"), (F.col("record_id") + title_rows + 1).cast("int").alias("row_no"), F.array(*values).alias("cells")
-    )
-    top = lines.select("file").distinct().select("file", F.lit(title_rows).alias("row_no"), F.array(*[F.lit(h) for h in heads]).alias("cells"))
-    rows = kept(lines.unionByName(top), "record_sheet")
-    return rows.select("file", F.lit(0).alias("table_no"), "row_no", F.posexplode("cells").alias("col_no", "cell")).filter("cell <> ''")
+    body = rec.select(file.alias("file"), (F.col("record_id") + title_rows + 1).cast("bigint").alias("row_no"), F.array(*values).alias("cells"))
+    top = rec.limit(1).select(file.alias("file"), F.lit(title_rows).cast("bigint").alias("row_no"), F.array(*[F.lit(h) for h in heads]).alias("cells"))
+    rows = kept(body.unionByName(top), "record_sheet")
+    return rows.select("file", F.lit(0).alias("table_no"), "row_no", "cells")
 
 
 @add("historical_records", "S12 F4 F5 F27", f"""
@@ -323,8 +342,8 @@ def portal_records(spark, sf):
 
     old = sheet(["품목류", "제조사(영문)", "유통기한"], "수입식품조회20240101.xlsx", "day < date'1998-01-01'")
     new = sheet(["품목(유형)", "해외제조업소", "소비기한"], "수입식품조회20260701.xlsx", "day >= date'1998-01-01'")
-    grid = old.unionByName(new)
-    routed = grid.withColumn("layout", files.record_layout(F.col("file"))).filter("layout = 'portal'")
+    rows = old.unionByName(new)
+    routed = rows.withColumn("layout", files.record_layout(F.col("file"))).filter("layout = 'portal'")
     return grids.portal_records(routed)
 
 
@@ -341,7 +360,12 @@ def price_lines(spark, sf):
     rows = p.select(file.alias("file"), (F.col("p_partkey") + 1).alias("pos"), F.concat_ws(",", year, name, rank, price, F.col("p_brand")).alias("text"))
     head = F.when(F.col("file").contains("small"), "﻿연 도,제품명,순위,가격(원),원산지").otherwise("Year,Product Name,RANK,price,country")
     heads = rows.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("pos"), head.alias("text"))
-    return kept(rows.unionByName(heads), "price_lines")
+    return rows.unionByName(heads)
+
+
+def parsed_prices(spark, sf):
+    path = landed(price_lines(spark, sf), "prices")
+    return customs.price_rows(lines.read_lines(spark, path), heads=lines.read_heads(spark, path, 1))
 
 
 @add("ranking_rows", "S14", """
@@ -349,15 +373,21 @@ SELECT (p_size + 2000)::VARCHAR AS year, (p_partkey + 1)::VARCHAR AS rank, p_nam
        CASE WHEN round(p_retailprice, 1) = floor(round(p_retailprice, 1)) THEN round(p_retailprice, 1)::BIGINT::VARCHAR ELSE round(p_retailprice, 1)::VARCHAR END AS price_krw,
        '' AS company_name, p_brand AS origin_country, '' AS notes FROM part WHERE p_size > 4""")
 def ranking_rows(spark, sf):
-    return customs.price_rows(price_lines(spark, sf)).rows
+    return parsed_prices(spark, sf).rows
 
 
 @add("ranking_rejects", "S14", """
-SELECT 'prices_' || lower(p_type) || '.csv' AS file, p_partkey + 1 AS pos,
+WITH l AS (SELECT p_partkey, p_size, 'prices_' || lower(p_type) || '.csv' AS file, concat_ws(',', CASE p_size WHEN 1 THEN '1999' ELSE (p_size + 2000)::VARCHAR END,
+    CASE p_size WHEN 3 THEN ' ' ELSE p_name END, CASE p_size WHEN 2 THEN '0' ELSE (p_partkey + 1)::VARCHAR END,
+    CASE p_size WHEN 4 THEN 'abc' ELSE '"' || format('{:,.1f}', round(p_retailprice, 1)) || '"' END, p_brand) AS text FROM part),
+b AS (SELECT *, strlen(CASE WHEN file LIKE '%small%' THEN chr(65279) || '연 도,제품명,순위,가격(원),원산지' ELSE 'Year,Product Name,RANK,price,country' END) + 1
+    + coalesce(sum(strlen(text) + 1) OVER (PARTITION BY file ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM l)
+SELECT file, pos::BIGINT AS pos,
        CASE p_size WHEN 1 THEN 'year invalid' WHEN 2 THEN 'rank invalid' WHEN 3 THEN 'product_name is empty' ELSE 'price_krw invalid' END AS reasons
-FROM part WHERE p_size <= 4""")
+FROM b WHERE p_size <= 4""")
 def ranking_rejects(spark, sf):
-    return customs.price_rows(price_lines(spark, sf)).rejects.withColumn("reasons", F.array_join("reasons", "; "))
+    """``pos`` is the byte of the file at which the rejected line starts."""
+    return parsed_prices(spark, sf).rejects.withColumn("reasons", F.array_join("reasons", "; "))
 
 
 def listing(spark, sf):

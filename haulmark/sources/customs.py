@@ -39,15 +39,18 @@ class Parsed(NamedTuple):
     rejects: DataFrame
 
 
-def keyed_cells(lines: DataFrame, *, rename: Mapping[str, Sequence[str]] | None = None, required: Sequence[str]) -> Parsed:
+def keyed_cells(
+    lines: DataFrame, *, rename: Mapping[str, Sequence[str]] | None = None, required: Sequence[str], heads: DataFrame | None = None
+) -> Parsed:
     """Delimited lines as ``(file, pos, cells map<name, text>)``; columns are found by header name.
 
     A file without a required column is left out and reported with the names it lacks; the other
     files go on. ``rename`` gives accepted spellings, compared without case and with spaces as
-    underscores; the first matching column counts.
+    underscores; the first matching column counts. ``heads`` has the first lines of the files where
+    they can be read apart.
     """
     clean = F.transform(split_cells(F.regexp_replace("text", "^﻿", "")), lambda c: F.trim(c))
-    head = first_lines(lines, 1).select("file", F.col("pos").alias("header_pos"), clean.alias("names"))
+    head = first_lines(lines if heads is None else heads, 1).select("file", F.col("pos").alias("header_pos"), clean.alias("names"))
     if rename:
         spelling = {a.lower().replace(" ", "_"): k for k, spellings in rename.items() for a in spellings}
         known = names.literal_map(spelling)
@@ -106,9 +109,9 @@ def observation_rows(df: DataFrame, *, series: str, value_unit: str, weight_unit
     return two_units(full, {weight_unit: "weight", value_unit: "amount"})
 
 
-def customs_csv(lines: DataFrame, *, series: str, value_unit: str = "USD_thousands") -> Parsed:
+def customs_csv(lines: DataFrame, *, series: str, value_unit: str = "USD_thousands", heads: DataFrame | None = None) -> Parsed:
     """Customs files: total and blank countries, malformed numbers and inactive rows are left out."""
-    parsed = keyed_cells(lines, required=REQUIRED)
+    parsed = keyed_cells(lines, required=REQUIRED, heads=heads)
     country = F.trim(cell(COUNTRY))
     code = F.regexp_replace(F.trim(cell(CODE)), r"[. ]", "")
     rows = parsed.rows.filter(~country.isin("", GRAND_TOTAL)).select(
@@ -180,12 +183,12 @@ def customs_xml(
     return observation_rows(rows.dropna(subset=["weight", "amount"]), series=series, value_unit=value_unit)
 
 
-def price_rows(lines: DataFrame) -> Parsed:
+def price_rows(lines: DataFrame, *, heads: DataFrame | None = None) -> Parsed:
     """Ranking files: valid rows, and rejected ones with their reasons.
 
     Valid: year 2000 to 2099, rank from 1, a product name, a numeric price.
     """
-    parsed = keyed_cells(lines, rename=PRICE_ALIASES, required=PRICE_REQUIRED)
+    parsed = keyed_cells(lines, rename=PRICE_ALIASES, required=PRICE_REQUIRED, heads=heads)
     plain = lambda n: F.regexp_replace(F.trim(cell(n)), ",", "")
     year, rank = (F.when(plain(c).rlike(r"^[+-]?\d+$"), plain(c).try_cast("int")) for c in ("year", "rank"))
     price = F.when(plain("price_krw") != "", plain("price_krw").try_cast("double"))

@@ -1,7 +1,8 @@
-"""Cell grids ``(file, table_no, row_no, col_no, cell)`` from sheets and HTML tables.
+"""Sheets and HTML tables as rows ``(file, table_no, row_no, cells)``.
 
-Row numbers and column numbers count from 0. A sheet has at most 1,048,576 rows, which bounds the
-per-file windows used for merged cells.
+``cells`` is the array of a line's cells by column, so a line stays one row from the parser to the
+record. Rows count from 0. A sheet has at most 1,048,576 rows, which bounds the per-file windows used
+for merged cells. Readers that give one row a cell are brought into this form by ``grid_rows``.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,20 +64,20 @@ PORTAL_REQUIRED = ["처리일자", "수입업체", "제품명(한글)"]
 PORTAL_EXTRAS = ["신고번호", "품목제조번호", "순중량(KG)", "수량(갯수)", "원산지"]
 
 
-class _Cells(HTMLParser):
-    """Collects table cells; a table gets its number when it closes, inner tables first."""
+class _Tables(HTMLParser):
+    """Collects table lines; a table gets its number when it closes, inner tables first."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.done: list[tuple[int, int, int, str]] = []
+        self.done: list[tuple[int, int, list[str]]] = []
         self.closed = 0
         self.open: list[dict] = []
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag == "table":
-            self.open.append({"cells": [], "row": 0, "width": 0, "text": None})
+            self.open.append({"lines": [], "line": [], "text": None})
         elif self.open and tag == "tr":
-            self._end_row(self.open[-1], keep=False)
+            self.open[-1]["line"] = []
         elif self.open and tag in ("td", "th"):
             self.open[-1]["text"] = []
 
@@ -89,57 +90,54 @@ class _Cells(HTMLParser):
             return
         top = self.open[-1]
         if tag in ("td", "th") and top["text"] is not None:
-            top["cells"].append((top["row"], top["width"], "".join(top["text"]).strip()))
-            top["width"] += 1
+            top["line"].append("".join(top["text"]).strip())
             top["text"] = None
         elif tag == "tr":
-            self._end_row(top, keep=True)
+            if top["line"]:
+                top["lines"].append(top["line"])
+            top["line"] = []
         elif tag == "table":
             self.open.pop()
-            cells = [c for c in top["cells"] if c[0] < top["row"]]
-            if cells:
-                self.done += [(self.closed, *c) for c in cells]
-                self.closed += 1
+            self.done += [(self.closed, i, line) for i, line in enumerate(top["lines"])]
+            self.closed += bool(top["lines"])
 
-    @staticmethod
-    def _end_row(table: dict, keep: bool) -> None:
-        if keep and table["width"]:
-            table["row"] += 1
-        elif not keep:
-            table["cells"] = [c for c in table["cells"] if c[0] < table["row"]]
-        table["width"] = 0
 
+def rows_from_html(files: DataFrame, *, file: str = "file", html: str = "html") -> DataFrame:
+    """Lines of every table in every file, nested tables included."""
 
-def grid_from_html(files: DataFrame, *, file: str = "file", html: str = "html") -> DataFrame:
-    """Cell grid of every table in every file, nested tables included."""
-
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for name, text in zip(batch["file"], batch["html"]):
-                parser = _Cells()
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parser = _Tables()
                 parser.feed(text or "")
-                out += [(name, *c) for c in parser.done]
-            yield pd.DataFrame(out, columns=["file", "table_no", "row_no", "col_no", "cell"])
-
-    return files.select(F.col(file).alias("file"), F.col(html).alias("html")).mapInPandas(
-        cells, "file string, table_no int, row_no int, col_no int, cell string"
+                if parser.done:
+                    table, row, cells = zip(*parser.done, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(row), pa.string()), pa.array(table, pa.int32()), pa.array(row, pa.int64()), pa.array(cells, pa.list_(pa.string()))],
+                        names=["file", "table_no", "row_no", "cells"],
+                    )
+
+    return files.select(F.col(file).alias("file"), F.col(html).alias("html")).mapInArrow(
+        lines, "file string, table_no int, row_no bigint, cells array<string>"
     )
 
 
 def grid_rows(grid: DataFrame) -> DataFrame:
-    """One row per sheet line with its cells as an array by column."""
-    cell = F.struct("col_no", names.cell_text(F.col("cell")).alias("cell"))
-    rows = grid.groupBy("file", "table_no", "row_no").agg(F.map_from_entries(F.collect_list(cell)).alias("_m"))
+    """Rows from single cells ``(file, table_no, row_no, col_no, cell)``; a missing cell is blank."""
+    rows = grid.groupBy("file", "table_no", "row_no").agg(F.map_from_entries(F.collect_list(F.struct("col_no", "cell"))).alias("_m"))
     last = F.array_max(F.map_keys("_m"))
     return rows.select(
         "file",
         "table_no",
-        "row_no",
+        F.col("row_no").cast("bigint").alias("row_no"),
         F.transform(F.sequence(F.lit(0), last), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(""))).alias("cells"),
     )
 
 
+def _clean(rows: DataFrame) -> DataFrame:
+    return rows.select("file", "table_no", "row_no", F.transform("cells", names.cell_text).alias("cells"))
+
+
 def _squeezed(c: Column) -> Column:
     return F.replace(c, F.lit(" "), F.lit(""))
 
@@ -188,12 +186,12 @@ def _quarantine(df: DataFrame, *, series: Column) -> DataFrame:
     return two_units(full, {"shipments": "n", "KG": "kg"})
 
 
-def annual_grid(grid: DataFrame, *, series: Column, products: Mapping[str, tuple[str, str]] = PRODUCTS) -> DataFrame:
+def annual_grid(rows: DataFrame, *, series: Column, products: Mapping[str, tuple[str, str]] = PRODUCTS) -> DataFrame:
     """Annual sheet: month headings over (count, weight) column pairs, merged product cells.
 
     The header is the first of the top ten rows that names a product, a country and a month.
     """
-    rows = grid_rows(grid)
+    rows = _clean(rows)
     c = F.col("cells")
     month = lambda x: x.rlike(r"^20\d{2}\.\d{2}")
     head = (
@@ -233,12 +231,12 @@ def annual_grid(grid: DataFrame, *, series: Column, products: Mapping[str, tuple
     return _quarantine(cells, series=series)
 
 
-def monthly_grid(grid: DataFrame, *, series: Column, period: Column) -> DataFrame:
+def monthly_grid(rows: DataFrame, *, series: Column, period: Column) -> DataFrame:
     """Monthly table: the first table with a heading of country, product and count within five rows.
 
     The country cell spans rows; the month comes from the file name; the form is always dried.
     """
-    rows = grid_rows(grid)
+    rows = _clean(rows)
     c = F.col("cells")
     has = lambda word: _any(c, lambda x: _squeezed(x) == word)
     titled = rows.filter((F.col("row_no") < 5) & (F.size("cells") >= 4) & has(COUNTRY) & has(PRODUCT) & has(COUNT))
@@ -272,35 +270,29 @@ def monthly_grid(grid: DataFrame, *, series: Column, period: Column) -> DataFram
     return _quarantine(cells, series=series)
 
 
-def header_records(grid: DataFrame, *, required: Sequence[str], header_row: int | None = None, search: int = 5) -> tuple[DataFrame, DataFrame]:
+def header_records(rows: DataFrame, *, required: Sequence[str], header_row: int | None = None, search: int = 5) -> tuple[DataFrame, DataFrame]:
     """Sheet lines as ``(file, row_no, cells map<heading, text>)``, and the files without a usable header.
 
-    The header is a fixed row, or the first of the top ``search`` rows holding all required headings.
+    The header is a fixed row, or the first of the top ``search`` rows holding all required headings;
+    on a repeated heading the last column counts. Only header rows are shuffled: one per table is
+    stored and meets the lines in a join, so a line goes from the reader to its record in one task.
     """
+    rows = _clean(rows)
     place = (F.col("row_no") == header_row) if header_row is not None else (F.col("row_no") < search)
-    cell = names.cell_text(F.col("cell"))
-    top = grid.filter(place).groupBy("file", "table_no", "row_no").agg(
-        *[F.bool_or(cell == r).alias(f"_has{i}") for i, r in enumerate(required)]
-    )
-    found = top.filter(reduce(lambda a, b: a & b, [F.col(f"_has{i}") for i in range(len(required))]))
-    at = found.groupBy("file", "table_no").agg(F.min("row_no").alias("at"))
-    # On a repeated heading the last column counts.
-    headings = (
-        grid.filter(place & (cell != ""))
-        .join(small_side(at), ["file", "table_no"])
-        .filter(F.col("row_no") == F.col("at"))
-        .groupBy("file", "table_no", "at", cell.alias("name"))
-        .agg(F.max("col_no").alias("col_no"))
-    )
-    head = kept(
-        headings.groupBy("file", "table_no", "at").agg(F.collect_list(F.struct("name", "col_no")).alias("headings")), "headers"
+    holds = reduce(lambda a, b: a & b, [F.array_contains("cells", r) for r in required])
+    found = rows.filter(place & holds).groupBy("file", "table_no").agg(F.min_by(F.struct("row_no", "cells"), "row_no").alias("h"))
+    names_of = F.col("h.cells")
+    last = lambda n, i: F.size(names_of) - F.array_position(F.reverse(names_of), n) == i
+    headings = F.filter(
+        F.transform(names_of, lambda n, i: F.when((n != "") & last(n, i), F.struct(n.alias("name"), i.alias("col_no")))), lambda h: h.isNotNull()
     )
-    body = grid_rows(grid).join(small_side(head), ["file", "table_no"]).filter((F.col("row_no") > F.col("at")) & ~_blank_row())
+    head = kept(found.select("file", "table_no", F.col("h.row_no").alias("at"), headings.alias("headings")), "headers")
+    body = rows.join(small_side(head), ["file", "table_no"]).filter((F.col("row_no") > F.col("at")) & ~_blank_row())
     named = F.map_from_entries(
         F.transform("headings", lambda h: F.struct(h["name"].alias("k"), _at(F.col("cells"), h["col_no"]).alias("v")))
     )
     records = body.select("file", "row_no", named.alias("cells"))
-    unusable = grid.select("file").distinct().join(head.select("file").distinct(), "file", "left_anti")
+    unusable = rows.select("file").distinct().join(head.select("file").distinct(), "file", "left_anti")
     return records, unusable
 
 
@@ -316,9 +308,9 @@ def _record(day: Column, columns: Mapping[str, Column]) -> list[Column]:
     return [F.coalesce(full.get(f.name, F.lit("")), F.lit("")).alias(f.name) for f in IMPORT_RECORDS.fields]
 
 
-def historical_records(grid: DataFrame) -> DataFrame:
+def historical_records(rows: DataFrame) -> DataFrame:
     """The old import list: title row, then headings. Year, month and day fall back to the date."""
-    records, _ = header_records(grid, required=HISTORICAL_REQUIRED, header_row=1)
+    records, _ = header_records(rows, required=HISTORICAL_REQUIRED, header_row=1)
     by_field = {field: _heading(heading) for heading, field in HISTORICAL.items()}
     day = dates.parse_day(by_field["date_raw"])
     part = lambda field: F.substring_index(by_field[field], ".", 1)
@@ -334,12 +326,12 @@ def historical_records(grid: DataFrame) -> DataFrame:
     return records.select(*_record(day, columns))
 
 
-def portal_records(grid: DataFrame) -> DataFrame:
+def portal_records(rows: DataFrame) -> DataFrame:
     """The portal's list in its old and new layout; a field takes whichever name is filled.
 
     Further fields go into the notes as ``label=value``.
     """
-    records, _ = header_records(grid, required=PORTAL_REQUIRED)
+    records, _ = header_records(rows, required=PORTAL_REQUIRED)
     by_field = {field: _heading(*spellings) for field, spellings in PORTAL.items()}
     day = dates.parse_day(by_field["date_raw"])
     columns = {f: c for f, c in by_field.items() if f not in ("date_raw", "expiry_raw")}

@@ -2,31 +2,37 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .blocks import BLOCK_BYTES, FORMAT, LineFiles
+
 # Encodings tried in turn for ranking files.
 ENCODINGS = ["utf-8-sig", "utf-8", "cp949"]
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, pos, text)`` for every line below ``path``.
+def read_lines(spark: SparkSession, path: str | Sequence[str], *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``(file, pos, text)`` for every line below ``path``, or of several; ``pos`` is the byte at which it starts.
 
-    ``pos`` orders the lines of a file: the offset of the input block, then the order inside it. Large
-    files stay splittable and no file passes through one task.
+    Large files stay splittable and no file passes through one task. A mark at the start of a file
+    and carriage returns are not part of the text.
     """
-    return (
-        spark.read.text(path)
-        .select(
-            F.col("_metadata.file_name").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.col("value").alias("text"),
-        )
-        .select(
-            "file", F.struct("block", F.monotonically_increasing_id().alias("seq")).alias("pos"), F.regexp_replace("text", r"\r$", "").alias("text")
-        )
-    )
+    return _lines(spark, path, block_bytes=block_bytes)
+
+
+def read_heads(spark: SparkSession, path: str | Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` lines of every file below ``path``, without reading the rest."""
+    return _lines(spark, path, head=n)
+
+
+def _lines(spark: SparkSession, path: str | Sequence[str], **options: int) -> DataFrame:
+    spark.dataSource.register(LineFiles)
+    paths = json.dumps([path] if isinstance(path, str) else list(path))
+    return spark.read.format(FORMAT).options(paths=paths, **options).load()
 
 
 def decode_lines(files: DataFrame, *, file: str = "file", content: str = "content") -> DataFrame:

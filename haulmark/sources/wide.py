@@ -105,28 +105,30 @@ def wide_to_long(
     value_unit: str,
     weight_unit: str = "KG",
     labels: Mapping[str, str] = CODE_LABELS,
+    heads: DataFrame | None = None,
     **header,
 ) -> DataFrame:
     """Long rows of every file: per month and column pair one weight and one value row, zeros kept.
 
     Lines with a blank first cell are skipped; the first other line that is not a month ends the
-    file. The last three distinct months in file order are provisional.
+    file. The last three distinct months in file order are provisional. ``heads`` has the first
+    lines of the files where they can be read apart.
+
+    The first cells of the lines are aggregated to one row per file and month, which tells where a
+    file ends and which months are provisional; the rows then come from one pass over the lines.
     """
     # One row per file; stored, so that the broadcast decision rests on its real size.
-    per_file = kept(column_slots(lines, **header), "headers")
+    per_file = kept(column_slots(lines if heads is None else heads, **header), "headers")
     stripped = lines.withColumn("first", F.trim(cell_at(split_cells(F.regexp_extract("text", r'^("(?:[^"]|"")*"|[^,]*)', 1)), 0)))
     dated = stripped.withColumn("date", dates.compact_period(F.when(F.col("first").contains("M"), F.col("first"))))
-    body = dated.join(small_side(per_file.select("file", "header_pos")), "file").filter(
+    seen = dated.join(small_side(per_file.select("file", "header_pos")), "file").filter(
         (F.col("pos") > F.col("header_pos")) & (F.col("first") != "")
-    )
-    stops = body.filter(F.col("date").isNull()).groupBy("file").agg(F.min("pos").alias("stop_pos"))
-    bounds = kept(per_file.join(stops, "file", "left"), "bounds")
+    ).groupBy("file", "date").agg(F.min("pos").alias("pos"))
+    bounds = kept(per_file.join(_marks(kept(seen, "months")), "file"), "bounds")
     rows = dated.filter(F.col("date").isNotNull()).join(small_side(bounds), "file").filter(
         (F.col("pos") > F.col("header_pos")) & (F.col("stop_pos").isNull() | (F.col("pos") < F.col("stop_pos")))
     )
-    latest = rows.groupBy("file", "date").agg(F.min("pos").alias("seen"))
-    provisional = kept(_last_months(latest), "provisional")
-    split = rows.join(small_side(provisional), "file").select(
+    split = rows.select(
         "file",
         "date",
         F.array_contains("provisional", F.col("date")).alias("provisional"),
@@ -152,11 +154,17 @@ def wide_to_long(
     return two_units(long, {weight_unit: "_q", value_unit: "_v"})
 
 
-def _last_months(latest: DataFrame) -> DataFrame:
-    """Per file the last three distinct months by first appearance."""
-    w = Window.partitionBy("file").orderBy(F.col("seen").desc())
-    ranked = latest.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= PROVISIONAL_MONTHS)
-    return ranked.groupBy("file").agg(F.collect_list("date").alias("provisional"))
+def _marks(seen: DataFrame) -> DataFrame:
+    """Per file, from the first position of each month (NULL: no month): where it ends and its last
+    three distinct months before that.
+    """
+    stop = F.min(F.when(F.col("date").isNull(), F.col("pos")))
+    months = F.array_sort(F.collect_list(F.when(F.col("date").isNotNull(), F.struct("pos", "date"))))
+    per_file = seen.groupBy("file").agg(stop.alias("stop_pos"), months.alias("months"))
+    inside = F.filter("months", lambda m: F.col("stop_pos").isNull() | (m["pos"] < F.col("stop_pos")))
+    return per_file.select(
+        "file", "stop_pos", F.transform(F.slice(F.reverse(inside), 1, PROVISIONAL_MONTHS), lambda m: m["date"]).alias("provisional")
+    )
 
 
 def two_units(df: DataFrame, units: Mapping[str, str], *, value: str = "value", unit: str = "unit") -> DataFrame:

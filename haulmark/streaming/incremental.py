@@ -7,15 +7,18 @@ own rows in the target and adds nothing twice, as long as one writer owns the ta
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.buckets import BucketTable, Manifest, Written
 from ..operators.keyed import pick_per_key
-from ..operators.writes import append_new, insert_or_ignore
+from ..operators.writes import append_new
+from ..sources.lines import read_heads, read_lines
 
 
 def file_stream(
@@ -84,16 +87,19 @@ def append_files(
     return drain(stream, handle, checkpoint=checkpoint)
 
 
-def first_wins(
-    stream: DataFrame, target: str, *, keys: Sequence[str], order: Sequence[Column], checkpoint: str, prune: str | None = None
-) -> StreamingQuery:
-    """First arrival per key for ever: within the batch by ``order``, across batches by the target."""
+def first_wins(stream: DataFrame, table: BucketTable, *, order: Sequence[Column], checkpoint: str) -> list[Written]:
+    """First arrival per key for ever: within the batch by ``order``, across batches by the table.
+
+    A batch reads the keys of the buckets its own keys fall into. Returns what each batch did; a
+    batch that is replayed finds its rows stored and adds nothing.
+    """
+    done: list[Written] = []
 
     def handle(batch: DataFrame, _: int) -> None:
-        stored = _near(stored_rows(batch.sparkSession, target, batch.schema), batch, prune)
-        insert_or_ignore(batch, stored, keys=keys, order=order).write.mode("append").parquet(target)
+        done.append(table.insert_or_ignore(batch, order=order))
 
-    return drain(stream, handle, checkpoint=checkpoint)
+    drain(stream, handle, checkpoint=checkpoint)
+    return done
 
 
 def first_within(stream: DataFrame, *, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
@@ -101,27 +107,65 @@ def first_within(stream: DataFrame, *, keys: Sequence[str], event_time: str, del
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+#: Versions of one level that are merged into one of the next.
+FAN = 4
+
+
 def running_totals(
     stream: DataFrame, target: str, *, keys: Sequence[str], value: Column, checkpoint: str
 ) -> StreamingQuery:
     """Totals per key kept up to date from an append stream.
 
     State holds one running sum per key. Each batch writes only the keys it changed, as a new
-    version; ``current_totals`` reads the latest one per key.
+    version; ``current_totals`` reads the latest one per key. ``FAN`` versions of one level are merged
+    into one of the next, so that n batches leave at most FAN * log(n) versions and a row is rewritten
+    log(n) times. The live versions are named by a manifest: a replay replaces its own version.
     """
     totals = stream.groupBy(*keys).agg(F.sum(value).alias("value"), F.count(F.lit(1)).alias("n"))
+    manifest = Manifest(stream.sparkSession, target)
 
     def handle(batch: DataFrame, number: int) -> None:
-        # One folder per batch: a replay overwrites its own version.
-        batch.write.mode("overwrite").parquet(f"{target}/version={number}")
+        commit, content = manifest.load()
+        live: list[list[int | str]] = [v for v in content.get("live", []) if v[1] < number]
+        folder = f"version={number}"
+        batch.withColumn("_at", F.lit(number)).write.mode("overwrite").parquet(f"{target}/{folder}")
+        live.append([0, number, folder])
+        # The newest versions of one level, while there are enough of them.
+        while len(live) >= FAN and len({v[0] for v in live[-FAN:]}) == 1:
+            level, some = live[-1][0] + 1, live[-FAN:]
+            folder = f"level={level}-{number}"
+            newest = pick_per_key(_versions(batch.sparkSession, target, some), list(keys), [F.col("_at")], last=True)
+            newest.write.mode("overwrite").parquet(f"{target}/{folder}")
+            live = [*live[:-FAN], [level, number, folder]]
+        manifest.commit(commit + 1, {"live": live})
 
     return drain(totals, handle, checkpoint=checkpoint, mode="update")
 
 
+def _versions(spark: SparkSession, target: str, live: Sequence[Sequence[int | str]]) -> DataFrame:
+    return spark.read.parquet(*[f"{target}/{v[2]}" for v in live])
+
+
+def live_versions(spark: SparkSession, target: str) -> list[str]:
+    """Folders that ``current_totals`` reads."""
+    return [v[2] for v in Manifest(spark, target).load()[1].get("live", [])]
+
+
 def current_totals(spark: SparkSession, target: str, *, keys: Sequence[str]) -> DataFrame:
     """The latest version of every key."""
-    versions = spark.read.option("basePath", target).parquet(target)
-    return pick_per_key(versions, list(keys), [F.col("version")], last=True).drop("version")
+    live = Manifest(spark, target).load()[1]["live"]
+    return pick_per_key(_versions(spark, target, live), list(keys), [F.col("_at")], last=True).drop("_at")
+
+
+def rolling_totals(spark: SparkSession, target: str, *, keys: Sequence[str], month: str, months: int = 12) -> DataFrame:
+    """Sum over each month and the ``months`` - 1 before it, from the running totals per (keys, month).
+
+    The totals are small: one row per key and month, whatever the stream has brought.
+    """
+    totals = current_totals(spark, target, keys=[*keys, month])
+    number = F.year(F.to_date(F.concat(F.col(month), F.lit("-01")))) * 12 + F.month(F.to_date(F.concat(F.col(month), F.lit("-01"))))
+    reach = Window.partitionBy(*keys).orderBy(number).rangeBetween(1 - months, 0)
+    return totals.select(*keys, month, F.sum("value").over(reach).alias("value"))
 
 
 def windowed_totals(stream: DataFrame, *, event_time: str, size: str, delay: str, keys: Sequence[str], value: Column) -> DataFrame:
@@ -131,3 +175,55 @@ def windowed_totals(stream: DataFrame, *, event_time: str, size: str, delay: str
         .groupBy(F.window(event_time, size), *keys)
         .agg(F.sum(value).alias("value"), F.count(F.lit(1)).alias("n"))
     )
+
+
+class Layout(NamedTuple):
+    """How the files of one layout become rows: which names it has, its parser and the key of its rows."""
+
+    names: str
+    parse: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame | None]]
+    keys: Sequence[str]
+    header_lines: int = 1
+
+
+def ingest_drops(
+    spark: SparkSession, drop: str, target: str, layouts: Mapping[str, Layout], *, checkpoint: str, files_per_batch: int | None = None
+) -> StreamingQuery:
+    """Files of several layouts in one drop folder: each goes to its parser, its new rows to
+    ``target/<layout>``, what cannot be read to ``target/rejects``.
+
+    The stream lists files and does not read them; the first layout whose ``names`` pattern matches the
+    file's name reads its lines. A file that fits no layout, and what a parser rejects, becomes a line
+    (file, layout, reason) of its batch. Rows are appended by key, and the rejects of a batch replace
+    those of an earlier attempt, so a replay changes nothing.
+    """
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    options = {"recursiveFileLookup": "true"}
+    listing = file_stream(spark, drop, T.StructType.fromDDL(schema), fmt="binaryFile", files_per_batch=files_per_batch, **options).select("path")
+    name = F.regexp_extract("path", r"(?:file=([^/]*)/[^/]*|([^/]*))$", 1)
+    plain = F.regexp_extract("path", r"([^/]*)$", 1)
+    named = F.when(name != "", name).otherwise(plain)
+    which = F.coalesce(*[F.when(named.rlike(layout.names), F.lit(key)) for key, layout in layouts.items()], F.lit(""))
+
+    def handle(batch: DataFrame, number: int) -> None:
+        # One row a file; the stream's batch size bounds them.
+        found = batch.select("path", named.alias("file"), which.alias("layout")).collect()
+        rejects = [spark.createDataFrame([], "file string, layout string, reason string")]
+        unknown = sorted({r.file for r in found if not r.layout})
+        if unknown:
+            rejects.append(spark.createDataFrame([(f, "", "no layout has this name") for f in unknown], rejects[0].schema))
+        for key, layout in layouts.items():
+            paths = sorted(r.path for r in found if r.layout == key)
+            if not paths:
+                continue
+            rows, bad = layout.parse(read_lines(spark, paths), read_heads(spark, paths, layout.header_lines))
+            place = f"{target}/{key}"
+            append_new(rows, stored_rows(spark, place, rows.schema), keys=layout.keys).write.mode("append").parquet(place)
+            if bad is not None:
+                rejects.append(bad.select("file", F.lit(key).alias("layout"), "reason"))
+        every = rejects[0]
+        for more in rejects[1:]:
+            every = every.unionByName(more)
+        every.write.mode("overwrite").parquet(f"{target}/rejects/batch={number}")
+
+    return drain(listing, handle, checkpoint=checkpoint)

@@ -137,7 +137,7 @@ HTML = """
 
 def test_monthly_html_table(spark):
     df = spark.createDataFrame([("Q_2026-01_IMPORT.xls", HTML)], "file string, html string")
-    grid = grids.grid_from_html(df)
+    grid = grids.rows_from_html(df)
     assert grid.filter("table_no = 0").count() == 1
     got = grids.monthly_grid(grid, series=files.series_of(F.col("file"), "q", "q_export"), period=files.period_of(F.col("file")))
     assert sorted((r.date, r.country, r.unit, r.value) for r in got.collect()) == [
@@ -149,8 +149,51 @@ def test_monthly_html_table(spark):
 
 
 def as_grid(spark, file, table):
-    cells = [(file, 0, r, c, v) for r, line in enumerate(table) for c, v in enumerate(line) if v != ""]
-    return spark.createDataFrame(cells, "file string, table_no int, row_no int, col_no int, cell string")
+    return spark.createDataFrame([(file, 0, r, line) for r, line in enumerate(table)], "file string, table_no int, row_no bigint, cells array<string>")
+
+
+def test_rows_from_single_cells(spark):
+    cells = [("f", 0, 1, 2, "c"), ("f", 0, 1, 0, "a"), ("f", 1, 0, 0, "x")]
+    got = grids.grid_rows(spark.createDataFrame(cells, "file string, table_no int, row_no int, col_no int, cell string"))
+    assert sorted(map(tuple, got.collect())) == [("f", 0, 1, ["a", "", "c"]), ("f", 1, 0, ["x"])]
+
+
+def test_records_pass_no_exchange(spark):
+    """From the reader to the record: headings are broadcast, lines stay where they are."""
+    sheet = as_grid(spark, "o.xlsx", [["처리일자", "수입업체", "제품명(한글)"], ["20240105", "갑상사", "건강차"]])
+    plan = grids.portal_records(sheet)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_the_last_of_equal_headings_counts(spark):
+    sheet = as_grid(spark, "a", [["k", "k", "v"], ["1", "2", "3"], ["4"]])
+    got = sorted(r.cells["k"] for r in grids.header_records(sheet, required=["k", "v"])[0].collect())
+    assert got == ["", "2"]
+
+
+def test_lines_have_byte_positions_in_every_split(spark, tmp_path):
+    texts = {"a.csv": "\ufeffhead\r\n가나,1\n\nlast", "b.csv": "", "c.csv": "x" * 50 + "\n" + "y\n" * 20}
+    for name, text in texts.items():
+        write(tmp_path / name, text)
+    want = []
+    for name, text in texts.items():
+        at = 0
+        for line in text.encode().split(b"\n")[: None if not text.endswith("\n") and text else -1]:
+            want.append((name, at, line.decode().removeprefix("\ufeff").removesuffix("\r")))
+            at += len(line) + 1
+    for block in (1, 7, 1000):
+        assert sorted(map(tuple, lines.read_lines(spark, str(tmp_path), block_bytes=block).collect())) == sorted(want)
+    heads = sorted(map(tuple, lines.read_heads(spark, str(tmp_path), 2).collect()))
+    assert heads == sorted(w for name in texts for w in [w for w in want if w[0] == name][:2])
+
+
+def test_positions_run_on_through_parts(spark, tmp_path):
+    rows = [("r s.csv", i, f"line {i:03d}") for i in range(100)]
+    df = spark.createDataFrame(rows, "file string, pos int, text string").repartitionByRange(4, "pos").sortWithinPartitions("pos")
+    df.select("file", "text").write.partitionBy("file").text(str(tmp_path / "out"))
+    got = sorted(map(tuple, lines.read_lines(spark, str(tmp_path / "out"), block_bytes=100).collect()))
+    assert got == [("r s.csv", 9 * i, f"line {i:03d}") for i in range(100)]
+    assert [r.pos for r in lines.read_heads(spark, str(tmp_path / "out"), 30).orderBy("pos").collect()] == [9 * i for i in range(30)]
 
 
 def test_annual_sheet(spark):
