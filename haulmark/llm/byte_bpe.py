@@ -11,7 +11,8 @@ The slices between starts are looked up in a bounded cache; a slice that is not
 leftmost of equals. The rank file's path is a parameter; every worker process reads it once. Decoding gathers the bytes of
 all ids of a slice at once; the offsets of the texts, kept from encoding, cut them apart.
 
-It is a map over whole texts: nothing is shuffled. Null text counts as empty and has no ids.
+It is a map over whole texts: nothing is shuffled. Null text counts as empty and has no ids. Repeated rows are coded each; other
+columns pass through, and those that have the name of a new one are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .blocks import add_columns, categories, code_points
+from .blocks import SMALL_SLICE, add_columns, categories, code_points
 
 LETTER, DIGIT, SIGN, SHORT, LONG, WHITE, SPACE, BREAK, END = range(9)
 START, IN_LETTERS, IN_DIGITS, IN_SIGNS, AFTER_SPACE, IN_WHITE, AFTER_BREAK, ONE_MORE, TWO_MORE, CLOSED = range(10)
@@ -283,3 +284,17 @@ def decode(docs: DataFrame, path: str, *, ids: str = "token_ids", decoded: str =
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     return docs.drop(decoded).mapInArrow(run, f"{names}, `{decoded}` binary")
+
+
+def encode_checked(docs: DataFrame, path: str, *, text: str = "text", ids: str = "token_ids", n_ids: str = "n_tokens", same: str = "round_trip") -> DataFrame:
+    """All columns of ``docs``, the token ids, their number, and whether decoding them gives the text again; one pass through Python."""
+
+    def run(texts: list[str]):
+        flat, offsets = codec(path).encode(texts)
+        back = codec(path).decode(flat, offsets)
+        return [
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)), pa.array(np.diff(offsets)),
+            pa.array([b == t.encode() for b, t in zip(back, texts, strict=True)], pa.bool_()),
+        ]
+
+    return add_columns(docs, text, f"`{ids}` array<int>, `{n_ids}` bigint, `{same}` boolean", run, SMALL_SLICE)

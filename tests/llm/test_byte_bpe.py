@@ -59,3 +59,12 @@ def test_frames(spark):
     assert {i: bytes(r.back).decode() for i, r in got.items()} == {i: t or "" for i, t, _ in rows}
     assert got[1].decoded == 5 and got[2].token_ids == []
     assert byte_bpe.encode(docs.limit(0), PATH).count() == 0
+
+
+def test_one_pass_with_check(spark, library):
+    rows = [(1, "it's  one", 5), (1, "it's  one", 5), (2, None, 6), (3, "", 7), (4, "é" * 3000, 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int")
+    got = byte_bpe.encode_checked(docs, PATH).collect()
+    assert sorted((r.doc_id, r.token_ids) for r in got) == sorted((i, library.encode_ordinary(t or "")) for i, t, _ in rows)
+    assert all(r.round_trip and r.n_tokens == len(r.token_ids) for r in got)
+    assert byte_bpe.encode_checked(docs.limit(0), PATH).count() == 0
