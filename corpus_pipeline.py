@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.llm import byte_bpe, exact, language, mixing, near
-from haulmark.llm.blocks import filter_rows, fresh, job, release
+from haulmark.llm.blocks import filter_rows, job, release
 from haulmark.llm.queries import BYTE_RANKS, MIXTURE
 from haulmark.session import Stages
 
@@ -54,12 +54,7 @@ def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token_ids, n_tokens, and whether decoding the ids gives the text again."""
     release()
-    (decoded,) = fresh(docs.columns, "_decoded")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, BYTE_RANKS, ids="token_ids"), BYTE_RANKS, ids="token_ids", decoded=decoded)
-    return coded.withColumns({
-        "n_tokens": F.size("token_ids").cast("bigint"),
-        "round_trip": F.col(decoded) == F.coalesce(F.col("text"), F.lit("")).cast("binary"),
-    }).drop(decoded)
+    return byte_bpe.encode_checked(docs, BYTE_RANKS)
 
 
 STAGES = [
