@@ -81,7 +81,11 @@ def header_order(df: DataFrame, headers: Sequence[str]) -> DataFrame:
 
 
 def schema_drift(spark: SparkSession, df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Differences between a live header and the declared one; a warning table, never an error."""
+    """Differences between a live header and the declared one; a warning table, never an error.
+
+    ``n_filled`` counts the values in a live column concerned, so that an empty new column can be told
+    from data that would be lost.
+    """
     live = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)}
     want = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(expected.fields)}
     out = []
@@ -97,7 +101,10 @@ def schema_drift(spark: SparkSession, df: DataFrame, expected: T.StructType) ->
         else:
             continue
         out.append((name, issue, want.get(name, (0, ""))[1], live.get(name, (0, ""))[1]))
-    return spark.createDataFrame(out, "column string, issue string, expected string, live string")
+    concerned = [name for name, *_ in out if name in live]
+    counts = df.agg(*[F.count(f"`{name}`").alias(name) for name in concerned]).first().asDict() if concerned else {}
+    rows = [(*row, counts.get(row[0], 0)) for row in out]
+    return spark.createDataFrame(rows, "column string, issue string, expected string, live string, n_filled bigint")
 
 
 class Source(NamedTuple):

@@ -203,15 +203,18 @@ def recent_or_first(
 ) -> DataFrame:
     """Rows within ``days`` of the latest row, and the ``always`` newest ones in any case.
 
-    Both bounds are scalars from one aggregate each: the latest day, and the sort position of the
-    ``always``-th row. No row is ranked against the whole table.
+    The newest rows are read first, ``always`` of them and at least one; they hold the latest day, so the rows
+    within reach are one filter with a constant bound, which the scan takes. No row is ranked against
+    the whole table.
     """
-    cutoff = df.agg(F.date_sub(F.max(day), days).alias("c")).scalar()
-    head = df.orderBy(F.col(day).desc_nulls_last(), *tie).limit(always)
-    keys = [c for c in df.columns]
+    newest = df.orderBy(F.col(day).desc_nulls_last(), *tie).limit(max(always, 1)).collect()
+    latest = newest[0][day] if newest else None
+    if latest is None:
+        return df.sparkSession.createDataFrame(newest[:always], df.schema)
+    cutoff = F.date_sub(F.lit(latest).cast("date"), days)
     recent = df.filter(F.col(day) >= cutoff)
-    extra = head.filter(F.col(day).isNull() | (F.col(day) < cutoff))
-    return recent.unionByName(extra.select(*keys))
+    head = df.sparkSession.createDataFrame(newest[:always], df.schema)
+    return recent.unionByName(head.filter(F.col(day).isNull() | (F.col(day) < cutoff)))
 
 
 def rolling_range(latest: Column, n: int = 12) -> list[Column]:

@@ -21,7 +21,8 @@ FULL_SQL = "full_y AS (SELECT year(month) AS year FROM obs WHERE unit = 'KG' GRO
 
 
 def bucketed(spark, sf, unit="KG", series=None, dried_form=None):
-    obs = t.observations(spark, sf, unit=unit)
+    keys = ["month", *(["series"] if series else []), *([dried_form] if dried_form else [])]
+    obs = t.observation_totals(spark, sf, *keys, unit=unit)
     if series:
         obs = obs.filter(F.col("series") == series)
     return bd.bucket_months(obs, bucket=names.bucket(F.col("country"), t.NAMED), dried_form=dried_form)
@@ -108,7 +109,8 @@ SELECT y.year::INTEGER AS year, origin, round(kg, 1) AS dried_kg, round(coalesce
 
 @add("origin_summary", "A9 J9", f"WITH {t.OBS_SQL}, {SUMMARY_SQL} SELECT * FROM summary")
 def origin_summary(spark, sf):
-    return bd.origin_summary(t.observations(spark, sf), origin=F.col("country"), value_unit="USD", multiplier=1000.0)
+    obs = t.observation_totals(spark, sf, "month", "form")
+    return bd.origin_summary(obs, origin=F.col("country"), value_unit="USD", multiplier=1000.0)
 
 
 @add("origin_summary_display", "A9 F24", f"""
@@ -158,7 +160,7 @@ WITH v AS (
 SELECT year(month)::INTEGER AS year, bucket, sum(v)::DOUBLE AS value FROM v WHERE year(month) IN (SELECT year FROM f) GROUP BY 1, 2""")
 def region_annual(spark, sf):
     dim = t.table(spark, sf, "nation").join(t.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    obs = t.observations(spark, sf, unit="KG")
+    obs = t.observation_totals(spark, sf, "month", unit="KG")
     rows = obs.join(dim, obs.country == dim.n_name, "left")
     months = bd.bucket_months(rows, bucket=F.coalesce("r_name", F.lit("Other")))
     return bd.annual_by_bucket(months, min_months=12).withColumn("value", F.col("value").cast("double"))

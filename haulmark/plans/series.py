@@ -220,7 +220,7 @@ SELECT strftime(month, '%Y-%m') AS month, {FROZEN} FROM obs
 WHERE unit = 'KG' AND month BETWEEN DATE '1997-03-01' AND DATE '2000-06-01' AND country = 'NATION_4' AND form <> 'other'
 GROUP BY ALL""")
 def filtered_months(spark, sf):
-    obs = t.observations(spark, sf, unit="KG")
+    obs = t.observations(spark, sf, unit="KG", since="1997-03-01", until="2000-07-01")
     rows = headline.interactive_filter(obs, start="1997-03", end="2000-06", country=(F.col("country"), "NATION_4"))
     return units.frozen_equivalent_totals(rows.filter("form <> 'other'"), keys=["month"]).select(m(), "fresh", "dried", "other")
 

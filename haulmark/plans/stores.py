@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import dates, names, text
-from ..operators import catalog, curation, keyed, resolve, writes
+from ..operators import catalog, curation, keyed, records, resolve, writes
 from ..operators import series as ts
 from ..session import scratch_folder
 from ..sources import sinks
@@ -26,10 +27,13 @@ def now():
 # --- keyed append, ignore, upsert -------------------------------------------------------------
 
 
-def coded(spark, sf, code):
-    obs = t.observations(spark, sf)
+def coded(spark, sf, code, **bounds):
+    """Observations by month, series, unit, country and form with the number of rows behind them: the key of a stored row
+    is a part of that, so whole groups are new or known.
+    """
+    obs = t.observation_totals(spark, sf, "month", "series", "form", **bounds)
     return obs.select(
-        dates.month_text(F.col("month")).alias("date"), "series", F.lit(code).alias("hs_code"), "unit", "country", "form", "value"
+        dates.month_text(F.col("month")).alias("date"), "series", F.lit(code).alias("hs_code"), "unit", "country", "form", "value", "n"
     )
 
 
@@ -44,11 +48,11 @@ SELECT date, series, unit, country, form, count(*) AS n, sum(value)::DOUBLE AS v
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.date = new.date AND s.series = new.series AND s.unit = new.unit AND s.country = new.country)
 GROUP BY ALL""")
 def append_new(spark, sf):
-    stored = coded(spark, sf, "507.9").filter("date <= '1998-06' and form <> 'other'")
-    new = coded(spark, sf, "0507.90").filter("date >= '1998-01'")
+    stored = coded(spark, sf, "507.9", until="1998-07-01").filter("form <> 'other'")
+    new = coded(spark, sf, "0507.90", since="1998-01-01")
     out = writes.append_new(new, stored, keys=writes.OBSERVATION_KEY)
     return out.groupBy("date", "series", "unit", "country", "form").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("value")
+        F.sum("n").alias("n"), F.sum("value").cast("double").alias("value")
     )
 
 
@@ -61,7 +65,7 @@ def append_one_series(spark, sf):
     new = coded(spark, sf, "0507.90")
     stored = new.filter("form = 'frozen'")
     out = writes.append_new(new, stored, keys=writes.OBSERVATION_KEY, scope=F.col("series") == "F")
-    return out.groupBy("date", "series", "unit", "country").agg(F.count(F.lit(1)).alias("n"))
+    return out.groupBy("date", "series", "unit", "country").agg(F.sum("n").alias("n"))
 
 
 def record_rows(spark, sf):
@@ -272,6 +276,76 @@ def resolve_exceptions(spark, sf):
     return resolved(spark, sf).exceptions
 
 
+# --- import records as one job -------------------------------------------------------------------
+
+
+def ingested_records(spark, sf):
+    """Two overlapping files of import records and the second one again, each appended, resolved, copied and flagged."""
+    rec = t.import_records(spark, sf).select(
+        "*", F.col("day").cast("string").alias("date"), F.col("importer_local").alias("importer_ko")
+    )
+    gates = [
+        resolve.Gate("importer_local", "importer_en", supplier_mapping(spark, sf), "map_companies"),
+        resolve.Gate("origin_local", "origin_en", country_mapping(spark, sf), "map_countries"),
+        resolve.Gate("product_name", "product_en", None, "map_types"),
+    ]
+    store = records.RecordStore(
+        spark, f"{scratch_folder(spark)}/records-{uuid.uuid4().hex}", rec.schema, keys=writes.RECORD_KEY,
+        raw=["date", "importer_ko", "product_name", "origin_local"], row_ref="record_id", name="import_records",
+    )
+    first, second = rec.filter("day < date'1998-01-01'"), rec.filter("day >= date'1997-06-01'")
+    counts = [store.ingest(batch, gates, now=now()) for batch in (first, second, second)]
+    return store, counts
+
+
+INGESTED_SQL = f"""
+{RESOLVED_SQL}, kept AS (
+  SELECT * FROM j WHERE day < DATE '1998-01-01'
+  UNION ALL
+  SELECT * FROM j WHERE day >= DATE '1998-01-01' OR (day >= DATE '1997-06-01' AND (day, importer_local, product_name) NOT IN (
+    SELECT day, importer_local, product_name FROM rec WHERE day < DATE '1998-01-01')))"""
+
+
+@add("ingested_records", "K3 K1", f"""
+WITH {INGESTED_SQL}
+SELECT record_id, day::VARCHAR AS date, importer_local AS importer_ko, product_name, coalesce(nullif(trim(importer_en), ''), nullif(c1, '')) AS importer_en,
+       coalesce(nullif(trim(origin_en), ''), nullif(c2, '')) AS origin_en FROM kept""")
+def ingested_records_rows(spark, sf):
+    store, _ = ingested_records(spark, sf)
+    return store.read("records").select("record_id", "date", "importer_ko", "product_name", "importer_en", "origin_en")
+
+
+@add("ingested_raw", "K3 K9", f"""
+WITH {INGESTED_SQL} SELECT day::VARCHAR AS date, importer_local AS importer_ko, product_name, origin_local, '{STAMP}' AS ingested_at FROM kept""")
+def ingested_raw(spark, sf):
+    return ingested_records(spark, sf)[0].read("raw")
+
+
+@add("ingested_exceptions", "K3 J6", f"""
+WITH {INGESTED_SQL}
+SELECT 'import_records' AS source_table, record_id::VARCHAR AS row_ref, 'importer_en' AS field, importer_local AS raw_value, k1 AS match_key,
+       CASE WHEN m1 IS NULL THEN 'no map_companies match' ELSE 'blank_mapping in map_companies' END AS reason, '{STAMP}' AS flagged_at
+FROM kept WHERE trim(importer_en) = '' AND nullif(c1, '') IS NULL
+UNION ALL
+SELECT 'import_records', record_id::VARCHAR, 'origin_en', origin_local, k2,
+       CASE WHEN m2 IS NULL THEN 'no map_countries match' ELSE 'blank_mapping in map_countries' END, '{STAMP}'
+FROM kept WHERE trim(origin_en) = '' AND nullif(c2, '') IS NULL""")
+def ingested_exceptions(spark, sf):
+    """Each unresolved name of a stored row once, however often its file comes."""
+    return ingested_records(spark, sf)[0].read("exceptions")
+
+
+@add("ingested_counts", "K3", f"""
+WITH {INGESTED_SQL}, n AS (SELECT count(*) FILTER (WHERE day < DATE '1998-01-01') AS first, count(*) FILTER (WHERE day >= DATE '1997-06-01') AS second, count(*) AS every FROM rec),
+k AS (SELECT count(*) AS stored FROM kept)
+SELECT 1 AS run, first AS parsed, first AS written, 0 AS skipped FROM n
+UNION ALL SELECT 2, second, stored - first, second - (stored - first) FROM n, k
+UNION ALL SELECT 3, second, 0, second FROM n""")
+def ingested_counts(spark, sf):
+    _, counts = ingested_records(spark, sf)
+    return spark.createDataFrame([(i + 1, c.parsed, c.written, c.skipped) for i, c in enumerate(counts)], "run int, parsed bigint, written bigint, skipped bigint")
+
+
 SEED_SQL = """
 votes AS (
   SELECT {key} AS match_key, local, name, seq FROM ({src}) WHERE {key} <> ''
@@ -630,6 +704,21 @@ def conformed_rows(spark, sf):
     return catalog.conform(li, catalog.OBSERVATIONS)
 
 
+DECLARED_EVENTS = "event_id bigint, ts string, user_id int, session string, event_type string"
+
+
+@add("schema_drift", "D8", """
+SELECT * FROM (SELECT 'ts' AS "column", 'type' AS issue, 'string' AS expected, 'timestamp_ntz' AS live, count(ts) AS n_filled FROM events
+UNION ALL SELECT 'user_id', 'type', 'int', 'bigint', count(user_id) FROM events
+UNION ALL SELECT 'session', 'missing', 'string', '', 0
+UNION ALL SELECT 'event_type', 'position', 'string', 'string', count(event_type) FROM events
+UNION ALL SELECT 'value', 'unexpected', '', 'double', count(value) FROM events
+UNION ALL SELECT 'props', 'unexpected', '', 'string', count(props) FROM events)""")
+def schema_drift(spark, sf):
+    """Differences between the events as they are and a declared header, with the number of values each one concerns."""
+    return catalog.schema_drift(spark, t.table(spark, sf, "events"), StructType.fromDDL(DECLARED_EVENTS))
+
+
 @add("price_rows", "S17 F3", "SELECT p_partkey, CASE WHEN p_size = 7 THEN 0 ELSE trunc(p_retailprice)::BIGINT END AS price_krw FROM part")
 def price_rows(spark, sf):
     p = t.table(spark, sf, "part").select(
@@ -703,7 +792,7 @@ def availability(spark, sf):
 
 # --- whole exports and seeds ---------------------------------------------------------------------
 
-EXPORTED = ["region", "nation", "supplier", "orders"]
+EXPORTED = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @add("export_all_tables", "K14", " UNION ALL ".join(
@@ -714,11 +803,31 @@ def export_all_tables(spark, sf):
     written = sinks.export_all({n: t.table(spark, sf, n) for n in EXPORTED}, root)
     again = None
     for n in EXPORTED:
-        one = spark.read.csv(f"{root}/{n}", header=True, multiLine=True, escape='"').agg(F.count(F.lit(1)).alias("n_read")).withColumn("table", F.lit(n))
+        one = sinks.read_csv(spark, f"{root}/{n}").agg(F.count(F.lit(1)).alias("n_read")).withColumn("table", F.lit(n))
         again = one if again is None else again.unionByName(one)
     return written.join(again, "table")
 
 
+@add("export_round_trip", "K14", """
+SELECT doc_id::VARCHAR AS id, 'documents' AS "table", md5(coalesce(text, '') || '|' || coalesce(lang, '')) AS content FROM documents
+UNION ALL SELECT conv_id::VARCHAR || ':' || turn, 'conversations', md5(coalesce(role, '') || '|' || coalesce(text, '')) FROM conversations
+UNION ALL SELECT vec_id::VARCHAR, 'embeddings', len(embedding)::VARCHAR || '|' || coalesce(label::VARCHAR, '') FROM embeddings""")
+def export_round_trip(spark, sf):
+    """What the CSV files of the text and array tables hold, read again: quotes, line ends, blanks and arrays as JSON."""
+    root = f"{scratch_folder(spark)}/export-{uuid.uuid4().hex}"
+    names_ = ("documents", "conversations", "embeddings")
+    sinks.export_all({n: t.table(spark, sf, n) for n in names_}, root)
+    d, c, e = (sinks.read_csv(spark, f"{root}/{n}") for n in names_)
+    full = lambda x: F.coalesce(x, F.lit(""))
+    row = lambda key, n, content: (key.alias("id"), F.lit(n).alias("table"), content.alias("content"))
+    size = F.size(F.from_json("embedding", "array<float>")).cast("string")
+    return (
+        d.select(*row(F.col("doc_id"), "documents", F.md5(F.concat(full(F.col("text")), F.lit("|"), full(F.col("lang"))))))
+        .unionByName(c.select(*row(F.concat_ws(":", "conv_id", "turn"), "conversations", F.md5(F.concat(full(F.col("role")), F.lit("|"), full(F.col("text")))))))
+        .unionByName(e.select(*row(F.col("vec_id"), "embeddings", F.concat(size, F.lit("|"), full(F.col("label"))))))
+    )
+
+
 @add("seeded", "K10", """
 SELECT 'empty' AS target, n_nationkey AS k FROM nation UNION ALL SELECT 'filled', s_nationkey FROM supplier WHERE s_acctbal > 0""")
 def seeded(spark, sf):

@@ -19,35 +19,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 UNITS = {"KG": "l_quantity", "USD": "l_extendedprice"}
 
 
-def observations(
-    spark: SparkSession, sf_dir: str, *, unit: str | None = None, blank_form: bool = False
-) -> DataFrame:
-    """Long observations: two rows per line item, weight and value, or only the rows of one ``unit``.
-
-    Line status is the series, the return flag the product form (R frozen, A dried, N other).
-    ``blank_form`` leaves the form of N lines blank, with a note to infer it from.
+def _facts(spark: SparkSession, sf_dir: str, since: str | None, until: str | None, blank_form: bool) -> DataFrame:
+    """Line items with month, series and form. ``since`` and ``until`` (exclusive) are days and bound the raw ship date,
+    so that they reach the scan.
     """
     li = table(spark, sf_dir, "lineitem")
+    for day, test in ((since, F.col("l_shipdate").__ge__), (until, F.col("l_shipdate").__lt__)):
+        if day:
+            li = li.filter(test(F.lit(day).cast(li.schema["l_shipdate"].dataType)))
     form = F.when(F.col("l_returnflag") == "R", "frozen").when(F.col("l_returnflag") == "A", "dried")
-    form = form.otherwise("" if blank_form else "other")
-    shared = [
+    return li.select(
         "l_suppkey",
         F.trunc("l_shipdate", "month").alias("month"),
         F.col("l_linestatus").alias("series"),
-        form.alias("form"),
+        form.otherwise("" if blank_form else "other").alias("form"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("notes"),
-    ]
-    if unit:
-        lines = li.select(*shared, F.lit(unit).alias("unit"), F.col(UNITS[unit]).cast(MEASURE).alias("value"))
-    else:
-        pairs = [x for u, c in UNITS.items() for x in (F.lit(u), F.col(c).cast(MEASURE))]
-        lines = li.select(*shared, F.stack(F.lit(len(UNITS)), *pairs).alias("unit", "value"))
+        *[F.col(c).cast(MEASURE).alias(u) for u, c in UNITS.items()],
+    )
+
+
+def _placed(facts: DataFrame, sf_dir: str) -> DataFrame:
+    """Facts with the country of their supplier."""
     # Left-deep, so that every dimension is sized by its own file: the planner multiplies the sizes
     # of a nested join and would take the fact table for the smaller side.
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    placed = lines.join(s, lines.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-    return placed.select("month", "series", "country", "form", "notes", "unit", "value")
+    s = table(facts.sparkSession, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(facts.sparkSession, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    return facts.join(s, facts.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+
+
+def _by_unit(rows: DataFrame, keep: list[str], unit: str | None) -> DataFrame:
+    if unit:
+        return rows.select(*keep, F.lit(unit).alias("unit"), F.col(unit).alias("value"))
+    pairs = [x for u in UNITS for x in (F.lit(u), F.col(u))]
+    return rows.select(*keep, F.stack(F.lit(len(UNITS)), *pairs).alias("unit", "value"))
+
+
+def observations(
+    spark: SparkSession, sf_dir: str, *, unit: str | None = None, blank_form: bool = False, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """Long observations: two rows per line item, weight and value, or only the rows of one ``unit``.
+
+    Line status is the series, the return flag the product form (R frozen, A dried, N other).
+    ``blank_form`` leaves the form of N lines blank, with a note to infer it from.
+    """
+    placed = _placed(_facts(spark, sf_dir, since, until, blank_form), sf_dir)
+    return _by_unit(placed, ["month", "series", "country", "form", "notes"], unit)
+
+
+def observation_totals(
+    spark: SparkSession, sf_dir: str, *keys: str, unit: str | None = None, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """Observations summed by country, unit and ``keys``, with ``n`` rows each, for operators that sum them further.
+
+    The facts are summed by supplier before they meet a dimension, and doubled by unit after it, so the
+    join and what follows work on one row per supplier and ``keys``. The sums are exact decimals.
+    """
+    facts = _facts(spark, sf_dir, since, until, blank_form=False)
+    wanted = [unit] if unit else list(UNITS)
+    sums = facts.groupBy("l_suppkey", *keys).agg(
+        *[F.sum(u).cast("decimal(24,3)").alias(u) for u in wanted], F.count(F.lit(1)).alias("n")
+    )
+    return _by_unit(_placed(sums, sf_dir), [*keys, "country", "n"], unit)
 
 
 # The same long table for the reference queries in SQL.

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates, names
 from ..operators.catalog import header_order
 
 BYTE_ORDER_MARK = "﻿"
 DASH = "—"
+NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 def trade_rows(df: DataFrame, columns: Sequence[str], *, date: str = "date") -> DataFrame:
@@ -66,7 +68,7 @@ def display_records(
 
 
 def export_csv(df: DataFrame, path: str, *, mode: str = "overwrite", excel: bool = False, files: int | None = None) -> None:
-    """CSV with a header (also when there are no rows), RFC-4180 quoting.
+    """CSV with a header (also when there are no rows), RFC-4180 quoting; nested columns as JSON text.
 
     ``excel`` marks the header with a byte order mark. ``files`` bounds the number of part files of
     an extract that is known to be small.
@@ -76,7 +78,13 @@ def export_csv(df: DataFrame, path: str, *, mode: str = "overwrite", excel: bool
         df = df.select(F.col(first).alias(BYTE_ORDER_MARK + first), *rest)
     if files:
         df = df.coalesce(files)
-    df.write.mode(mode).csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="")
+    nested = [F.to_json(f.name).alias(f.name) if isinstance(f.dataType, NESTED) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    df.select(*nested).write.mode(mode).csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="")
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """What ``export_csv`` wrote, as text; quoted cells may hold line ends."""
+    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', lineSep="\n")
 
 
 def export_all(tables: Mapping[str, DataFrame], root: str) -> DataFrame:

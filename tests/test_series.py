@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulmark.operators import breakdown, headline, units
 from haulmark.operators import series as ts
+from haulmark.plans import tables
 
 
 def month(i):
@@ -156,3 +158,25 @@ def test_staleness(spark):
     df = spark.createDataFrame([("2024-01-01",), ("2025-06-01",), ("soon",)], "d string")
     got = ts.staleness(df, day="d", as_of=F.lit("2025-06-30").cast("date"), max_age=365)
     assert [(r.available, r.age_days, r.is_stale) for r in got.collect()] == [(True, 546, True), (True, 29, False), (False, None, None)]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no generated tables")
+def test_facts_are_summed_before_dimensions_and_filtered_in_the_scan(spark):
+    rows = tables.observation_totals(spark, SF, "month", unit="KG", since="1998-01-01", until="1998-07-01")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate") and plan.count("Aggregate") == 1
+    scans = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(l_shipdate,1998-01-01" in scans and "LessThan(l_shipdate,1998-07-01" in scans
+    whole = tables.observations(spark, SF).groupBy("month", "country", "unit").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
+    summed = tables.observation_totals(spark, SF, "month").groupBy("month", "country", "unit").agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
+    assert whole.exceptAll(summed.select(*whole.columns)).isEmpty() and summed.exceptAll(whole).isEmpty()
+
+
+def test_recent_or_first_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "id int, day date")
+    assert ts.recent_or_first(empty, day="day", days=30, tie=[F.col("id")]).count() == 0
+    undated = spark.createDataFrame([(1, None), (2, None)], "id int, day date")
+    assert ts.recent_or_first(undated, day="day", days=30, tie=[F.col("id")], always=1).count() == 1
