@@ -14,11 +14,14 @@ the check fails:
 
 Added by anchors: url (``http://``, ``https://``, ``ftp://``, ``mailto:``, ``www.``, to the last character that is not closing
 punctuation), iban (two letters, two digits, 11 to 30 more, remainder 1 modulo 97; groups of four may be parted by spaces) and
-account (6 to 20 digits, single spaces or hyphens inside, within 20 characters after an account cue). Added spans never
-replace base ones; they may overlap.
+account (6 to 20 digits, single spaces or hyphens inside, within 20 characters after an account cue) and secret: keys that name
+themselves by a prefix (``AKIA``, ``ghp_``, ``sk_live_`` and others, at a word's start, with as many signs as such keys have),
+private key blocks, and values that are assigned to a name such as ``password``, ``token`` or ``api_key`` by ``=`` or ``:``, in
+quotes or bare, of eight signs or more with a digit among them. Added spans never replace base ones; they may overlap.
 
 A map over whole texts: nothing is shuffled. Null text counts as empty and has no spans. Positions are code points, ends
-exclusive.
+exclusive. Of spans of a kind that could start at one anchor the first counts. Repeated rows are searched each; other columns
+pass through, and those that have the name of a new one are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,16 +34,24 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .blocks import add_columns
+from .blocks import add_columns, slices
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "url", "iban", "account")
+KINDS = (*BASE, "url", "iban", "account", "secret")
 DIGITS = frozenset("0123456789")
 LABEL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-")
 LOCAL = LABEL | frozenset("._%+")
 DIALLED = DIGITS | frozenset(" ().-")
 SCHEMES = ("http://", "https://", "ftp://", "mailto:", "www.")
 CUES = ("iban", "account", "acct", "konto", "kontonummer", "compte", "cuenta", "a/c")
+SECRET_CUES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api-key", "access_key", "private_key", "credential")
+#: Prefixes of published key formats and the signs that follow at least.
+KEY_PREFIXES = {
+    "AKIA": 16, "ASIA": 16, "AIza": 30, "ghp_": 30, "gho_": 30, "ghs_": 30, "github_pat_": 30, "glpat-": 20, "sk_live_": 16,
+    "sk_test_": 16, "rk_live_": 16, "xoxb-": 10, "xoxp-": 10, "eyJ": 30,
+}
+BLOCK_BEGIN, BLOCK_END = "-----BEGIN ", "PRIVATE KEY-----"
+KEY_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-.+/=")
 CLOSING = frozenset(".,;:!?\"')]}>")
 
 
@@ -61,6 +72,12 @@ def anchors():
     for cue in CUES:
         for form in {cue, cue.upper(), cue.capitalize()}:
             words.setdefault(form, []).append("iban" if cue == "iban" else "account")
+    for cue in SECRET_CUES:
+        for form in {cue, cue.upper(), cue.capitalize()}:
+            words.setdefault(form, []).append("secret")
+    for prefix in KEY_PREFIXES:
+        words.setdefault(prefix, []).append("key")
+    words.setdefault(BLOCK_BEGIN, []).append("block")
     for word, kinds in words.items():
         found.add_word(word, (len(word), tuple(kinds)))
     found.make_automaton()
@@ -184,6 +201,46 @@ def account(text: str, at: int) -> tuple[int, int] | None:
     return None
 
 
+def _key_signs(text: str, at: int) -> int:
+    """End of the signs a key may have from ``at`` on; a full stop or equals sign that ends a sentence is not one."""
+    end = _run(text, at, KEY_SIGNS)
+    while end > at and text[end - 1] in ".-":
+        end -= 1
+    return end
+
+
+def self_named(text: str, at: int, prefix: str) -> tuple[int, int] | None:
+    """A key that starts with ``prefix`` at ``at``, at the start of a word."""
+    if at and (text[at - 1].isalnum() or text[at - 1] == "_"):
+        return None
+    end = _key_signs(text, at)
+    return (at, end) if end - at - len(prefix) >= KEY_PREFIXES[prefix] else None
+
+
+def assigned(text: str, at: int) -> tuple[int, int] | None:
+    """The value that ``=`` or ``:`` assigns to the name that ends at ``at``."""
+    n = len(text)
+    at = _run(text, at, frozenset("\"'"))
+    at = _run(text, at, frozenset(" \t"))
+    if at >= n or text[at] not in "=:":
+        return None
+    at = _run(text, at + 1, frozenset(" \t>"))
+    quote = text[at] if at < n and text[at] in "\"'`" else ""
+    start = at + len(quote)
+    end = _key_signs(text, start)
+    if quote:
+        close = text.find(quote, start, start + 200)
+        end = close if close >= 0 and not any(c.isspace() for c in text[start:close]) else end
+    return (start, end) if end - start >= 8 and any(c in DIGITS for c in text[start:end]) else None
+
+
+def key_block(text: str, at: int) -> tuple[int, int] | None:
+    """From the begin line at ``at`` to the end line of a private key."""
+    head = text.find(BLOCK_END, at, at + 60)
+    stop = text.find(BLOCK_END, head + len(BLOCK_END)) if head >= 0 else -1
+    return (at, stop + len(BLOCK_END)) if stop >= 0 else None
+
+
 def spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans of each kind in order of their start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
@@ -212,6 +269,12 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
                 keep(kind, iban(text, last + 1), lambda s: True)
             elif kind == "account" and last >= free["account"]:
                 keep(kind, account(text, last + 1), lambda s: True)
+            elif kind == "secret" and start >= free["secret"]:
+                keep("secret", assigned(text, last + 1), lambda s: True)
+            elif kind == "key" and start >= free["secret"]:
+                keep("secret", self_named(text, start, text[start : last + 1]), lambda s: True)
+            elif kind == "block" and start >= free["secret"]:
+                keep("secret", key_block(text, start), lambda s: True)
     return found
 
 
@@ -220,16 +283,19 @@ def _listed(found: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) ->
 
 
 def find(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """All columns of ``docs``; the number of each base kind, the digest of the base spans, and all spans as text."""
+    """All columns of ``docs``; the number of each base kind, the digest of the base spans, all spans as text, and the numbers
+    of secrets and of all spans.
+    """
 
     def run(texts: list[str]):
         found = [spans(t) for t in texts]
         counts = [pa.array([len(f[k]) for f in found], pa.int64()) for k in BASE]
         digests = [hashlib.sha256(_listed(f, BASE).encode()).hexdigest() for f in found]
-        return [*counts, pa.array(digests, pa.string()), pa.array([_listed(f, KINDS) for f in found], pa.string())]
+        more = [pa.array([len(f["secret"]) for f in found], pa.int64()), pa.array([sum(map(len, f.values())) for f in found], pa.int64())]
+        return [*counts, pa.array(digests, pa.string()), pa.array([_listed(f, KINDS) for f in found], pa.string()), *more]
 
     names = "".join(f"n_{k} bigint, " for k in BASE)
-    return add_columns(docs, text, f"{names}base_sha256 string, spans string", run)
+    return add_columns(docs, text, f"{names}base_sha256 string, spans string, n_secret bigint, n_spans bigint", run)
 
 
 def masked(docs: DataFrame, *, text: str = "text") -> DataFrame:
@@ -252,7 +318,7 @@ def masked(docs: DataFrame, *, text: str = "text") -> DataFrame:
         return "".join([*out, value[done:]])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text):
             at = batch.schema.get_field_index(text)
             hidden = pa.array([hide(t) for t in batch.column(at).to_pylist()], pa.string())
             yield batch.set_column(at, text, hidden)
