@@ -9,7 +9,7 @@ one and the expected shares of what stays are the targets.
 Factors fall with the mass, so the rarest name would decide how much of everything else stays. ``least`` bounds that: where
 fewer of the tokens would stay, the scale is lowered until that share does, and cells whose factor exceeds it stay whole. Their
 names then have less than their target (nothing is repeated); the shares among all other cells stay as raked. The registered
-query has no such bound, as its reference SQL divides by the largest factor; the pipeline has one.
+query, its SQL and the pipeline keep at least half.
 
 Target shares are given, or are the observed shares raised to a power below one and scaled to a sum of one (a flatter mix).
 A margin lists its names; everything else, null included, is ``other``. So the number of cells is at most the product of the
@@ -173,8 +173,19 @@ def rake_sql(mixture: Mixture) -> str:
             parts.append(f"""{step} as (
   select * replace (w * coalesce(want_{n} / nullif(sum(w) over (partition by {n}), 0), 1) as w) from {last})""")
             last = step
-    parts.append(f"""p as (
-  select source, lang, topic, case when mass > 0 then (w / mass) / max(case when mass > 0 then w / mass end) over () else 1 end as chance from {last})""")
+    least = float(mixture.least)
+    parts.append(f"""f as (
+  select source, lang, topic, mass, case when mass > 0 then w / mass else 0 end as factor from {last})""")
+    parts.append(f"""o as (
+  select *, row_number() over by_factor as rn, max(factor) over () as top, sum(factor * mass) over () / nullif(max(factor) over (), 0) as stays,
+    {least} * sum(mass) over () as wanted, {least} * sum(mass) over () - (sum(mass) over by_factor - mass) as lacking,
+    sum(factor * mass) over (order by factor desc, source, lang, topic rows between current row and unbounded following) as rest
+  from f window by_factor as (order by factor desc, source, lang, topic rows between unbounded preceding and current row))""")
+    parts.append("""g as (
+  select case when max(top) <= 0 or max(stays) >= max(wanted) then max(top)
+    else arg_min(case when lacking > 0 then rest / lacking else 'infinity'::double end, rn) filter (lacking <= 0 or rest / lacking >= factor) end as scale from o)""")
+    parts.append("""p as (
+  select source, lang, topic, case when mass > 0 and scale > 0 then least(factor / scale, 1) else 1 end as chance from f, g)""")
     return f"""with {', '.join(parts)}
 select doc_id, source, lang, topic, tokens, round(chance, 6) as probability,
   ('0x' || md5(coalesce(doc_id::varchar, '') || ':{mixture.salt}')[1:8])::bigint / 4294967296.0 < chance as kept

@@ -29,6 +29,8 @@ MIXTURE = mixing.Mixture(
         ("noise", r"[#$%&*][#$%&*][#$%&*]"),
     ],
     powers={"source": 0.7, "lang": 0.8, "topic": 1.0},
+    # A rare name does not cost more than half of the tokens.
+    least=0.5,
 )
 
 COPIES_SQL = r"""

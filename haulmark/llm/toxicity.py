@@ -248,7 +248,8 @@ def fit(
             rows = list(found.items())
             yield pa.RecordBatch.from_pydict({"phrase": pa.array([k for k, _ in rows], pa.string()), "clean": pa.array([v[0] for _, v in rows], pa.int64()), "toxic": pa.array([v[1] for _, v in rows], pa.int64())})
 
-    seen = sample.select("folded", "y").mapInArrow(contexts, "phrase string, clean bigint, toxic bigint")
+    # Copies of a text count once, so that one document copied often makes no exception.
+    seen = sample.select("folded", "y").distinct().mapInArrow(contexts, "phrase string, clean bigint, toxic bigint")
     seen = seen.groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     exceptions = frozenset(r.phrase for r in seen.filter("clean >= 2 and toxic = 0").collect())
     model = ToxicityModel(terms, exceptions, (0.0, 0.0, 0.0, 0.0))

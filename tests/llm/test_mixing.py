@@ -72,18 +72,20 @@ def rows():
     return out + [(None, None, None, None, 1), (1, "w1 ", "de", "src0", 1), (500, "Released under the MIT License. " * 3, "en", "src0", 1)]
 
 
-def test_frames_and_sql(spark):
+@pytest.mark.parametrize("least", [0.0, 0.5, 0.9, 1.0])
+def test_frames_and_sql(spark, least):
+    mixture = replace(MIXTURE, least=least)
     docs = spark.createDataFrame(rows(), SCHEMA)
-    got = mixing.mix(docs, MIXTURE).drop("text_key")
+    got = mixing.mix(docs, mixture).drop("text_key")
     con = duckdb.connect()
     con.register("documents", docs.toPandas())
-    want = con.sql(mixing.rake_sql(MIXTURE).replace("from documents", "from (select doc_id::bigint as doc_id, text, lang, source from documents)"))
+    want = con.sql(mixing.rake_sql(mixture).replace("from documents", "from (select doc_id::bigint as doc_id, text, lang, source from documents)"))
     names = want.columns
     assert sorted(map(str, map(tuple, got.select(*names).collect()))) == sorted(map(str, want.fetchall()))
     for r in got.collect():
         key = f"{'' if r.doc_id is None else r.doc_id}:{MIXTURE.salt}"
         assert r.kept == (int(hashlib.md5(key.encode()).hexdigest()[:8], 16) / 2**32 < r.probability)
-    left = mixing.mixed(docs, MIXTURE)
+    left = mixing.mixed(docs, mixture)
     assert left.columns == docs.columns
     assert left.count() == got.filter("kept").count()
 
