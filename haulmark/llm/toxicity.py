@@ -7,15 +7,18 @@ of different languages apart. Everything else is a word border.
 Terms are learned from labelled documents. Candidates are whole words and word beginnings of 4 to 10 letters; for each the
 documents of either label that hold it are counted on Spark, from a sample of at most about ``per_label`` documents a label.
 A term is kept when ``support`` toxic documents, and one in ``per_term`` of them, hold it and its smoothed log odds reach
-``odds``, and when as many different words stand before it, so that copies of one text or passage do not make a term; of beginnings that stand
-for the same words only the longest is kept. Its weight is its log odds.
+``odds``, when fewer than ``by_chance`` terms with such counts are to be expected among all candidates if labels were dealt at
+random (of millions of rare candidates some are in five toxic documents and few others), and when as many different words stand before it, so that copies of one passage do not make a term; of beginnings that
+stand for the same words only the longest is kept. Its weight is its log odds. Of copies and near copies in the sample (equal
+least hash of their five-word shingles) one document of each label counts, so a wrong label that was copied stays one.
 
 Exceptions are phrases of a matched word with the word before or after it that clean documents hold and toxic ones do not: a
 match inside such a phrase does not count.
 
 The score is a logistic function of the summed weights, of that sum divided by the number of words, and of whether anything
 matched at all, fitted by gradient descent on the same sample. Prediction is a map over whole texts: nothing is shuffled.
-Null and empty texts have no match and the score of no match. Without labels of both kinds the lexicon is empty and every
+Null and empty texts have no match and the score of no match. Repeated rows get the same score each; a column of the name of the
+new one is replaced; an empty table gives an empty result. Without labels of both kinds the lexicon is empty and every
 score is the share of toxic labels (0 without labels).
 """
 
@@ -26,6 +29,8 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import exp, lgamma
+from math import log as math_log
 
 import ahocorasick
 import numpy as np
@@ -35,7 +40,8 @@ from pyspark.sql import functions as F
 
 from haulmark.session import small_side
 
-from .blocks import add_columns, job, slices, texts_of
+from .blocks import SMALL_SLICE, add_columns, job, slices, texts_of
+from .near import shingles
 
 #: Digits and signs that stand for letters inside a word.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t", "€": "e"}
@@ -160,6 +166,25 @@ def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int, *, suppor
     return kept
 
 
+def chance_of(toxic: int, clean: int, share: float) -> float:
+    """Probability of at least ``toxic`` toxic documents among as many as hold the term, each toxic with probability ``share``."""
+    n = toxic + clean
+    if share <= 0 or share >= 1:
+        return float(share > 0)
+    log = [lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * math_log(share) + (n - i) * math_log(1 - share) for i in range(toxic, n + 1)]
+    return min(1.0, sum(map(exp, log)))
+
+
+def sketch_of(texts: list[str]) -> np.ndarray:
+    """The least hash of the runs of five words of each text: equal for most pairs of near copies, and for no others."""
+    owner, code, _ = shingles(texts)
+    out = np.zeros(len(texts), dtype=np.uint64)
+    # Hashes come in order, so the first of a text is its least.
+    found, first = np.unique(owner, return_index=True)
+    out[found] = code[first]
+    return out
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, *, steps: int = 3000, rate: float = 0.3, decay: float = 1e-4) -> tuple[float, float, float, float]:
     """Weighted so that both labels count the same; coefficients stay non-negative."""
     x = np.log1p(x)
@@ -176,7 +201,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, *, steps: int = 3000, rate: float =
 
 def fit(
     docs: DataFrame, labels: DataFrame, learn: Column, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-    per_label: int = 4000, support: int = 5, per_term: int = 100, odds: float = 4.0,
+    per_label: int = 4000, support: int = 5, per_term: int = 100, odds: float = 4.0, by_chance: float = 0.01,
 ) -> ToxicityModel:
     """``learn`` is a condition on the id column; labels of one id that disagree are not used."""
     spark = docs.sparkSession
@@ -193,11 +218,14 @@ def fit(
     sample = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(picked, "doc_id")
 
     def folded(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SMALL_SLICE):
             texts = [fold(t) for t in texts_of(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts), batch.column(2)], names=["doc_id", "folded", "y"])
+            sketches = pa.array(sketch_of(texts).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts), batch.column(2), sketches], names=["doc_id", "folded", "y", "sketch"])
 
-    sample = stages.keep("folded", sample.mapInArrow(folded, "doc_id bigint, folded string, y int"))
+    sample = stages.keep("folded", sample.mapInArrow(folded, "doc_id bigint, folded string, y int, sketch bigint"))
+    # One document of a group of copies teaches; the sizes of the labels are those of what is left.
+    sample = stages.keep("distinct", sample.groupBy("sketch", "y").agg(F.min_by("folded", F.struct("doc_id", "folded")).alias("folded")))
 
     def count(batches):
         # Counts of one task, then summed on Spark.
@@ -213,7 +241,7 @@ def fit(
             yield pa.RecordBatch.from_pydict({"term": words, "toxic": [0] * len(words), "clean": [seen[0][w] for w in words]})
 
     sums = sample.select("folded", "y").mapInArrow(count, "term string, toxic bigint, clean bigint")
-    sums = sums.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    sums = stages.keep("sums", sums.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     sizes = dict(sample.groupBy("y").count().collect())
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     support = max(support, toxic // per_term)
@@ -222,6 +250,8 @@ def fit(
         (F.col("toxic") >= support) & (F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1)) >= odds)
     )
     counts = {r.term: (r.toxic, r.clean) for r in strong.collect()}
+    tried = sums.count()
+    counts = {k: v for k, v in counts.items() if tried * chance_of(*v, toxic / max(1, toxic + clean)) < by_chance}
     found_in = _automaton(tuple((k, 1.0) for k in sorted(counts)))
 
     def neighbours(batches):
@@ -248,8 +278,7 @@ def fit(
             rows = list(found.items())
             yield pa.RecordBatch.from_pydict({"phrase": pa.array([k for k, _ in rows], pa.string()), "clean": pa.array([v[0] for _, v in rows], pa.int64()), "toxic": pa.array([v[1] for _, v in rows], pa.int64())})
 
-    # Copies of a text count once, so that one document copied often makes no exception.
-    seen = sample.select("folded", "y").distinct().mapInArrow(contexts, "phrase string, clean bigint, toxic bigint")
+    seen = sample.select("folded", "y").mapInArrow(contexts, "phrase string, clean bigint, toxic bigint")
     seen = seen.groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     exceptions = frozenset(r.phrase for r in seen.filter("clean >= 2 and toxic = 0").collect())
     model = ToxicityModel(terms, exceptions, (0.0, 0.0, 0.0, 0.0))
