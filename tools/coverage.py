@@ -15,8 +15,6 @@ from haulmark.plans import registry  # noqa: E402
 OTHER = {
     "S15": "`sources.customs.annual_statistics`; literal figures only, so tested and not registered",
     "P18": "`sources.sinks.has_content`",
-    "D8": "`operators.catalog.schema_drift`; works on schemas, tested",
-    "F29": "`operators.similarity.sequence_ratio` inside the tiles",
     "S20": "`sources.news.keywords`",
     "S24": "`operators.catalog.section_status`",
 }
