@@ -44,7 +44,9 @@ class Manifest:
         numbers = self.numbers()
         if not numbers:
             return 0, {}
-        (text,) = self.spark.read.text(f"{self.path}/{numbers[-1]:012d}.json", wholetext=True).first()
+        stream = self.fs.open(self._path(f"{self.path}/{numbers[-1]:012d}.json"))
+        text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
         return numbers[-1], json.loads(text)
 
     def commit(self, number: int, content: Mapping) -> None:
