@@ -1,8 +1,10 @@
 import datetime as dt
 import random
+import tempfile
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from haulmark.operators import articles as art
@@ -104,6 +106,42 @@ def test_review_candidates_equal_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_matched_characters_equal_the_library():
+    rng = random.Random(3)
+    for _ in range(2000):
+        a, b = ("".join(rng.choices(rng.choice(["ab", "abcde ", "abcdefghij éß"]), k=rng.randint(0, 260))) for _ in range(2))
+        want, size, held = SequenceMatcher(None, a, b).ratio(), len(a) + len(b), similarity.Held(b)
+        assert held.matched(a, 0) == round(want * size / 2) or not size
+        for threshold in (0.3, 0.72):
+            least = similarity.least_matched(size, threshold)
+            assert (held.matched(a, least, enough=least) >= least) == (want >= threshold)
+
+
+def test_review_candidates_spread_small_tiles_and_compare_copies_once(spark, monkeypatch):
+    run = similarity._first_loose
+
+    def counted(loose):
+        inner = run(loose)
+
+        def noted(items, cands):
+            with open(path, "a") as log:
+                log.write(f"{TaskContext.get().partitionId()} {items.num_rows}\n")
+            return inner(items, cands)
+
+        return noted
+
+    with tempfile.TemporaryDirectory() as folder:
+        path = f"{folder}/log"
+        monkeypatch.setattr(similarity, "_first_loose", counted)
+        new = [(k, BASE + dt.timedelta(k % 12), f"alpha beta {k % 12}") for k in range(600)]
+        old = [(1000 + k, BASE + dt.timedelta(k), f"alpha beta {k}") for k in range(12)]
+        got = similarity.review_candidates(nodes(spark, new, False), nodes(spark, old, True), limit=2).collect()
+        tiles = [line.split() for line in open(path)]
+    assert len(got) == 1200 and sum(int(n) for _, n in tiles) == 12
+    # The few bytes of the tiles are not gathered into one task.
+    assert len({task for task, _ in tiles}) > 1
+
+
 def test_display_rule(spark):
     rows = [
         (1, True, None, False, False),
