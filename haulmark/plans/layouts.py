@@ -293,12 +293,15 @@ def html_cells(spark, sf):
     return grids.rows_from_html(p).select("file", "table_no", F.col("row_no").cast("int").alias("row_no"), F.posexplode("cells").alias("col_no", "cell"))
 
 
-def record_sheet(spark, sf, heads, values, *, title_rows, file, where="true"):
-    """Lines of an import list: title rows, headings, one line per record."""
-    rec = t.import_records(spark, sf).filter(where)
-    body = rec.select(file.alias("file"), (F.col("record_id") + title_rows + 1).cast("bigint").alias("row_no"), F.array(*values).alias("cells"))
-    top = rec.limit(1).select(file.alias("file"), F.lit(title_rows).cast("bigint").alias("row_no"), F.array(*[F.lit(h) for h in heads]).alias("cells"))
-    rows = kept(body.unionByName(top), "record_sheet")
+def record_sheet(spark, sf, heads, values, *, title_rows, file):
+    """Lines of import lists: title rows, the headings of each file, one line per record. The records are joined once."""
+    body = t.import_records(spark, sf).select(
+        file.alias("file"), (F.col("record_id") + title_rows + 1).cast("bigint").alias("row_no"), F.array(*values).alias("cells")
+    )
+    body = kept(body, "record_lines")
+    headings = F.create_map(*[x for name, h in heads.items() for x in (F.lit(name), F.array(*[F.lit(c) for c in h]))])
+    top = body.select("file").distinct().select("file", F.lit(title_rows).cast("bigint").alias("row_no"), F.element_at(headings, F.col("file")).alias("cells"))
+    rows = body.unionByName(kept(top, "record_heads"))
     return rows.select("file", F.lit(0).alias("table_no"), "row_no", "cells")
 
 
@@ -319,7 +322,7 @@ def historical_records(spark, sf):
     ]
     heads = ["Year", "Month", "Day", "Importer", "Importer (Korean)", "Product name (Korean)", "Product name (English)", "Date",
              "Expire date start from", "Country of origin (KR)", "Country of origin"]
-    sheet = record_sheet(spark, sf, heads, values, title_rows=1, file=F.lit("import_list.xlsx"))
+    sheet = record_sheet(spark, sf, {"import_list.xlsx": heads}, values, title_rows=1, file=F.lit("import_list.xlsx"))
     return grids.historical_records(sheet)
 
 
@@ -337,12 +340,13 @@ def portal_records(spark, sf):
     ]
     common = ["처리일자", "수입업체", "제품명(한글)", "제품명(영문)", "제조국"]
 
-    def sheet(extra, name, where):
-        return record_sheet(spark, sf, [*common, *extra, "신고번호", "원산지"], values, title_rows=2, file=F.lit(name), where=where)
-
-    old = sheet(["품목류", "제조사(영문)", "유통기한"], "수입식품조회20240101.xlsx", "day < date'1998-01-01'")
-    new = sheet(["품목(유형)", "해외제조업소", "소비기한"], "수입식품조회20260701.xlsx", "day >= date'1998-01-01'")
-    rows = old.unionByName(new)
+    old, new = "수입식품조회20240101.xlsx", "수입식품조회20260701.xlsx"
+    heads = {
+        name: [*common, *extra, "신고번호", "원산지"]
+        for name, extra in ((old, ["품목류", "제조사(영문)", "유통기한"]), (new, ["품목(유형)", "해외제조업소", "소비기한"]))
+    }
+    file = F.when(F.col("day") < F.lit("1998-01-01").cast("date"), old).otherwise(new)
+    rows = record_sheet(spark, sf, heads, values, title_rows=2, file=file)
     routed = rows.withColumn("layout", files.record_layout(F.col("file"))).filter("layout = 'portal'")
     return grids.portal_records(routed)
 

@@ -300,6 +300,13 @@ def _heading(*spellings: str) -> Column:
     return names.first_filled(*[F.element_at("cells", F.lit(s)) for s in spellings], default="")
 
 
+def _fields(records: DataFrame, by_field: Mapping[str, Column]) -> DataFrame:
+    """Each heading looked up and each date parsed once a line; ``_day`` is the date, ``expiry_date`` text."""
+    fields = records.select(*[c.alias(f) for f, c in by_field.items()])
+    expiry = dates.parse_day(F.col("expiry_raw")).cast("string")
+    return fields.withColumns({"_day": dates.parse_day(F.col("date_raw")), "expiry_date": expiry}).drop("date_raw", "expiry_raw")
+
+
 def _record(day: Column, columns: Mapping[str, Column]) -> list[Column]:
     from ..operators.catalog import IMPORT_RECORDS
 
@@ -311,19 +318,17 @@ def _record(day: Column, columns: Mapping[str, Column]) -> list[Column]:
 def historical_records(rows: DataFrame) -> DataFrame:
     """The old import list: title row, then headings. Year, month and day fall back to the date."""
     records, _ = header_records(rows, required=HISTORICAL_REQUIRED, header_row=1)
-    by_field = {field: _heading(heading) for heading, field in HISTORICAL.items()}
-    day = dates.parse_day(by_field["date_raw"])
-    part = lambda field: F.substring_index(by_field[field], ".", 1)
-    own = by_field["year"] != ""
-    columns = {f: c for f, c in by_field.items() if f not in ("date_raw", "expiry_raw")}
+    fields = _fields(records, {field: _heading(heading) for heading, field in HISTORICAL.items()})
+    day, own = F.col("_day"), F.col("year") != ""
+    part = lambda field: F.substring_index(F.col(field), ".", 1)
+    columns = {f: F.col(f) for f in fields.columns if f != "_day"}
     columns |= {
         "year": F.when(own, part("year")).otherwise(F.date_format(day, "yyyy")),
         "month": F.when(own, part("month")).otherwise(F.date_format(day, "MM")),
         "day": F.when(own, part("day")).otherwise(F.date_format(day, "dd")),
-        "expiry_date": dates.parse_day(by_field["expiry_raw"]).cast("string"),
-        "importer": names.first_filled(by_field["importer_ko"], by_field["importer_en"], default=""),
+        "importer": names.first_filled(F.col("importer_ko"), F.col("importer_en"), default=""),
     }
-    return records.select(*_record(day, columns))
+    return fields.select(*_record(day, columns))
 
 
 def portal_records(rows: DataFrame) -> DataFrame:
@@ -333,14 +338,14 @@ def portal_records(rows: DataFrame) -> DataFrame:
     """
     records, _ = header_records(rows, required=PORTAL_REQUIRED)
     by_field = {field: _heading(*spellings) for field, spellings in PORTAL.items()}
-    day = dates.parse_day(by_field["date_raw"])
-    columns = {f: c for f, c in by_field.items() if f not in ("date_raw", "expiry_raw")}
+    notes = names.packed({label: _heading(label) for label in PORTAL_EXTRAS})
+    fields = _fields(records, {**by_field, "notes": notes})
+    day = F.col("_day")
+    columns = {f: F.col(f) for f in fields.columns if f != "_day"}
     columns |= {
         "year": F.date_format(day, "yyyy"),
         "month": F.date_format(day, "MM"),
         "day": F.date_format(day, "dd"),
-        "expiry_date": dates.parse_day(by_field["expiry_raw"]).cast("string"),
-        "importer": by_field["importer_ko"],
-        "notes": names.packed({label: _heading(label) for label in PORTAL_EXTRAS}),
+        "importer": F.col("importer_ko"),
     }
-    return records.select(*_record(day, columns))
+    return fields.select(*_record(day, columns))

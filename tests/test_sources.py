@@ -165,6 +165,13 @@ def test_records_pass_no_exchange(spark):
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
 
 
+def test_headings_are_looked_up_and_dates_parsed_once_a_line(spark):
+    sheet = as_grid(spark, "o.xlsx", [["처리일자", "수입업체", "제품명(한글)"], ["20240105", "갑상사", "건강차"]])
+    plan = grids.portal_records(sheet)._jdf.queryExecution().optimizedPlan().toString()
+    # Two formats for each of the two dates.
+    assert plan.count("gettimestamp") <= 4
+
+
 def test_the_last_of_equal_headings_counts(spark):
     sheet = as_grid(spark, "a", [["k", "k", "v"], ["1", "2", "3"], ["4"]])
     got = sorted(r.cells["k"] for r in grids.header_records(sheet, required=["k", "v"])[0].collect())
