@@ -25,12 +25,17 @@ CODES = {"frozen": "0507901110", "dried": "0507901190", "other": "0510001000"}
 
 
 def cells(spark, sf, *keys):
-    """Weight and value per month, country and form (and further keys): the content of each layout."""
-    obs = t.observations(spark, sf)
-    return obs.groupBy("month", "country", "form", *keys).agg(
+    """Weight and value per month, country and form (and further keys): the content of each layout.
+
+    The facts are summed by supplier before they meet a dimension, and the few cells are written once: a layout reads
+    them several times, for its lines, its files and its headings.
+    """
+    sums = t.observation_totals(spark, sf, "month", "form", *keys)
+    every = sums.groupBy("month", "country", "form", *keys).agg(
         F.sum(F.when(F.col("unit") == "KG", F.col("value"))).alias("q"),
         F.sum(F.when(F.col("unit") == "USD", F.col("value"))).alias("v"),
     )
+    return kept(every, "cells")
 
 
 CELLS_SQL = f"""

@@ -172,6 +172,13 @@ def test_headings_are_looked_up_and_dates_parsed_once_a_line(spark):
     assert plan.count("gettimestamp") <= 4
 
 
+def test_layouts_scan_the_facts_once(spark):
+    from haulmark.plans import layouts
+
+    lines = layouts.customs_lines(spark, "/root/testdata/sf0.001")
+    assert not any("lineitem" in path for path in lines.inputFiles())
+
+
 def test_the_last_of_equal_headings_counts(spark):
     sheet = as_grid(spark, "a", [["k", "k", "v"], ["1", "2", "3"], ["4"]])
     got = sorted(r.cells["k"] for r in grids.header_records(sheet, required=["k", "v"])[0].collect())
