@@ -6,10 +6,10 @@ and where one fingerprint stands for several contents each content has its own r
 of its (fingerprint, rank) pairs, its recipe. Recipes are equal exactly when the texts are, so the documents are grouped by
 recipe: eight bytes a chunk move, not the text again.
 
-Every row and whole text is read once: the first pass writes recipe, digest and chunks as columns of one table in the
-shared folder, and each later step reads only the columns it needs. Chunks are counted before the shuffle, so a chunk that
-is in a third of all documents moves once a task. The keeper of a group is an aggregate; the rows get it by a join of two
-plain exchanges, which adaptive execution splits for a group of any size.
+Every row and whole text is read twice: for the chunks, which move once and are not stored, and for recipe and digest,
+which are written to the shared folder. Only where a fingerprint is shared are the chunks written with them. Chunks are
+counted before the shuffle, so a chunk that is in a third of all documents moves once a task. The keeper of a group is an
+aggregate; the rows get it by a join of two plain exchanges, which adaptive execution splits for a group of any size.
 
 Null text counts as empty; empty texts form a group. Of rows that repeat id and text exactly one is kept. A null id loses
 every tie. Other columns are not read.
@@ -71,11 +71,12 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", bits:
         F.monotonically_increasing_id().alias("row"), "*",
         F.transform("chunks", lambda c: _fingerprint(c, bits)).alias("fps"),
     )
-    rows = stages.keep("recipes", rows)
     chunks = rows.select(F.explode("chunks").alias("chunk")).select(_fingerprint(F.col("chunk"), bits).alias("fp"), "chunk")
     shared = stages.keep("shared", shared_fingerprints(chunks))
+    clash = not shared.isEmpty()
+    rows = stages.keep("recipes", rows if clash else rows.drop("chunks"))
     recipes = rows.drop("chunks").withColumn("ranks", F.array().cast("array<int>"))
-    if not shared.isEmpty():
+    if clash:
         ranked = stages.keep("ranks", chunk_ranks(chunks, shared))
         places = rows.select("row", F.posexplode(F.arrays_zip("fps", "chunks"))).select("row", "pos", "col.fps", "col.chunks")
         known = places.join(ranked, (F.col("fps") == F.col("fp")) & (F.col("chunks") == F.col("chunk")))

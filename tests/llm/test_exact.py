@@ -56,3 +56,15 @@ def test_hot_group_keeps_every_row(spark):
     assert len(got) == 3001
     assert {r.group_size for r in got} == {3000, 1}
     assert sum(r.kept for r in got) == 2
+
+
+def test_chunks_are_stored_only_where_a_fingerprint_is_shared(spark, monkeypatch):
+    written = {}
+    keep = exact.job.__globals__["Stages"].keep
+    monkeypatch.setattr("haulmark.session.Stages.keep", lambda self, name, df: written.setdefault(name, df.columns) and keep(self, name, df))
+    docs = spark.createDataFrame([(i, t, "z", 0) for i, t in ROWS], SCHEMA)
+    exact.copies(docs)
+    assert "chunks" not in written["recipes"]
+    written.clear()
+    exact.copies(docs, bits=4)
+    assert "chunks" in written["recipes"]
