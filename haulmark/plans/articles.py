@@ -133,7 +133,7 @@ SELECT node, cand, round(r, 6) AS ratio FROM w JOIN ratio USING (a, b) WHERE r >
 def similar_titles(spark, sf):
     """Page titles within three days whose ratio reaches the threshold."""
     nodes = title_nodes(t.page_articles(spark, sf))
-    pairs = similarity.similar_pairs(nodes, nodes)
+    pairs = similarity.similar_rows(nodes, nodes)
     return pairs.select("node", "cand", F.round("ratio", 6).alias("ratio"))
 
 

@@ -93,6 +93,30 @@ def test_pairs_equal_brute_force(spark):
     assert got == want and want
 
 
+def test_rows_of_equal_title_and_day_equal_brute_force(spark):
+    items = [(i, BASE + dt.timedelta(i % 5), ("harvest begins", "harvest begin", "other words")[i % 3]) for i in range(60)]
+    old = [(i, d, t) for i, d, t in items if i % 4 == 0]
+    new = nodes(spark, items, False)
+    for cand, rows, settled in ((new, items, False), (nodes(spark, old, True), old, True)):
+        got = [(r.node, r.cand, round(r.ratio, 6)) for r in similarity.similar_rows(new, cand, tile_rows=5).collect()]
+        want = [
+            (a[0], b[0], round(SequenceMatcher(None, a[2], b[2]).ratio(), 6))
+            for a in items
+            for b in rows
+            if abs((a[1] - b[1]).days) <= 3 and (settled or (b[1], b[0]) < (a[1], a[0]))
+            and SequenceMatcher(None, a[2], b[2]).ratio() >= 0.72
+        ]
+        assert sorted(got) == sorted(want) and want
+
+
+def test_unsettled_candidates_reach_no_earlier_day(spark):
+    df = nodes(spark, [(k, BASE + dt.timedelta(k), "same title") for k in range(12)], False)
+    left, right = similarity.tiles(df, df, threshold=0.72, window=3)
+    near = left.join(right, (left.a_bucket == right.b_bucket) & (left.a_a == right.b_a) & (left.a_b == right.b_b))
+    gaps = {r.g for r in near.select((F.col("a_day_no") - F.col("b_day_no")).alias("g")).collect()}
+    assert gaps == {0, 1, 2, 3}
+
+
 def test_review_candidates_equal_brute_force(spark):
     rng = random.Random(5)
     items = [(i[0], i[1], i[2]) for i in noisy_titles(rng, 50, 6) if i[1] and i[2].strip()]
