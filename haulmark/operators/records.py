@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .buckets import Manifest
-from .resolve import Gate, resolve_terms
+from .resolve import Gate, resolve_flagged, unresolved
 from .writes import append_new, raw_copy
 
 TABLES = ("records", "raw", "exceptions")
@@ -42,17 +42,27 @@ class RecordStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.parquet(*[f"{self.path}/{run}/{table}" for run in runs])
 
-    def ingest(self, parsed: DataFrame, gates: Sequence[Gate], *, now: Column) -> Ingested:
-        """Only rows whose key is not stored are resolved, so no row is flagged twice."""
+    def ingest(self, parsed: DataFrame, gates: Sequence[Gate], *, now: Column, scope: Column | None = None) -> Ingested:
+        """Only rows whose key is not stored are resolved, so no row is flagged twice.
+
+        ``scope`` is true for every stored row whose key ``parsed`` may hold, for example from its first day on.
+        """
         number, content = self.manifest.load()
         run = f"run={number + 1:012d}"
         offered, added = Observation(), Observation()
-        new = append_new(parsed.observe(offered, F.count(F.lit(1)).alias("n")), self.read("records"), keys=self.keys)
-        # Written once: the three outputs read the new rows from here.
-        new.observe(added, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.path}/{run}/new")
-        fresh = self.spark.read.schema(self.schema).parquet(f"{self.path}/{run}/new")
-        resolved = resolve_terms(fresh, gates, row_ref=self.row_ref, table_name=self.name, flagged_at=now)
-        outputs = {"records": resolved.rows.select(*self.schema.names), "raw": raw_copy(fresh, self.raw, now), "exceptions": resolved.exceptions}
+        new = parsed.observe(offered, F.count(F.lit(1)).alias("n"))
+        if content.get("runs"):
+            new = append_new(new, self.read("records"), keys=self.keys, scope=scope)
+        # Resolved and written once, with the values as they came: the three outputs are read from here without a join.
+        new = new.observe(added, F.count(F.lit(1)).alias("n")).select(*self.schema.names, F.struct(*self.raw).alias("_raw"))
+        new = resolve_flagged(new, gates)
+        new.write.mode("overwrite").parquet(f"{self.path}/{run}/new")
+        fresh = self.spark.read.schema(new.schema).parquet(f"{self.path}/{run}/new")
+        outputs = {
+            "records": fresh.select(*self.schema.names),
+            "raw": raw_copy(fresh.select("_raw.*"), self.raw, now),
+            "exceptions": unresolved(fresh, row_ref=self.row_ref, table_name=self.name, flagged_at=now),
+        }
         for table in TABLES:
             outputs[table].write.mode("overwrite").parquet(f"{self.path}/{run}/{table}")
         self.manifest.commit(number + 1, {"runs": [*content.get("runs", []), run]})

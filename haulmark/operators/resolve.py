@@ -13,6 +13,9 @@ from ..session import small_side
 from .keyed import pick_per_key
 
 
+FLAG = "struct<field: string, raw_value: string, match_key: string, reason: string>"
+
+
 class Resolved(NamedTuple):
     rows: DataFrame
     exceptions: DataFrame
@@ -91,10 +94,8 @@ def seed_mapping(
     return won.filter(F.col("canonical").isNotNull())
 
 
-def resolve_terms(
-    df: DataFrame, gates: Sequence[Gate], *, row_ref: str, table_name: str, flagged_at: Column | None = None
-) -> Resolved:
-    """Fills blank targets from the mappings; what stays unresolved is the second output.
+def resolve_flagged(df: DataFrame, gates: Sequence[Gate], *, flags_as: str = "_flags") -> DataFrame:
+    """``df`` with blank targets filled from the mappings, and an array ``flags_as`` of what stays unresolved in a row.
 
     A filled target is never touched, a blank source raises no exception, and a mapped key with a
     blank name counts as unresolved with its own reason.
@@ -126,16 +127,27 @@ def resolve_terms(
             )
         )
         out = out.withColumn(gate.target, F.coalesce(names.blank_to_null(F.col(gate.target)), F.col(name)))
-    rows = out.select(*df.columns)
-    stamp = flagged_at if flagged_at is not None else F.lit(None).cast("string")
     if not flags:
-        exceptions = df.select(F.lit(table_name).alias("source_table"), F.col(row_ref).cast("string").alias("row_ref")).limit(0)
-        return Resolved(rows, exceptions)
-    exceptions = (
-        out.select(F.col(row_ref).cast("string").alias("row_ref"), F.explode(F.array_compact(F.array(*flags))).alias("e"))
-        .select(F.lit(table_name).alias("source_table"), "row_ref", "e.*", stamp.alias("flagged_at"))
+        return out.withColumn(flags_as, F.array().cast(f"array<{FLAG}>"))
+    return out.select(*df.columns, F.array_compact(F.array(*flags)).alias(flags_as))
+
+
+def unresolved(
+    flagged: DataFrame, *, row_ref: str, table_name: str, flagged_at: Column | None = None, flags: str = "_flags"
+) -> DataFrame:
+    """One row per flag of ``resolve_flagged``."""
+    stamp = flagged_at if flagged_at is not None else F.lit(None).cast("string")
+    return flagged.select(F.col(row_ref).cast("string").alias("row_ref"), F.explode(flags).alias("e")).select(
+        F.lit(table_name).alias("source_table"), "row_ref", "e.*", stamp.alias("flagged_at")
     )
-    return Resolved(rows, exceptions)
+
+
+def resolve_terms(
+    df: DataFrame, gates: Sequence[Gate], *, row_ref: str, table_name: str, flagged_at: Column | None = None
+) -> Resolved:
+    """Fills blank targets from the mappings; what stays unresolved is the second output."""
+    out = resolve_flagged(df, gates)
+    return Resolved(out.select(*df.columns), unresolved(out, row_ref=row_ref, table_name=table_name, flagged_at=flagged_at))
 
 
 def fill_blank(

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from ..functions import dates, names, text
 from ..operators import catalog, curation, keyed, records, resolve, writes
 from ..operators import series as ts
-from ..session import scratch_folder
+from ..session import kept, scratch_folder
 from ..sources import sinks
 from . import tables as t
 from .registry import REGISTRY
@@ -284,8 +284,10 @@ def ingested_records(spark, sf):
     rec = t.import_records(spark, sf).select(
         "*", F.col("day").cast("string").alias("date"), F.col("importer_local").alias("importer_ko")
     )
+    # Each file meets the mapping again: it is built once.
+    companies = kept(supplier_mapping(spark, sf), "map_companies")
     gates = [
-        resolve.Gate("importer_local", "importer_en", supplier_mapping(spark, sf), "map_companies"),
+        resolve.Gate("importer_local", "importer_en", companies, "map_companies"),
         resolve.Gate("origin_local", "origin_en", country_mapping(spark, sf), "map_countries"),
         resolve.Gate("product_name", "product_en", None, "map_types"),
     ]
@@ -294,7 +296,8 @@ def ingested_records(spark, sf):
         raw=["date", "importer_ko", "product_name", "origin_local"], row_ref="record_id", name="import_records",
     )
     first, second = rec.filter("day < date'1998-01-01'"), rec.filter("day >= date'1997-06-01'")
-    counts = [store.ingest(batch, gates, now=now()) for batch in (first, second, second)]
+    since = F.col("day") >= F.lit("1997-06-01").cast("date")
+    counts = [store.ingest(batch, gates, now=now(), scope=scope) for batch, scope in ((first, None), (second, since), (second, since))]
     return store, counts
 
 

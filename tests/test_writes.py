@@ -204,3 +204,22 @@ def test_latest_point_of_each_key(spark):
     obs = spark.createDataFrame(rows, "series string, country string, month string, form string, unit string, value double")
     got = units.origin_price(obs, origin=("country", "X"), value_unit="USD", keys=["series"])
     assert sorted((r.series, r.month, r.is_latest) for r in got.collect()) == [("a", "2024-01", False), ("a", "2024-02", True), ("b", "2023-05", True)]
+
+
+def test_record_store_resolves_a_new_row_once(spark, rows, tmp_path):
+    from haulmark.operators import records, resolve
+
+    rec = spark.createDataFrame(
+        [(1, "2024-01-01", "a", ""), (2, "2024-01-02", "b", ""), (3, "2024-01-03", "c", "given")], "id int, date string, local string, en string"
+    )
+    mapping = spark.createDataFrame([("A", "Alpha")], "match_key string, canonical string")
+    store = records.RecordStore(spark, str(tmp_path / "store"), rec.schema, keys=["date", "local"], raw=["local", "en"], row_ref="id", name="t")
+    gates = [resolve.Gate("local", "en", mapping, "m")]
+    late = F.col("date") >= "2024-01-02"
+    assert store.ingest(rec.filter("id < 3"), gates, now=F.lit("now")) == (2, 2, 0)
+    assert store.ingest(rec.filter(late), gates, now=F.lit("now"), scope=late) == (2, 1, 1)
+    assert rows(store.read("records")) == [(1, "2024-01-01", "a", "Alpha"), (2, "2024-01-02", "b", None), (3, "2024-01-03", "c", "given")]
+    assert rows(store.read("raw")) == [("a", "", "now"), ("b", "", "now"), ("c", "given", "now")]
+    assert rows(store.read("exceptions")) == [("t", "2", "en", "b", "B", "no m match", "now")]
+    # The rows of a run are stored with what is resolved and what is open, so no output joins the mapping again.
+    assert "_flags" in spark.read.parquet(str(tmp_path / "store" / "run=000000000001" / "new")).columns
