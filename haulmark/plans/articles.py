@@ -196,11 +196,10 @@ def assigned_copies(spark, sf):
     a = t.document_articles(spark, sf).select(
         "raw_ref", "day", "title", F.lit(False).alias("judged"), F.lit(None).cast("bigint").alias("duplicate_of")
     ).filter(F.trim("title") != "")
-    node = a.groupBy(F.trim("title").alias("title"), "day").agg(F.min("raw_ref").alias("node"))
-    # Copies of a text on at most seven days each: the window bounds the fan-out of the equi join.
-    early = node.select("title", F.col("node").alias("cand"), F.explode(F.expr("sequence(0, 3)")).alias("gap"), F.col("day").alias("_d"))
-    pairs = node.join(early.withColumn("day", F.date_add("_d", F.col("gap"))), ["title", "day"]).filter("cand <> node")
-    return art.assign_canonical(a, pairs=pairs.select("node", "cand")).select("raw_ref", "duplicate_of")
+    day_no = F.datediff("day", F.lit("1970-01-01").cast("date")).alias("day_no")
+    node = a.groupBy(F.trim("title").alias("title"), day_no).agg(F.min("raw_ref").alias("node"))
+    pairs = similarity.equal_titles(node)
+    return art.assign_canonical(a, pairs=pairs).select("raw_ref", "duplicate_of")
 
 
 # --- succession and consolidation -------------------------------------------------------------------

@@ -109,6 +109,12 @@ def test_rows_of_equal_title_and_day_equal_brute_force(spark):
         assert sorted(got) == sorted(want) and want
 
 
+def test_equal_titles_meet_earlier_days_only(spark):
+    items = [(k, BASE + dt.timedelta(d), t) for k, (d, t) in enumerate([(0, "a"), (1, "a"), (4, "a"), (5, "a"), (9, "a"), (1, "b"), (2, "b")])]
+    got = {tuple(r) for r in similarity.equal_titles(nodes(spark, items, False)).collect()}
+    assert got == {(1, 0), (2, 1), (3, 2), (6, 5)}
+
+
 def test_unsettled_candidates_reach_no_earlier_day(spark):
     df = nodes(spark, [(k, BASE + dt.timedelta(k), "same title") for k in range(12)], False)
     left, right = similarity.tiles(df, df, threshold=0.72, window=3)
